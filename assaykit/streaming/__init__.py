@@ -1,0 +1 @@
+"""No streaming operators: every job in the inventory reads bounded data."""
