@@ -31,13 +31,23 @@ def repeated_content(index: DataFrame, key: str = "md5") -> DataFrame:
 
 
 def exact_groups(
-    index: DataFrame, key: str = "md5", rows_per_task: int = ROWS_PER_TASK
+    index: DataFrame,
+    key: str = "md5",
+    rows_per_task: int = ROWS_PER_TASK,
+    total: int | None = None,
 ) -> DataFrame:
-    """(group_id, kind, member, group_size): rows with identical content."""
+    """(group_id, kind, member, group_size): rows with identical content. `total` is the row count
+    of the index where it is known."""
     facts = repeated_content(index, key)
     rows = index.select(key, F.col("image_id").alias("member"))
     return attach(
-        rows, facts, key, F.col("member"), size="group_size", rows_per_task=rows_per_task
+        rows,
+        facts,
+        key,
+        F.col("member"),
+        size="group_size",
+        rows_per_task=rows_per_task,
+        total=total,
     ).select(
         F.concat(F.lit("exact:"), "first_member").alias("group_id"),
         F.lit("exact").alias("kind"),
@@ -52,6 +62,7 @@ def near_groups(
     threshold: float = 0.8,
     approximate: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    total: int | None = None,
 ) -> DataFrame:
     """(group_id, kind, member, group_size): rows connected by near-identical content.
 
@@ -67,12 +78,19 @@ def near_groups(
         "md5",
         F.col("member"),
         rows_per_task=rows_per_task,
+        total=total,
     )
     sizes = members.groupBy("component").agg(
         F.count("*").alias("group_size"), F.min("member").alias("first_member")
     )
     return attach(
-        members, sizes, "component", F.col("member"), size="group_size", rows_per_task=rows_per_task
+        members,
+        sizes,
+        "component",
+        F.col("member"),
+        size="group_size",
+        rows_per_task=rows_per_task,
+        total=total,
     ).select(
         F.concat(F.lit("near:"), "first_member").alias("group_id"),
         F.lit("near").alias("kind"),
@@ -163,8 +181,11 @@ def group_facts(members: DataFrame) -> DataFrame:
     )
 
 
-def resolve_in_groups(members: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """One row per (group, member): its canonical item and, for the others, why and how it goes."""
+def resolve_in_groups(
+    members: DataFrame, rows_per_task: int = ROWS_PER_TASK, total: int | None = None
+) -> DataFrame:
+    """One row per (group, member): its canonical item and, for the others, why and how it goes.
+    `total` bounds the number of members where it is known."""
     facts = group_facts(members)
     joined = attach(
         members.drop("kind", "seq"),
@@ -173,6 +194,7 @@ def resolve_in_groups(members: DataFrame, rows_per_task: int = ROWS_PER_TASK) ->
         F.col("member"),
         size="known_members",
         rows_per_task=rows_per_task,
+        total=total,
     )
     other = F.col("member") != F.col("canonical_image_id")
     reason = quality.drop_reason(

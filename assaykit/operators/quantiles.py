@@ -20,25 +20,31 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linearly interpolated percentiles per key.
 
-    A quantile sketch, whose rank error is at most n/accuracy, brackets each wanted rank. Only the
-    values inside the bracket (about 4n/accuracy of them, already grouped with their counts) are
-    sorted; everything below is counted. The ranks are exact, so the result does not depend on the
+    A quantile sketch, whose rank error is at most n/accuracy, brackets each wanted rank with room
+    for the next one. Only the values inside the bracket (about 10n/accuracy of them, already grouped
+    with their counts) are sorted; everything below is counted. A key with fewer than `accuracy` rows
+    takes its whole range as the bracket. The ranks are exact, so the result does not depend on the
     sketch.
     """
     values = df.select(key, value).filter(F.col(value).isNotNull())
-    margin = 2.0 / accuracy
+    margin = 5.0 / accuracy
     marks = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     brackets = values.groupBy(key).agg(
         F.percentile_approx(value, F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_m"),
         F.count("*").alias("_n"),
+        F.min(value).alias("_least"),
+        F.max(value).alias("_most"),
     )
+    few = F.col("_n") < accuracy
     counted = values.groupBy(key, value).agg(F.count("*").alias("_c"))
     wanted = F.array(
         *[
             F.struct(
                 F.lit(i).alias("i"),
-                F.get("_m", F.lit(i)).alias("lo"),
-                F.get("_m", F.lit(i + len(probs))).alias("hi"),
+                F.when(few, F.col("_least")).otherwise(F.get("_m", F.lit(i))).alias("lo"),
+                F.when(few, F.col("_most"))
+                .otherwise(F.get("_m", F.lit(i + len(probs))))
+                .alias("hi"),
                 (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
             )
             for i, p in enumerate(probs)
@@ -74,7 +80,7 @@ def exact_percentiles(
         at(F.ceil("rank")).alias("_b"),
         F.first(F.col("rank") - F.floor("rank")).alias("_part"),
     )
-    found = F.col("_a") + F.col("_part") * (F.col("_b") - F.col("_a"))
+    found = F.col("_a") * (1 - F.col("_part")) + F.col("_b") * F.col("_part")
     return points.groupBy(key).agg(
         *[F.max(F.when(F.col("i") == i, found)).alias(name) for i, name in enumerate(names)]
     )

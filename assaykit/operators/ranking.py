@@ -29,14 +29,18 @@ REASON_CLEAR = "Clear overall choice across quality, latency, cost, and maintain
 DECISION_RULE = "Balanced score using quality, latency, cost, and maintainability"
 
 
-def minmax(df: DataFrame, measures: dict[str, tuple[str, bool]] = MEASURES) -> DataFrame:
+def minmax(
+    df: DataFrame,
+    measures: dict[str, tuple[str, bool]] = MEASURES,
+    total: int | None = None,
+) -> DataFrame:
     """Each measure scaled to 0..1 over its comparison, 4 digits. A range of zero gives 1, a missing
-    value 0."""
+    value 0. `total` is the number of candidates where it is known."""
     extremes = []
     for name, (column, _) in measures.items():
         extremes += [F.min(column).alias(f"_lo_{name}"), F.max(column).alias(f"_hi_{name}")]
     bounds = df.groupBy("comparison_id").agg(F.count("*").alias("_rows"), *extremes)
-    joined = attach(df, bounds, "comparison_id", F.col("position"), size="_rows")
+    joined = attach(df, bounds, "comparison_id", F.col("position"), size="_rows", total=total)
 
     def scaled(name: str, column: str, high: bool) -> Column:
         v, lo, hi = F.col(column), F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
@@ -52,12 +56,12 @@ def minmax(df: DataFrame, measures: dict[str, tuple[str, bool]] = MEASURES) -> D
     ).drop("_rows", *[f"_{end}_{name}" for name in measures for end in ("lo", "hi")])
 
 
-def score_models(df: DataFrame) -> DataFrame:
+def score_models(df: DataFrame, total: int | None = None) -> DataFrame:
     """Adds the four scores and their equally weighted overall score."""
-    total = F.lit(0.0)
+    overall = F.lit(0.0)
     for name in MEASURES:
-        total = total + F.col(name) * WEIGHT
-    return minmax(df).withColumn("overall_score", F.round(total, 4))
+        overall = overall + F.col(name) * WEIGHT
+    return minmax(df, total=total).withColumn("overall_score", F.round(overall, 4))
 
 
 def rank_models(scored: DataFrame) -> DataFrame:
@@ -77,8 +81,8 @@ def rank_models(scored: DataFrame) -> DataFrame:
     )
 
 
-def ranked(df: DataFrame) -> DataFrame:
-    return rank_models(score_models(df))
+def ranked(df: DataFrame, total: int | None = None) -> DataFrame:
+    return rank_models(score_models(df, total))
 
 
 def top_two(ranked_models: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaykit.operators.components import connected_components
-from assaykit.operators.skew import ROWS_PER_TASK, attach, hot_keys
+from assaykit.operators.skew import ROWS_PER_TASK, attach
 from assaykit.session import cut
 
 EPS = 1e-9
@@ -54,7 +54,14 @@ def prefix_postings(sets: DataFrame, threshold: float, rows_per_task: int) -> Da
     exploded = sets.select("node", "size", F.explode("tokens").alias("token"))
     df = exploded.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = attach(
-        exploded, df, "token", F.col("node"), size="df", rows_per_task=rows_per_task
+        exploded,
+        df,
+        "token",
+        F.col("node"),
+        size="df",
+        rows_per_task=rows_per_task,
+        # a token is in a set once, so no token has more rows than there are sets
+        total=sets.count(),
     )
     ordered = shared.groupBy("node", "size").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared")
@@ -82,18 +89,23 @@ def prefix_postings(sets: DataFrame, threshold: float, rows_per_task: int) -> Da
     )
 
 
-def verify(pairs: DataFrame, sets: DataFrame, threshold: float, rows_per_task: int) -> DataFrame:
-    """The pairs (a, b) whose token sets reach the threshold. `a` may be a hot node."""
+def verify(
+    pairs: DataFrame, sets: DataFrame, threshold: float, rows_per_task: int, total: int
+) -> DataFrame:
+    """The pairs (a, b) whose token sets reach the threshold. `a` may be a hot node, with as many
+    pairs as there are sets (`total`)."""
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("_tb"))
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("_ta"))
-    both = attach(pairs.join(right, "b"), left, "a", F.col("b"), rows_per_task=rows_per_task)
+    both = attach(
+        pairs.join(right, "b"), left, "a", F.col("b"), rows_per_task=rows_per_task, total=total
+    )
     common = F.size(F.array_intersect("_ta", "_tb"))
     union = F.size("_ta") + F.size("_tb") - common
     return both.filter(common >= F.lit(threshold) * union - EPS).select("a", "b")
 
 
 def _star_pairs(
-    postings: DataFrame, bucket: str, threshold: float, rows_per_task: int
+    postings: DataFrame, bucket: str, threshold: float, rows_per_task: int, total: int
 ) -> DataFrame:
     """One candidate per posting: each member of a bucket against the bucket's smallest set."""
     pivots = postings.groupBy(bucket).agg(
@@ -106,6 +118,7 @@ def _star_pairs(
         F.col("node"),
         size="_members",
         rows_per_task=rows_per_task,
+        total=total,
     )
     return (
         joined.filter(F.col("_pivot.node") != F.col("node"))
@@ -116,7 +129,7 @@ def _star_pairs(
 
 
 def _cross_pairs(
-    postings: DataFrame, labels: DataFrame, threshold: float, rows_per_task: int
+    postings: DataFrame, labels: DataFrame, threshold: float, rows_per_task: int, total: int
 ) -> DataFrame:
     """Candidates between different components that share a bucket.
 
@@ -138,12 +151,15 @@ def _cross_pairs(
         .select("token", "_members")
     )
     left_over = attach(
-        named, open_buckets, "token", F.col("node"), size="_members", rows_per_task=rows_per_task
-    ).drop("_members")
-    hot = F.broadcast(hot_keys(open_buckets, "token", "_members", rows_per_task))
-    sliced = left_over.join(hot, F.col("token") == F.col("_hot_key"), "left").withColumn(
-        "_n", F.coalesce("_copies", F.lit(1))
+        named,
+        open_buckets,
+        "token",
+        F.col("node"),
+        size="_members",
+        rows_per_task=rows_per_task,
+        total=total,
     )
+    sliced = left_over.withColumn("_n", F.ceil(F.col("_members") / rows_per_task).cast("int"))
     small = sliced.filter("is_index").select(
         "token",
         F.pmod(F.xxhash64("node"), F.col("_n")).cast("int").alias("_slice"),
@@ -185,16 +201,13 @@ def near_duplicate_components(
     what is still apart.
     """
     sets = cut(distinct_sets(docs, id_col, text_col))
+    total = sets.count()
     postings = cut(prefix_postings(sets, threshold, rows_per_task))
-    stars = cut(
-        verify(
-            _star_pairs(postings, "token", threshold, rows_per_task), sets, threshold, rows_per_task
-        )
-    )
+    near_pivot = _star_pairs(postings, "token", threshold, rows_per_task, total)
+    stars = verify(near_pivot, sets, threshold, rows_per_task, total)
     labels = connected_components(stars, rows_per_task)
-    crossing = verify(
-        _cross_pairs(postings, labels, threshold, rows_per_task), sets, threshold, rows_per_task
-    )
+    across = _cross_pairs(postings, labels, threshold, rows_per_task, total)
+    crossing = verify(across, sets, threshold, rows_per_task, total)
     merged = connected_components(
         labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(crossing),
         rows_per_task,
@@ -225,8 +238,9 @@ def near_duplicate_lsh_components(
             for i in range(0, MINHASHES, BAND_ROWS)
         ]
     )
-    buckets = cut(signed.select(F.explode(bands).alias("band"), "node", "size"))
-    pairs = _star_pairs(buckets, "band", threshold, rows_per_task)
-    links = verify(pairs, sets, threshold, rows_per_task)
+    buckets = signed.select(F.explode(bands).alias("band"), "node", "size")
+    total = sets.count()
+    pairs = _star_pairs(buckets, "band", threshold, rows_per_task, total)
+    links = verify(pairs, sets, threshold, rows_per_task, total)
     labels = connected_components(links, rows_per_task)
     return sets.select("content", "node").join(labels, "node")

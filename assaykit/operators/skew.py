@@ -37,14 +37,18 @@ def attach(
     how: str = "inner",
     size: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    total: int | None = None,
 ) -> DataFrame:
     """Join many rows per key with one fact row per key.
 
-    Hot keys are split over several tasks by a salt taken from `spread`; their fact row is copied
+    `total` is a counted upper bound on `rows`; when it fits one task no key can be hot and the join
+    is left as it is. Otherwise hot keys are split over several tasks by a salt taken from `spread`; their fact row is copied
     once per salt value. `size` names a fact column with the row count of the key; without it the
     counts are taken from `rows` (a pre-aggregated shuffle). Null keys, which match nothing, are
     spread too.
     """
+    if total is not None and total <= rows_per_task:
+        return rows.join(facts, key, how)
     counts = facts.select(key, size) if size else rows.groupBy(key).agg(F.count("*").alias("_size"))
     hot = F.broadcast(hot_keys(counts, key, size or "_size", rows_per_task))
     salted = (

@@ -120,12 +120,16 @@ def assess(index: DataFrame, issues: DataFrame, on: str, stamp: str) -> DataFram
 
 
 def resolve(
-    rows: DataFrame, groups: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    rows: DataFrame,
+    groups: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
+    total: int | None = None,
 ) -> DataFrame:
-    """Write the outcome of the duplicate groups into the rows."""
-    members = duplicates.group_members(groups, rows)
+    """Write the outcome of the duplicate groups into the rows. `total` is the number of membership
+    rows where it is known."""
+    members = duplicates.group_members(duplicates.union_groups(groups), rows)
     settled = duplicates.last_writer_wins(
-        duplicates.resolve_in_groups(members, rows_per_task)
+        duplicates.resolve_in_groups(members, rows_per_task, total)
     ).withColumnRenamed("member", "image_id")
     links = ["canonical_image_id", "duplicate_of", "duplicate_distance", "drop_reason"]
     flags = ["cross_split_duplicate", "cross_class_duplicate", "manual_review_required"]
@@ -158,10 +162,11 @@ def validate(
     stamp: str = "",
     cleaned_base: str = "data/cleaned",
     rows_per_task: int = ROWS_PER_TASK,
+    total: int | None = None,
 ) -> DataFrame:
     """The validation table of an index."""
     rows = assess(index, issues, on, stamp)
-    return conform(decide(resolve(rows, groups, rows_per_task), cleaned_base), VALIDATION)
+    return conform(decide(resolve(rows, groups, rows_per_task, total), cleaned_base), VALIDATION)
 
 
 def validation_summary(table: DataFrame, odd_aspect: bool = True) -> DataFrame:

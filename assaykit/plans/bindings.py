@@ -3,14 +3,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.functions import paths, quality
+from assaykit.functions import quality
 from assaykit.functions.numeric import softmax
 from assaykit.operators import duplicates
 from assaykit.operators.index import enrich, name_items
 from assaykit.schemas import INDEX
+from assaykit.session import cut
 from assaykit.sources.tables import parquet
 
 CLASSES = ["c0", "c1", "c2", "c3", "c4"]
@@ -92,10 +95,9 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
     return enrich(image_index(spark, sf))
 
 
-def issues(spark: SparkSession, sf: str, groups: DataFrame | None = None) -> DataFrame:
+def issues(rows: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Issue flags and scores by path; the content flags are null where the document is unlabelled.
     There is no odd-size column. With `groups`, every member of a group is flagged."""
-    rows = doc_rows(spark, sf)
     labelled = F.col("quality").isNotNull()
     low = F.col("height") / F.col("width")
     out = rows.select(
@@ -126,14 +128,32 @@ def issues(spark: SparkSession, sf: str, groups: DataFrame | None = None) -> Dat
     return out.join(flagged, "image_id", "left")
 
 
-def exact(spark: SparkSession, sf: str) -> DataFrame:
-    return duplicates.exact_groups(image_index(spark, sf))
-
-
-def near(spark: SparkSession, sf: str, approximate: bool = False) -> DataFrame:
-    return duplicates.near_groups(
-        parquet(spark, sf, "documents"), doc_rows(spark, sf), approximate=approximate
-    )
+@dataclass
+class Stage:
+    """Index rows and duplicate groups, written once for all that reads them."""
+
+    rows: DataFrame
+    index: DataFrame
+    groups: DataFrame
+    members: int
+
+
+def stage(spark: SparkSession, sf: str, *kinds: str) -> Stage:
+    """The index of `sf` with its groups of the given kinds: exact, near or near_lsh."""
+    rows = cut(doc_rows(spark, sf))
+    total = rows.count()
+    index = rows.select(*INDEX.fieldNames())
+    groups = None
+    for kind in kinds or ("exact",):
+        if kind == "exact":
+            found = duplicates.exact_groups(index, total=total)
+        else:
+            found = duplicates.near_groups(
+                parquet(spark, sf, "documents"), rows, approximate=kind == "near_lsh", total=total
+            )
+        groups = found if groups is None else groups.unionByName(found)
+    groups = cut(groups)
+    return Stage(rows, index, groups, groups.count())
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,7 +12,7 @@ from assaykit.plans.model_queries import HISTORY_SQL, report_rows
 from assaykit.plans.validation_queries import validated
 from assaykit.schemas import INDEX, REPORT, RUN_LOG
 from assaykit.session import cut, scratch_path
-from assaykit.sources import files, sinks, tables
+from assaykit.sources import files, runstore, sinks, tables
 
 IDX = ("idx",)
 
@@ -238,7 +238,7 @@ def write_comparison(spark, sf):
 def log_params_metrics(spark, sf):
     """Epoch metrics appended to a run log in two writes, read back."""
     path = scratch_path(spark, "run_log")
-    epochs = b.epochs(spark, sf).withColumn("ts", F.col("epoch") * 86_400_000)
+    epochs = b.epochs(spark, sf).withColumn("ts", F.col("epoch").cast("bigint") * 86_400_000)
     for half in (F.col("epoch") <= 15, F.col("epoch") > 15):
         rows = sinks.metric_rows(epochs.filter(half), "room", "model", "epoch", "ts")
         sinks.append_run_log(rows, path)
@@ -253,37 +253,23 @@ def log_params_metrics(spark, sf):
 
 @query(
     "scan_run_store",
-    """SELECT 'run_' || user_id AS run_id, event_type AS key, event_id AS step, value FROM events""",
+    """SELECT 'exp' AS experiment, 'run_' || (user_id % 8) AS run_id, 'metric' AS kind, event_type AS key,
+        event_id AS step, epoch_us(ts) // 1000 AS ts, value FROM events""",
 )
 def scan_run_store(spark, sf):
-    """Metric lines `millis value step` written in the folder layout of a run store and read back by
-    their paths. The writer partitions by folder, so the key folders carry its `name=` prefix."""
-    from assaykit.sources.runstore import run_log
-
+    """Metric lines `millis value step` written one folder per run and key, read back by path."""
     root = scratch_path(spark, "runs")
     lines = tables.parquet(spark, sf, "events").select(
-        F.lit("exp").alias("experiment"),
-        F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run"),
-        "event_type",
+        F.concat(F.lit("run_"), (F.col("user_id") % 8).cast("string")).alias("run"),
+        F.lit("metrics").alias("kind"),
+        F.col("event_type").alias("key"),
         F.concat_ws(
             " ", b.event_millis().cast("string"), F.col("value").cast("string"), "event_id"
         ).alias("value"),
     )
-    # one store file per key of a run in the reference layout; here the key is in the line's folder
-    for kind in ("metrics",):
-        lines.select(
-            F.col("run"), F.col("event_type").alias("key"), "value"
-        ).repartition("run").write.partitionBy("run", "key").text(f"{root}/exp")
-    read = spark.read.option("recursiveFileLookup", True).text(root).select(
-        "value", F.col("_metadata.file_path").alias("path")
-    )
-    parts = F.split("value", " ")
-    return read.select(
-        F.regexp_extract("path", r"run=([^/]+)/", 1).alias("run_id"),
-        F.regexp_extract("path", r"key=([^/]+)/", 1).alias("key"),
-        F.get(parts, F.lit(2)).cast("bigint").alias("step"),
-        F.get(parts, F.lit(1)).cast("double").alias("value"),
-    )
+    lines.write.partitionBy("run", "kind", "key").text(f"{root}/exp")
+    log = runstore.run_log(spark, root, runstore.WRITTEN_RUN_FILE)
+    return log.withColumn("value", F.col("value").cast("double"))
 
 
 @query(
@@ -316,7 +302,7 @@ def count_files_by_ext(spark, sf):
 
 @query(
     "latest_artifact",
-    """SELECT 'f' || event_id AS name, epoch_ms(ts) AS modified FROM events
+    """SELECT 'f' || event_id AS name, epoch_us(ts) // 1000 AS modified FROM events
     ORDER BY CASE WHEN event_id = 17 THEN 0 ELSE 1 END, ts DESC, name LIMIT 1""",
 )
 def latest_artifact(spark, sf):
@@ -381,7 +367,7 @@ def is_corrupt(spark, sf):
 
 
 PIXELS = """WITH px AS (SELECT vec_id, list_transform(embedding, lambda x:
-        least(greatest(floor((x + 0.5) * 255), 0), 255)) AS p FROM embeddings WHERE label <> 9)"""
+        least(greatest(floor((CAST(x AS DOUBLE) + 0.5) * 255), 0), 255)) AS p FROM embeddings WHERE label <> 9)"""
 
 
 @query(

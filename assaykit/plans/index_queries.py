@@ -84,7 +84,7 @@ def path_suffix_lower(spark, sf):
 
 @query(
     "path_relative_to_root",
-    """SELECT page_id, CASE WHEN starts_with(p, 'https://') THEN substr(p, 9) ELSE p END AS relative
+    """SELECT page_id, CASE WHEN starts_with(p, 'https:/') THEN substr(p, 8) ELSE p END AS relative
     FROM (SELECT page_id, replace(url, chr(92), '/') AS p FROM pages)""",
 )
 def path_relative_to_root(spark, sf):
@@ -252,7 +252,7 @@ def safe_int(spark, sf):
 
 @query(
     "millis_to_iso",
-    """SELECT event_id, strftime(make_timestamp(epoch_ms(ts) * 1000), '%Y-%m-%dT%H:%M:%S.%f')
+    """SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%dT%H:%M:%S.%f')
         || '+00:00' AS iso FROM events""",
 )
 def millis_to_iso(spark, sf):

@@ -8,6 +8,7 @@ from assaykit.functions import numeric
 from assaykit.operators import evaluation, ranking, runs
 from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
+from assaykit.session import cut
 from assaykit.sources import files, tables
 
 SCORED = ("scored",)
@@ -461,12 +462,18 @@ def filter_metric_not_null(spark, sf):
     ("runs", "ranked"),
 )
 def dashboard_summary(spark, sf):
-    even = ranking.ranked(b.candidates(spark, sf)).filter("comparison_id = 'even'")
+    even = ranked(spark, sf).filter("comparison_id = 'even'")
     return runs.dashboard_summary(
         wide(spark, sf), ranking.recommended_with_score(even), "exp", "", "v2"
     )
 
 
+def ranked(spark, sf):
+    """The candidates, written once, in their ranking order."""
+    table = cut(b.candidates(spark, sf))
+    return ranking.ranked(table, table.count())
+
+
 # --- ranking -----------------------------------------------------------------------------------
 
 
@@ -531,7 +538,7 @@ def score_models(spark, sf):
     RANKED,
 )
 def recommendation_rank(spark, sf):
-    return ranking.ranked(b.candidates(spark, sf)).select(
+    return ranked(spark, sf).select(
         "comparison_id", "model", "overall_score", "recommendation_rank"
     )
 
@@ -549,7 +556,7 @@ PAIR = """, pair AS (SELECT t.*, s.model AS second_model, s.overall_score AS sec
     RANKED,
 )
 def score_margin(spark, sf):
-    return ranking.score_margin(ranking.ranked(b.candidates(spark, sf)))
+    return ranking.score_margin(ranked(spark, sf))
 
 
 @query(
@@ -558,7 +565,7 @@ def score_margin(spark, sf):
     RANKED,
 )
 def runner_up(spark, sf):
-    pairs = ranking.top_two(ranking.ranked(b.candidates(spark, sf)))
+    pairs = ranking.top_two(ranked(spark, sf))
     return pairs.select("comparison_id", F.col("second.model").alias("runner_up_model"))
 
 
@@ -578,7 +585,7 @@ def brand_runs(spark, sf):
 @query("models_compare", COMPARE_SQL, ("ranked", "meta"))
 def models_compare(spark, sf):
     latest = runs.latest_per_model(brand_runs(spark, sf))
-    return ranking.models_compare(ranking.ranked(b.candidates(spark, sf)), latest).select(
+    return ranking.models_compare(ranked(spark, sf), latest).select(
         "comparison_id",
         "model",
         "latest_run_id",
@@ -618,13 +625,13 @@ REASON_SQL = f"""array_to_string(list_filter([
     RANKED,
 )
 def recommendation(spark, sf):
-    found = ranking.recommendation(ranking.ranked(b.candidates(spark, sf)))
+    found = ranking.recommendation(ranked(spark, sf))
     return found.withColumn("reasoning", F.array_join("reasoning", "; "))
 
 
 @query("reasoning", PAIR + f" SELECT comparison_id, {REASON_SQL} AS reasoning FROM pair", RANKED)
 def reasoning(spark, sf):
-    pairs = ranking.top_two(ranking.ranked(b.candidates(spark, sf)))
+    pairs = ranking.top_two(ranked(spark, sf))
     return pairs.select("comparison_id", F.array_join(ranking.reasons(), "; ").alias("reasoning"))
 
 
@@ -635,7 +642,7 @@ def reasoning(spark, sf):
     RANKED,
 )
 def top_k_slice(spark, sf):
-    first = ranking.ranked(b.candidates(spark, sf)).filter(
+    first = ranked(spark, sf).filter(
         F.col("recommendation_rank") <= ranking.MAX_REASONS
     )
     places = F.sort_array(F.collect_list(F.struct("recommendation_rank", "model")))
@@ -651,7 +658,7 @@ def top_k_slice(spark, sf):
     RANKED,
 )
 def recommended_with_score(spark, sf):
-    odd = ranking.ranked(b.candidates(spark, sf)).filter("comparison_id = 'odd'")
+    odd = ranked(spark, sf).filter("comparison_id = 'odd'")
     return ranking.recommended_with_score(odd)
 
 
@@ -741,7 +748,7 @@ def join_report_meta(spark, sf):
     ("arts", "ranked"),
 )
 def resolve_active_choice(spark, sf):
-    odd = ranking.ranked(b.candidates(spark, sf)).filter("comparison_id = 'odd'")
+    odd = ranked(spark, sf).filter("comparison_id = 'odd'")
     return ranking.resolve_active(odd, stored_artifacts(spark, sf), "click_1", "cleaned_v1")
 
 

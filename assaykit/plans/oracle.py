@@ -158,7 +158,7 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
     "uev": (
         (),
         """SELECT 'exp' || (user_id % 3) AS experiment, 'run_' || user_id AS run_id, user_id,
-            event_id, event_type, epoch_ms(ts) AS ts, value FROM events""",
+            event_id, event_type, epoch_us(ts) // 1000 AS ts, value FROM events""",
     ),
     "meta": (
         ("uev",),

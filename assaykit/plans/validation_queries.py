@@ -16,29 +16,29 @@ BOTH = "all_groups"
 CLEANED = "data/cleaned"
 
 
-def assessed(spark, sf, groups=None):
-    groups = b.exact(spark, sf) if groups is None else groups
-    return validation.assess(
-        b.image_index(spark, sf), b.issues(spark, sf, groups), "raw_path", b.STAMP
-    )
+def assessed(stage: b.Stage):
+    return validation.assess(stage.index, b.issues(stage.rows, stage.groups), "raw_path", b.STAMP)
 
 
-def with_known_scores(spark, sf, groups):
-    """Validation of the index under the given groups."""
+def validated(spark, sf, *kinds: str):
+    """The validation table under the groups of the given kinds."""
+    stage = b.stage(spark, sf, *kinds)
     return validation.validate(
-        b.image_index(spark, sf), b.issues(spark, sf, groups), groups, stamp=b.STAMP
+        stage.index,
+        b.issues(stage.rows, stage.groups),
+        stage.groups,
+        stamp=b.STAMP,
+        total=stage.members,
     )
 
 
-def validated(spark, sf):
-    return with_known_scores(spark, sf, b.exact(spark, sf))
-
+def members(stage: b.Stage):
+    return duplicates.group_members(duplicates.union_groups(stage.groups), assessed(stage))
 
-def all_groups(spark, sf):
-    """Exact and near groups, written once: the issue flags and the resolution both read them."""
-    from assaykit.session import cut
 
-    return cut(b.exact(spark, sf).unionByName(b.near(spark, sf)))
+def resolved(spark, sf, *kinds: str):
+    stage = b.stage(spark, sf, *kinds)
+    return duplicates.resolve_in_groups(members(stage), total=stage.members)
 
 
 # --- issues and flags --------------------------------------------------------------------------
@@ -65,8 +65,9 @@ ISSUE_COLUMNS = [
     groups=EXACT,
 )
 def join_issues_left_1to1(spark, sf):
-    rows = validation.init_rows(b.image_index(spark, sf), b.STAMP)
-    joined = validation.join_issues(rows, b.issues(spark, sf, b.exact(spark, sf)), "raw_path")
+    stage = b.stage(spark, sf)
+    rows = validation.init_rows(stage.index, b.STAMP)
+    joined = validation.join_issues(rows, b.issues(stage.rows, stage.groups), "raw_path")
     return joined.select(
         *[
             F.col(c).cast("int").alias(c) if c.endswith("_issue") else F.col(c)
@@ -86,7 +87,7 @@ def join_issues_left_1to1(spark, sf):
 )
 def flags_from_issues(spark, sf):
     flags = ["is_corrupt", *validation.ISSUE_FLAGS.values()]
-    return assessed(spark, sf).select("image_id", *flags)
+    return assessed(b.stage(spark, sf)).select("image_id", *flags)
 
 
 @query(
@@ -100,7 +101,7 @@ def flags_from_issues(spark, sf):
     groups=EXACT,
 )
 def default_missing_scores(spark, sf):
-    return assessed(spark, sf).select("image_id", *validation.SCORES)
+    return assessed(b.stage(spark, sf)).select("image_id", *validation.SCORES)
 
 
 @query(
@@ -110,7 +111,7 @@ def default_missing_scores(spark, sf):
     groups=EXACT,
 )
 def quality_score(spark, sf):
-    return assessed(spark, sf).select("image_id", "quality_score")
+    return assessed(b.stage(spark, sf)).select("image_id", "quality_score")
 
 
 @query(
@@ -156,7 +157,7 @@ def drop_helper_columns(spark, sf):
         "low_information",
         "quality_score",
     ]
-    bare = validation.drop_helpers(assessed(spark, sf))
+    bare = validation.drop_helpers(assessed(b.stage(spark, sf)))
     assert not set(bare.columns) & set(validation.HELPERS)
     return bare.select(*wanted)
 
@@ -186,7 +187,8 @@ def evolve_schema(spark, sf):
     ("exact_groups",),
 )
 def exact_duplicate_groups(spark, sf):
-    return b.exact(spark, sf).select("group_id", "member", "group_size")
+    groups = duplicates.exact_groups(b.image_index(spark, sf))
+    return groups.select("group_id", "member", "group_size")
 
 
 @query(
@@ -195,12 +197,12 @@ def exact_duplicate_groups(spark, sf):
     ("near_groups",),
 )
 def near_duplicate_groups(spark, sf):
-    return b.near(spark, sf).select("group_id", "member", "group_size")
+    return b.stage(spark, sf, "near").groups.select("group_id", "member", "group_size")
 
 
 @query("near_duplicate_lsh")
 def near_duplicate_lsh(spark, sf):
-    return b.near(spark, sf, approximate=True).select("group_id", "member", "group_size")
+    return b.stage(spark, sf, "near_lsh").groups.select("group_id", "member", "group_size")
 
 
 @query(
@@ -210,7 +212,9 @@ def near_duplicate_lsh(spark, sf):
     groups=BOTH,
 )
 def union_tagged_groups(spark, sf):
-    union = duplicates.union_groups(b.exact(spark, sf), b.near(spark, sf))
+    rows = b.doc_rows(spark, sf)
+    near = duplicates.near_groups(tables.parquet(spark, sf, "documents"), rows)
+    union = duplicates.union_groups(duplicates.exact_groups(rows), near)
     return union.select("kind", "group_id", "member")
 
 
@@ -220,16 +224,10 @@ def union_tagged_groups(spark, sf):
     ("exact_groups",),
 )
 def distinct_members(spark, sf):
-    groups = b.exact(spark, sf).select("group_id", "member")
+    groups = duplicates.exact_groups(b.image_index(spark, sf)).select("group_id", "member")
     return duplicates.distinct_members(groups.unionByName(groups))
 
 
-def _members(spark, sf, groups=None):
-    groups = b.exact(spark, sf) if groups is None else groups
-    rows = assessed(spark, sf, groups)
-    return duplicates.group_members(duplicates.union_groups(groups), rows)
-
-
 @query(
     "join_members_to_rows",
     """SELECT g.group_id, a.image_id AS member, a.split, a.class_name, a.width, a.height,
@@ -239,7 +237,7 @@ def _members(spark, sf, groups=None):
     groups=EXACT,
 )
 def join_members_to_rows(spark, sf):
-    return _members(spark, sf).select(
+    return members(b.stage(spark, sf)).select(
         "group_id", "member", "split", "class_name", "width", "height", "quality_score"
     )
 
@@ -252,9 +250,10 @@ def join_members_to_rows(spark, sf):
 )
 def filter_group_size(spark, sf):
     # only training rows are known here, so some groups shrink to one member and drop out
-    rows = assessed(spark, sf).filter("split = 'train'")
-    members = duplicates.group_members(duplicates.union_groups(b.exact(spark, sf)), rows)
-    return duplicates.group_facts(members).select("group_id", "known_members")
+    stage = b.stage(spark, sf)
+    rows = assessed(stage).filter("split = 'train'")
+    known = duplicates.group_members(duplicates.union_groups(stage.groups), rows)
+    return duplicates.group_facts(known).select("group_id", "known_members")
 
 
 @query(
@@ -266,7 +265,7 @@ def filter_group_size(spark, sf):
     groups=EXACT,
 )
 def group_facts(spark, sf):
-    facts = duplicates.group_facts(_members(spark, sf))
+    facts = duplicates.group_facts(members(b.stage(spark, sf)))
     names = ["has_train", "same_split", "same_class", "cross_class"]
     return facts.select("group_id", *[F.col(c).cast("int").alias(c) for c in names])
 
@@ -278,7 +277,7 @@ def group_facts(spark, sf):
     groups=EXACT,
 )
 def choose_canonical(spark, sf):
-    return duplicates.group_facts(_members(spark, sf)).select("group_id", "canonical_image_id")
+    return duplicates.group_facts(members(b.stage(spark, sf))).select("group_id", "canonical_image_id")
 
 
 @query(
@@ -288,8 +287,7 @@ def choose_canonical(spark, sf):
     groups=EXACT,
 )
 def assign_canonical(spark, sf):
-    resolved = duplicates.resolve_in_groups(_members(spark, sf))
-    return duplicates.last_writer_wins(resolved).select(
+    return duplicates.last_writer_wins(resolved(spark, sf)).select(
         F.col("member").alias("image_id"), "canonical_image_id"
     )
 
@@ -302,8 +300,7 @@ def assign_canonical(spark, sf):
     groups=EXACT,
 )
 def join_canonical_self(spark, sf):
-    resolved = duplicates.resolve_in_groups(_members(spark, sf)).filter("is_other")
-    return resolved.select(
+    return resolved(spark, sf).filter("is_other").select(
         "group_id", "member", "cross_split_duplicate", "cross_class_duplicate"
     )
 
@@ -315,8 +312,7 @@ def join_canonical_self(spark, sf):
     groups=EXACT,
 )
 def drop_reason(spark, sf):
-    resolved = duplicates.resolve_in_groups(_members(spark, sf)).filter("is_other")
-    return resolved.select("group_id", "member", "drop_reason")
+    return resolved(spark, sf).filter("is_other").select("group_id", "member", "drop_reason")
 
 
 SETTLED = """SELECT image_id, canonical_image_id, duplicate_of, duplicate_distance,
@@ -325,8 +321,7 @@ SETTLED = """SELECT image_id, canonical_image_id, duplicate_of, duplicate_distan
 
 
 def _settled(spark, sf):
-    members = _members(spark, sf, all_groups(spark, sf))
-    settled = duplicates.last_writer_wins(duplicates.resolve_in_groups(members))
+    settled = duplicates.last_writer_wins(resolved(spark, sf, "exact", "near"))
     return settled.withColumnRenamed("member", "image_id")
 
 
@@ -343,7 +338,7 @@ def last_writer_wins(spark, sf):
     groups=BOTH,
 )
 def resolve_duplicates(spark, sf):
-    return duplicates.resolve_in_groups(_members(spark, sf, all_groups(spark, sf))).select(
+    return resolved(spark, sf, "exact", "near").select(
         "group_id",
         "kind",
         "member",
@@ -461,7 +456,7 @@ def api_validation_summary(spark, sf):
 )
 def validation_by_split_class(spark, sf):
     """The whole job: index, exact and near groups, resolution, validity, report."""
-    table = with_known_scores(spark, sf, all_groups(spark, sf))
+    table = validated(spark, sf, "exact", "near")
     return validation.validation_by_split_class(table)
 
 
@@ -484,7 +479,7 @@ def filter_duplicate_report(spark, sf):
     groups=BOTH,
 )
 def duplicate_report(spark, sf):
-    return validation.duplicate_report(with_known_scores(spark, sf, all_groups(spark, sf)))
+    return validation.duplicate_report(validated(spark, sf, "exact", "near"))
 
 
 MANIFEST_SQL = """SELECT image_id, cleaned_path, split, class_name, label_id AS label FROM validated

@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def shape(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+}
+
+
+def shape(text: str, **nested: T.DataType) -> T.StructType:
+    """A struct from `name type` pairs, without needing a session; `nested` adds named columns."""
+    fields = [part.split() for part in text.split(",")]
+    flat = [T.StructField(name, _TYPES[kind]) for name, kind in fields]
+    return T.StructType(flat + [T.StructField(name, kind) for name, kind in nested.items()])
 
 
 # Column names, their order and types are the data contract.
@@ -70,23 +81,36 @@ RUN_LOG = shape(
     "experiment string, run_id string, kind string, key string, step bigint, ts bigint, value string"
 )
 REPORT = shape(
-    """
-    model string, version_tag string, run_id string, trained_at string, scoring_version string,
-    quality struct<accuracy: double, f1_weighted: double, f1_macro: double, mcc: double,
-        cohen_kappa: double, top_2_accuracy: double, confusion_matrix: array<array<int>>>,
-    performance struct<latency_mean_ms: double, latency_p50_ms: double, latency_p95_ms: double,
-        latency_p99_ms: double, throughput_img_per_sec: double,
-        batch_throughput_img_per_sec: double, total_inference_sec: double>,
-    cost struct<cost_per_1k_images_dkk: double, cost_for_test_set_dkk: double,
-        cost_scale_10k_dkk: double, cost_scale_100k_dkk: double, cost_scale_1M_dkk: double,
-        relative_compute_multiplier: double, baseline_cost_per_1k_dkk: double,
-        baseline_throughput_img_per_sec: double>,
-    maintainability struct<maintainability_score: double, param_count_M: double,
-        trainable_params_M: double, trainable_params: bigint, dependency_count: int,
-        maint_param_score_1_5: int, maint_trainable_score_1_5: int, maint_dependency_score_1_5: int>,
-    training_history array<struct<epoch: int, train_loss: double, train_acc: double,
-        val_loss: double, val_acc: double, val_f1_weighted: double>>
-    """
+    "model string, version_tag string, run_id string, trained_at string, scoring_version string",
+    quality=shape(
+        """
+        accuracy double, f1_weighted double, f1_macro double, mcc double, cohen_kappa double,
+        top_2_accuracy double
+        """,
+        confusion_matrix=T.ArrayType(T.ArrayType(T.IntegerType())),
+    ),
+    performance=shape(
+        """
+        latency_mean_ms double, latency_p50_ms double, latency_p95_ms double, latency_p99_ms double,
+        throughput_img_per_sec double, batch_throughput_img_per_sec double,
+        total_inference_sec double
+        """
+    ),
+    cost=shape(
+        """
+        cost_per_1k_images_dkk double, cost_for_test_set_dkk double, cost_scale_10k_dkk double,
+        cost_scale_100k_dkk double, cost_scale_1M_dkk double, relative_compute_multiplier double,
+        baseline_cost_per_1k_dkk double, baseline_throughput_img_per_sec double
+        """
+    ),
+    maintainability=shape(
+        """
+        maintainability_score double, param_count_M double, trainable_params_M double,
+        trainable_params bigint, dependency_count int, maint_param_score_1_5 int,
+        maint_trainable_score_1_5 int, maint_dependency_score_1_5 int
+        """
+    ),
+    training_history=T.ArrayType(HISTORY),
 )
 
 

@@ -7,29 +7,32 @@ from pyspark.sql import functions as F
 
 # Layout of the store, `<experiment>/<run>/{params,metrics}/<key>` and meta files.
 RUN_FILE = r"([^/]+)/([^/]+)/(params|metrics)/([^/]+)$"
+# The same layout as Spark writes it, one folder per key.
+WRITTEN_RUN_FILE = r"([^/]+)/run=([^/]+)/kind=(params|metrics)/key=([^/]+)/[^/]+$"
 RUN_META = r"([^/]+)/([^/]+)/meta\.yaml$"
 EXPERIMENT_META = r"([^/]+)/meta\.yaml$"
 META_FIELDS = ["run_id", "run_name", "start_time", "end_time", "status"]
 
 
-def run_log(spark: SparkSession, root: str) -> DataFrame:
-    """Long form of the store: (experiment, run_id, kind, key, step, ts, value)."""
+def run_log(spark: SparkSession, root: str, layout: str = RUN_FILE) -> DataFrame:
+    """Long form of the store: (experiment, run_id, kind, key, step, ts, value). `layout` finds
+    experiment, run, kind and key in a path."""
     path = F.col("_metadata.file_path")
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .text(root)
         .select("value", path.alias("path"))
-        .filter(F.col("path").rlike(RUN_FILE))
+        .filter(F.col("path").rlike(layout))
     )
     parts = F.split("value", " ")
     metric = F.col("kind") == "metric"
     return lines.select(
-        F.regexp_extract("path", RUN_FILE, 1).alias("experiment"),
-        F.regexp_extract("path", RUN_FILE, 2).alias("run_id"),
-        F.when(F.regexp_extract("path", RUN_FILE, 3) == "metrics", "metric")
+        F.regexp_extract("path", layout, 1).alias("experiment"),
+        F.regexp_extract("path", layout, 2).alias("run_id"),
+        F.when(F.regexp_extract("path", layout, 3) == "metrics", "metric")
         .otherwise("param")
         .alias("kind"),
-        F.regexp_extract("path", RUN_FILE, 4).alias("key"),
+        F.regexp_extract("path", layout, 4).alias("key"),
         "value",
     ).select(
         "experiment",
