@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from assaykit.functions.numeric import half_even
+
 # Thresholds, penalties and reason codes that results depend on.
 MIN_SIDE = 256
 MAX_ASPECT = 2.5
@@ -49,7 +51,7 @@ def _both_sides(width: Column, height: Column) -> Column:
 
 
 def aspect_ratio(width: Column, height: Column) -> Column:
-    return F.when(_both_sides(width, height), F.round(width / height, 4))
+    return F.when(_both_sides(width, height), half_even(width / height, 4))
 
 
 def pixel_count(width: Column, height: Column) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaykit.functions.numeric import bucket_1_5, ratio
+from assaykit.functions.numeric import bucket_1_5, half_even, ratio
 from assaykit.operators.quantiles import exact_percentiles
 
 # Cost baseline, maintainability rubric and the published formulas.
@@ -57,7 +57,7 @@ def matrix_rows(matrix: DataFrame) -> DataFrame:
 
 def accuracy(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("model").agg(
-        F.round(F.avg((F.col("label") == F.col("pred")).cast("double")), 4).alias("accuracy")
+        half_even(F.avg((F.col("label") == F.col("pred")).cast("double")), 4).alias("accuracy")
     )
 
 
@@ -115,7 +115,7 @@ def per_class_report(predictions: DataFrame, digits: int = 4) -> DataFrame:
     )
     table = rows.unionByName(macro).unionByName(weighted).unionByName(total)
     return table.select(
-        "model", "entry", *[F.round(m, digits).alias(m) for m in measures], "support"
+        "model", "entry", *[half_even(F.col(m), digits).alias(m) for m in measures], "support"
     )
 
 
@@ -140,11 +140,11 @@ def metrics_from_counts(counts: DataFrame) -> DataFrame:
     spread = F.sqrt((s * s - pp) * (s * s - tt))
     return sums.select(
         "model",
-        F.round(c / s, 4).alias("accuracy"),
-        F.round("f1_weighted", 4).alias("f1_weighted"),
-        F.round("f1_macro", 4).alias("f1_macro"),
-        F.round(ratio(c * s - tp, spread), 4).alias("mcc"),
-        F.round(F.try_divide(c * s - tp, F.nullif(s * s - tp, F.lit(0.0))), 4).alias("cohen_kappa"),
+        half_even(c / s, 4).alias("accuracy"),
+        half_even(F.col("f1_weighted"), 4).alias("f1_weighted"),
+        half_even(F.col("f1_macro"), 4).alias("f1_macro"),
+        half_even(ratio(c * s - tp, spread), 4).alias("mcc"),
+        half_even(F.try_divide(c * s - tp, F.nullif(s * s - tp, F.lit(0.0))), 4).alias("cohen_kappa"),
     )
 
 
@@ -153,7 +153,7 @@ def top2_accuracy(predictions: DataFrame) -> DataFrame:
     mine = F.get("probs", F.col("label"))
     above = F.size(F.filter("probs", lambda x: x > mine))
     return predictions.groupBy("model").agg(
-        F.round(F.avg((above < 2).cast("double")), 4).alias("top_2_accuracy")
+        half_even(F.avg((above < 2).cast("double")), 4).alias("top_2_accuracy")
     )
 
 
@@ -163,9 +163,9 @@ def latency_profile(samples: DataFrame, key: str, value: str) -> DataFrame:
     marks = exact_percentiles(samples, key, value, [0.5, 0.95, 0.99], ["p50", "p95", "p99"])
     return means.join(marks, key).select(
         key,
-        F.round("_mean", 3).alias("latency_mean_ms"),
-        *[F.round(p, 3).alias(f"latency_{p}_ms") for p in ("p50", "p95", "p99")],
-        F.round(F.try_divide(F.lit(1000.0), F.col("_mean")), 1).alias("throughput_img_per_sec"),
+        half_even(F.col("_mean"), 3).alias("latency_mean_ms"),
+        *[half_even(F.col(p), 3).alias(f"latency_{p}_ms") for p in ("p50", "p95", "p99")],
+        half_even(F.try_divide(F.lit(1000.0), F.col("_mean")), 1).alias("throughput_img_per_sec"),
     )
 
 
@@ -176,8 +176,8 @@ def batch_throughput(batches: DataFrame, key: str) -> DataFrame:
         .agg(F.sum("n").alias("_n"), (F.max("end_s") - F.min("begin_s")).alias("_t"))
         .select(
             key,
-            F.round(F.try_divide(F.col("_n"), F.col("_t")), 1).alias("batch_throughput_img_per_sec"),
-            F.round("_t", 4).alias("total_inference_sec"),
+            half_even(F.try_divide(F.col("_n"), F.col("_t")), 1).alias("batch_throughput_img_per_sec"),
+            half_even(F.col("_t"), 4).alias("total_inference_sec"),
         )
     )
 
@@ -201,14 +201,14 @@ def cost_model(
     per_1k = F.lit(base_cost) * slow
     return df.withColumns(
         {
-            "cost_per_1k_images_dkk": F.round(per_1k, 4),
-            "cost_for_test_set_dkk": F.round(per_1k * n_images / 1000, 5),
-            "cost_scale_10k_dkk": F.round(per_1k * 10, 4),
-            "cost_scale_100k_dkk": F.round(per_1k * 100, 4),
-            "cost_scale_1M_dkk": F.round(per_1k * 1000, 4),
-            "relative_compute_multiplier": F.round(slow, 4),
-            "baseline_cost_per_1k_dkk": F.round(F.lit(base_cost), 4),
-            "baseline_throughput_img_per_sec": F.round(F.lit(base_throughput), 4),
+            "cost_per_1k_images_dkk": half_even(per_1k, 4),
+            "cost_for_test_set_dkk": half_even(per_1k * n_images / 1000, 5),
+            "cost_scale_10k_dkk": half_even(per_1k * 10, 4),
+            "cost_scale_100k_dkk": half_even(per_1k * 100, 4),
+            "cost_scale_1M_dkk": half_even(per_1k * 1000, 4),
+            "relative_compute_multiplier": half_even(slow, 4),
+            "baseline_cost_per_1k_dkk": half_even(F.lit(base_cost), 4),
+            "baseline_throughput_img_per_sec": half_even(F.lit(base_throughput), 4),
         }
     )
 
@@ -230,8 +230,8 @@ def maintainability(params: DataFrame) -> DataFrame:
     deps = F.coalesce("dependency_count", F.lit(DEFAULT_DEPENDENCIES))
     scored = params.withColumns(
         {
-            "param_count_M": F.round(total_m, 3),
-            "trainable_params_M": F.round(trainable_m, 3),
+            "param_count_M": half_even(total_m, 3),
+            "trainable_params_M": half_even(trainable_m, 3),
             "dependency_count": deps,
             "maint_param_score_1_5": bucket_1_5(total_m, PARAM_BOUNDS_M),
             "maint_trainable_score_1_5": bucket_1_5(trainable_m, PARAM_BOUNDS_M),
@@ -241,7 +241,7 @@ def maintainability(params: DataFrame) -> DataFrame:
     w = MAINTAINABILITY_WEIGHTS
     return scored.withColumn(
         "maintainability_score",
-        F.round(
+        half_even(
             F.lit(w["param_count"]) * F.col("maint_param_score_1_5")
             + F.lit(w["trainable_params"]) * F.col("maint_trainable_score_1_5")
             + F.lit(w["dependency_count"]) * F.col("maint_dependency_score_1_5"),
@@ -267,10 +267,10 @@ def epoch_history(batches: DataFrame) -> DataFrame:
 
     rows = batches.withColumn("lost", F.col("loss") * F.col("n"))
     return rows.groupBy("model", "epoch").agg(
-        F.round(mean("lost", "train"), 5).alias("train_loss"),
-        F.round(mean("correct", "train"), 4).alias("train_acc"),
-        F.round(mean("lost", "val"), 5).alias("val_loss"),
-        F.round(mean("correct", "val"), 4).alias("val_acc"),
+        half_even(mean("lost", "train"), 5).alias("train_loss"),
+        half_even(mean("correct", "train"), 4).alias("train_acc"),
+        half_even(mean("lost", "val"), 5).alias("val_loss"),
+        half_even(mean("correct", "val"), 4).alias("val_acc"),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaykit.functions.numeric import half_even
 from assaykit.operators.skew import attach, blocked_row_number
 
 # Measures, weights, tie rules and texts of a recommendation.
@@ -48,7 +49,7 @@ def minmax(
         return (
             F.when(v.isNull(), 0.0)
             .when(hi == lo, 1.0)
-            .otherwise(F.round(F.try_divide(gain, hi - lo), 4))
+            .otherwise(half_even(F.try_divide(gain, hi - lo), 4))
         )
 
     return joined.withColumns(
@@ -61,7 +62,7 @@ def score_models(df: DataFrame, total: int | None = None) -> DataFrame:
     overall = F.lit(0.0)
     for name in MEASURES:
         overall = overall + F.col(name) * WEIGHT
-    return minmax(df, total=total).withColumn("overall_score", F.round(overall, 4))
+    return minmax(df, total=total).withColumn("overall_score", half_even(overall, 4))
 
 
 def rank_models(scored: DataFrame) -> DataFrame:

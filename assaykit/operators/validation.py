@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaykit.functions import quality
+from assaykit.functions.numeric import half_even
 from assaykit.operators import duplicates
 from assaykit.operators.skew import ROWS_PER_TASK
 from assaykit.schemas import VALIDATION, conform
@@ -170,14 +171,16 @@ def validate(
 
 
 def validation_summary(table: DataFrame, odd_aspect: bool = True) -> DataFrame:
-    """One row; sums are null, and the ratio too, when there are no rows."""
+    """One row; sums are null, and the ratio too, when there are no rows. The form without
+    odd-aspect counts rounds its ratio the way SQL does."""
     counted = {"valid_images": "is_valid", **SUMMARY_FLAGS}
     if not odd_aspect:
         counted.pop("odd_aspect_ratio_images")
+    ratio = F.avg("is_valid")
     return table.agg(
         F.count("*").alias("total_images"),
         *[F.sum(c).alias(name) for name, c in counted.items()],
-        F.round(F.avg("is_valid"), 4).alias("valid_ratio"),
+        (half_even(ratio, 4) if odd_aspect else F.round(ratio, 4)).alias("valid_ratio"),
     )
 
 

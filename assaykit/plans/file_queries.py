@@ -173,11 +173,11 @@ def write_validation_reports(spark, sf):
 
 
 REPORT_FIGURES = """, lat AS (SELECT CASE event_type WHEN 'click' THEN 'm0' WHEN 'view' THEN 'm1'
-        WHEN 'error' THEN 'm2' END AS model, round(avg(value), 3) AS mean_ms,
-        round(1000 / avg(value), 1) AS tp FROM events GROUP BY event_type)
+        WHEN 'error' THEN 'm2' END AS model, pround(avg(value), 3) AS mean_ms,
+        pround(1000 / avg(value), 1) AS tp FROM events GROUP BY event_type)
     SELECT c.model AS model_name, 'cleaned_v1' AS version_tag,
-        round(sum(hits) / sum(support), 4) AS accuracy, mean_ms AS latency_mean_ms,
-        round(100 / tp, 4) AS cost_per_1k_dkk FROM cls c JOIN lat ON lat.model = c.model
+        pround(sum(hits) / sum(support), 4) AS accuracy, mean_ms AS latency_mean_ms,
+        pround(100 / tp, 4) AS cost_per_1k_dkk FROM cls c JOIN lat ON lat.model = c.model
     GROUP BY c.model, mean_ms, tp"""
 
 
@@ -218,7 +218,7 @@ def write_eval_tables(spark, sf):
 
 @query(
     "write_comparison",
-    """SELECT model, round(sum(hits) / sum(support), 4) AS accuracy, 'cleaned_v1' AS version_tag
+    """SELECT model, pround(sum(hits) / sum(support), 4) AS accuracy, 'cleaned_v1' AS version_tag
     FROM cls GROUP BY model""",
     ("cls",),
 )

@@ -21,7 +21,7 @@ RANKED = ("ranked",)
 
 @query(
     "softmax_scores",
-    """SELECT item, 'k' || k AS class_name, round(probs[k + 1], 4) AS confidence
+    """SELECT item, 'k' || k AS class_name, pround(probs[k + 1], 4) AS confidence
     FROM scored, range(10) r(k)""",
     SCORED,
 )
@@ -32,7 +32,7 @@ def softmax_scores(spark, sf):
 
 @query(
     "argmax_class",
-    """SELECT item, pred, 'k' || pred AS predicted_class, round(list_max(probs), 4) AS confidence
+    """SELECT item, pred, 'k' || pred AS predicted_class, pround(list_max(probs), 4) AS confidence
     FROM scored""",
     SCORED,
 )
@@ -61,7 +61,7 @@ def confusion_matrix(spark, sf):
 
 @query(
     "accuracy",
-    """SELECT model, round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 4) AS accuracy
+    """SELECT model, pround(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 4) AS accuracy
     FROM scored GROUP BY model""",
     SCORED,
 )
@@ -71,15 +71,15 @@ def accuracy(spark, sf):
 
 @query(
     "per_class_report",
-    """SELECT model, CAST(cls AS VARCHAR) AS entry, round(prec, 4) AS precision, round(rec, 4) AS recall,
-        round(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM cls
-    UNION ALL SELECT model, 'macro avg', round(avg(prec), 4), round(avg(rec), 4), round(avg(f1), 4),
+    """SELECT model, CAST(cls AS VARCHAR) AS entry, pround(prec, 4) AS precision, pround(rec, 4) AS recall,
+        pround(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM cls
+    UNION ALL SELECT model, 'macro avg', pround(avg(prec), 4), pround(avg(rec), 4), pround(avg(f1), 4),
         CAST(sum(support) AS BIGINT) FROM cls GROUP BY model
-    UNION ALL SELECT model, 'weighted avg', round(sum(prec * support) / sum(support), 4),
-        round(sum(rec * support) / sum(support), 4), round(sum(f1 * support) / sum(support), 4),
+    UNION ALL SELECT model, 'weighted avg', pround(sum(prec * support) / sum(support), 4),
+        pround(sum(rec * support) / sum(support), 4), pround(sum(f1 * support) / sum(support), 4),
         CAST(sum(support) AS BIGINT) FROM cls GROUP BY model
-    UNION ALL SELECT model, 'accuracy', round(sum(hits) / sum(support), 4),
-        round(sum(hits) / sum(support), 4), round(sum(hits) / sum(support), 4),
+    UNION ALL SELECT model, 'accuracy', pround(sum(hits) / sum(support), 4),
+        pround(sum(hits) / sum(support), 4), pround(sum(hits) / sum(support), 4),
         CAST(sum(support) AS BIGINT) FROM cls GROUP BY model""",
     CLS,
 )
@@ -88,12 +88,12 @@ def per_class_report(spark, sf):
 
 
 METRIC_SQL = {
-    "f1_weighted": "round(sum(f1 * support) / sum(support), 4)",
-    "f1_macro": "round(avg(f1), 4)",
-    "mcc": """round((sum(hits) * sum(support) - sum(support * predicted))
+    "f1_weighted": "pround(sum(f1 * support) / sum(support), 4)",
+    "f1_macro": "pround(avg(f1), 4)",
+    "mcc": """pround((sum(hits) * sum(support) - sum(support * predicted))
         / sqrt((sum(support) ** 2 - sum(predicted * predicted))
              * (sum(support) ** 2 - sum(support * support))), 4)""",
-    "cohen_kappa": """round((sum(hits) * sum(support) - sum(support * predicted))
+    "cohen_kappa": """pround((sum(hits) * sum(support) - sum(support * predicted))
         / (sum(support) ** 2 - sum(support * predicted)), 4)""",
 }
 
@@ -110,7 +110,7 @@ for _name in METRIC_SQL:
 
 @query(
     "top2_accuracy",
-    """SELECT model, round(avg(CASE WHEN len(list_filter(probs, lambda x: x > probs[label + 1])) < 2
+    """SELECT model, pround(avg(CASE WHEN len(list_filter(probs, lambda x: x > probs[label + 1])) < 2
         THEN 1.0 ELSE 0.0 END), 4) AS top_2_accuracy FROM scored GROUP BY model""",
     SCORED,
 )
@@ -120,11 +120,11 @@ def top2_accuracy(spark, sf):
 
 @query(
     "latency_profile",
-    """SELECT event_type, round(avg(value), 3) AS latency_mean_ms,
-        round(quantile_cont(value, 0.5), 3) AS latency_p50_ms,
-        round(quantile_cont(value, 0.95), 3) AS latency_p95_ms,
-        round(quantile_cont(value, 0.99), 3) AS latency_p99_ms,
-        round(1000 / avg(value), 1) AS throughput_img_per_sec FROM events GROUP BY event_type""",
+    """SELECT event_type, pround(avg(value), 3) AS latency_mean_ms,
+        pround(quantile_cont(value, 0.5), 3) AS latency_p50_ms,
+        pround(quantile_cont(value, 0.95), 3) AS latency_p95_ms,
+        pround(quantile_cont(value, 0.99), 3) AS latency_p99_ms,
+        pround(1000 / avg(value), 1) AS throughput_img_per_sec FROM events GROUP BY event_type""",
 )
 def latency_profile(spark, sf):
     return evaluation.latency_profile(tables.parquet(spark, sf, "events"), "event_type", "value")
@@ -132,8 +132,8 @@ def latency_profile(spark, sf):
 
 @query(
     "batch_throughput",
-    """SELECT model, round(sum(n) / (max(end_s) - min(begin_s)), 1) AS batch_throughput_img_per_sec,
-        round(max(end_s) - min(begin_s), 4) AS total_inference_sec FROM batches GROUP BY model""",
+    """SELECT model, pround(sum(n) / (max(end_s) - min(begin_s)), 1) AS batch_throughput_img_per_sec,
+        pround(max(end_s) - min(begin_s), 4) AS total_inference_sec FROM batches GROUP BY model""",
     ("batches",),
 )
 def batch_throughput(spark, sf):
@@ -154,10 +154,10 @@ COST_COLUMNS = [
     "cost_model",
     """, t AS (SELECT comparison_id, model, 100 / latency_mean_ms AS k, position FROM cand
         WHERE latency_mean_ms > 0)
-    SELECT model, round(k, 4) AS cost_per_1k_images_dkk,
-        round(k * position / 1000, 5) AS cost_for_test_set_dkk, round(k * 10, 4) AS cost_scale_10k_dkk,
-        round(k * 100, 4) AS cost_scale_100k_dkk, round(k * 1000, 4) AS "cost_scale_1M_dkk",
-        round(k, 4) AS relative_compute_multiplier FROM t""",
+    SELECT model, pround(k, 4) AS cost_per_1k_images_dkk,
+        pround(k * position / 1000, 5) AS cost_for_test_set_dkk, pround(k * 10, 4) AS cost_scale_10k_dkk,
+        pround(k * 100, 4) AS cost_scale_100k_dkk, pround(k * 1000, 4) AS "cost_scale_1M_dkk",
+        pround(k, 4) AS relative_compute_multiplier FROM t""",
     ("cand",),
 )
 def cost_model(spark, sf):
@@ -178,8 +178,8 @@ def _bucket(value: str) -> str:
             CAST(substr(model, 4) AS INTEGER) % 5 + 1 AS deps FROM params),
     b AS (SELECT *, {_bucket('m')} AS pm, {_bucket('t')} AS pt, CASE WHEN deps <= 1 THEN 5
         WHEN deps <= 2 THEN 4 WHEN deps <= 3 THEN 3 WHEN deps <= 4 THEN 2 ELSE 1 END AS pd FROM s)
-    SELECT model, round(CAST(0.4 AS DOUBLE) * pm + CAST(0.4 AS DOUBLE) * pt + CAST(0.2 AS DOUBLE) * pd, 3)
-        AS maintainability_score, round(m, 3) AS "param_count_M", round(t, 3) AS "trainable_params_M",
+    SELECT model, pround(CAST(0.4 AS DOUBLE) * pm + CAST(0.4 AS DOUBLE) * pt + CAST(0.2 AS DOUBLE) * pd, 3)
+        AS maintainability_score, pround(m, 3) AS "param_count_M", pround(t, 3) AS "trainable_params_M",
         deps AS dependency_count, pm AS maint_param_score_1_5, pt AS maint_trainable_score_1_5,
         pd AS maint_dependency_score_1_5 FROM b""",
     ("params",),
@@ -218,10 +218,10 @@ def weighted_mean_loss(spark, sf):
 
 
 HISTORY_SQL = """SELECT model, epoch,
-    round(sum(loss * n) FILTER (phase = 'train') / sum(n) FILTER (phase = 'train'), 5) AS train_loss,
-    round(sum(correct) FILTER (phase = 'train') / sum(n) FILTER (phase = 'train'), 4) AS train_acc,
-    round(sum(loss * n) FILTER (phase = 'val') / sum(n) FILTER (phase = 'val'), 5) AS val_loss,
-    round(sum(correct) FILTER (phase = 'val') / sum(n) FILTER (phase = 'val'), 4) AS val_acc
+    pround(sum(loss * n) FILTER (phase = 'train') / sum(n) FILTER (phase = 'train'), 5) AS train_loss,
+    pround(sum(correct) FILTER (phase = 'train') / sum(n) FILTER (phase = 'train'), 4) AS train_acc,
+    pround(sum(loss * n) FILTER (phase = 'val') / sum(n) FILTER (phase = 'val'), 5) AS val_loss,
+    pround(sum(correct) FILTER (phase = 'val') / sum(n) FILTER (phase = 'val'), 4) AS val_acc
     FROM batches GROUP BY model, epoch"""
 
 
@@ -291,23 +291,23 @@ def report_rows(spark, sf):
 
 
 COMPARISON_SQL = f""", lat AS (SELECT CASE event_type WHEN 'click' THEN 'm0' WHEN 'view' THEN 'm1'
-        WHEN 'error' THEN 'm2' END AS model, round(avg(value), 3) AS mean_ms,
-        round(quantile_cont(value, 0.95), 3) AS p95, round(1000 / avg(value), 1) AS tp
+        WHEN 'error' THEN 'm2' END AS model, pround(avg(value), 3) AS mean_ms,
+        pround(quantile_cont(value, 0.95), 3) AS p95, pround(1000 / avg(value), 1) AS tp
     FROM events GROUP BY event_type),
-met AS (SELECT model, round(sum(hits) / sum(support), 4) AS accuracy,
+met AS (SELECT model, pround(sum(hits) / sum(support), 4) AS accuracy,
         {', '.join(f'{v} AS {k}' for k, v in METRIC_SQL.items())} FROM cls GROUP BY model),
-top2 AS (SELECT model, round(avg(CASE WHEN len(list_filter(probs, lambda x: x > probs[label + 1])) < 2
+top2 AS (SELECT model, pround(avg(CASE WHEN len(list_filter(probs, lambda x: x > probs[label + 1])) < 2
         THEN 1.0 ELSE 0.0 END), 4) AS top_2_accuracy FROM scored GROUP BY model),
 p AS (SELECT replace(model, 'net', 'm') AS model, total_params / 1000000 AS m,
         trainable_params / 1000000 AS t, trainable_params FROM params)
 SELECT met.model, 'cleaned_v1' AS version_tag, accuracy, f1_weighted, f1_macro, mcc, cohen_kappa,
     top_2_accuracy, mean_ms AS latency_mean_ms, p95 AS latency_p95_ms, tp AS throughput_img_per_sec,
-    tp AS batch_throughput_img_s, mean_ms AS total_inference_sec, round(100 / tp, 4) AS cost_per_1k_dkk,
-    round(100 / tp * 10, 4) AS cost_scale_10k_dkk, round(100 / tp * 100, 4) AS cost_scale_100k_dkk,
-    round(100 / tp * 1000, 4) AS "cost_scale_1M_dkk", round(100 / tp, 4) AS relative_compute_multiplier,
-    round(CAST(0.4 AS DOUBLE) * ({_bucket('m')}) + CAST(0.4 AS DOUBLE) * ({_bucket('t')})
+    tp AS batch_throughput_img_s, mean_ms AS total_inference_sec, pround(100 / tp, 4) AS cost_per_1k_dkk,
+    pround(100 / tp * 10, 4) AS cost_scale_10k_dkk, pround(100 / tp * 100, 4) AS cost_scale_100k_dkk,
+    pround(100 / tp * 1000, 4) AS "cost_scale_1M_dkk", pround(100 / tp, 4) AS relative_compute_multiplier,
+    pround(CAST(0.4 AS DOUBLE) * ({_bucket('m')}) + CAST(0.4 AS DOUBLE) * ({_bucket('t')})
         + CAST(0.2 AS DOUBLE) * 5, 3) AS maintainability_score,
-    1 AS dependency_count, round(m, 3) AS "param_count_M", round(t, 3) AS "trainable_params_M",
+    1 AS dependency_count, pround(m, 3) AS "param_count_M", pround(t, 3) AS "trainable_params_M",
     trainable_params
 FROM met JOIN top2 ON top2.model = met.model JOIN lat ON lat.model = met.model
 JOIN p ON p.model = met.model"""
@@ -320,7 +320,7 @@ def model_comparison(spark, sf):
 
 @query(
     "rename_flatten",
-    """SELECT model, round(sum(hits) / sum(support), 4) AS accuracy, 'cleaned_v1' AS version_tag
+    """SELECT model, pround(sum(hits) / sum(support), 4) AS accuracy, 'cleaned_v1' AS version_tag
     FROM cls GROUP BY model""",
     CLS,
 )
@@ -707,8 +707,8 @@ META_SQL = (
         'cleaned_v' || (user_id % 2) AS tag, avg(value) AS accuracy, max(value) AS latency,
         min(value) AS cost FROM events GROUP BY 1, 2)
     SELECT p.name AS weight_file, p.model AS model_name, p.tag AS version_tag,
-        round(coalesce(accuracy, 0), 3) AS accuracy, round(coalesce(latency, 0), 3) AS latency_mean_ms,
-        round(coalesce(cost, 0), 3) AS cost_per_1k_dkk, CAST(0 AS DOUBLE) AS maintainability_score
+        pround(coalesce(accuracy, 0), 3) AS accuracy, pround(coalesce(latency, 0), 3) AS latency_mean_ms,
+        pround(coalesce(cost, 0), 3) AS cost_per_1k_dkk, CAST(0 AS DOUBLE) AS maintainability_score
     FROM parsed p LEFT JOIN figures f ON f.model = p.model AND f.tag = p.tag"""
 )
 
@@ -720,19 +720,19 @@ def available_models(spark, sf):
         "weight_file",
         "model_name",
         "version_tag",
-        *[F.round(c, 3).alias(c) for c in files.REPORT_DEFAULTS],
+        *[numeric.half_even(F.col(c), 3).alias(c) for c in files.REPORT_DEFAULTS],
     )
 
 
 @query(
     "join_report_meta",
-    META_SQL.replace("p.name AS weight_file, ", "").replace("round(coalesce(cost, 0), 3)", "round(coalesce(cost, 0), 3)"),
+    META_SQL.replace("p.name AS weight_file, ", "").replace("pround(coalesce(cost, 0), 3)", "pround(coalesce(cost, 0), 3)"),
     ("arts",),
 )
 def join_report_meta(spark, sf):
     listed = files.with_report_meta(stored_artifacts(spark, sf), report_figures(spark, sf))
     return listed.select(
-        "model_name", "version_tag", *[F.round(c, 3).alias(c) for c in files.REPORT_DEFAULTS]
+        "model_name", "version_tag", *[numeric.half_even(F.col(c), 3).alias(c) for c in files.REPORT_DEFAULTS]
     )
 
 

@@ -29,7 +29,7 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
             CASE quality WHEN 1 THEN 3 WHEN 0 THEN 1 END AS channels,
             CASE quality WHEN 1 THEN 'RGB' WHEN 0 THEN 'L' END AS image_mode,
             lang AS image_format,
-            round(width / height, 4) AS aspect_ratio,
+            pround(width / height, 4) AS aspect_ratio,
             CAST(width AS BIGINT) * height AS pixel_count,
             0 AS exif_tag_count,
             CAST(octet_length(encode(text)) AS BIGINT) AS file_size_bytes,
@@ -177,11 +177,11 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
         ("meta", "latest"),
         """SELECT m.run_id, m.experiment, m.run_name, m.status, m.start_time, m.model,
             m.tag AS version_tag, CAST(NULL AS VARCHAR) AS scoring_version,
-            round(max(CASE WHEN key = 'final_accuracy' THEN value END), 4) AS accuracy,
-            round(max(CASE WHEN key = 'latency_mean_ms' THEN value END), 4) AS latency_mean_ms,
-            round(max(CASE WHEN key = 'cost_per_1k_images_dkk' THEN value END), 4)
+            pround(max(CASE WHEN key = 'final_accuracy' THEN value END), 4) AS accuracy,
+            pround(max(CASE WHEN key = 'latency_mean_ms' THEN value END), 4) AS latency_mean_ms,
+            pround(max(CASE WHEN key = 'cost_per_1k_images_dkk' THEN value END), 4)
                 AS cost_per_1k_images_dkk,
-            round(max(CASE WHEN key = 'maintainability_score' THEN value END), 4)
+            pround(max(CASE WHEN key = 'maintainability_score' THEN value END), 4)
                 AS maintainability_score,
             CAST(trunc(max(CASE WHEN key = 'trainable_params' THEN value END)) AS BIGINT)
                 AS trainable_params
@@ -207,13 +207,13 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
         ("cand",),
         """SELECT *,
             CASE WHEN accuracy IS NULL THEN 0 WHEN qh = ql THEN 1
-                ELSE round((accuracy - ql) / (qh - ql), 4) END AS quality_score,
+                ELSE pround((accuracy - ql) / (qh - ql), 4) END AS quality_score,
             CASE WHEN latency_mean_ms IS NULL THEN 0 WHEN lh = ll THEN 1
-                ELSE round((lh - latency_mean_ms) / (lh - ll), 4) END AS latency_score,
+                ELSE pround((lh - latency_mean_ms) / (lh - ll), 4) END AS latency_score,
             CASE WHEN cost_per_1k_images_dkk IS NULL THEN 0 WHEN ch = cl THEN 1
-                ELSE round((ch - cost_per_1k_images_dkk) / (ch - cl), 4) END AS cost_score,
+                ELSE pround((ch - cost_per_1k_images_dkk) / (ch - cl), 4) END AS cost_score,
             CASE WHEN maintainability_score IS NULL THEN 0 WHEN mh = ml THEN 1
-                ELSE round((maintainability_score - ml) / (mh - ml), 4) END AS upkeep_score
+                ELSE pround((maintainability_score - ml) / (mh - ml), 4) END AS upkeep_score
         FROM (SELECT *, min(accuracy) OVER w AS ql, max(accuracy) OVER w AS qh,
             min(latency_mean_ms) OVER w AS ll, max(latency_mean_ms) OVER w AS lh,
             min(cost_per_1k_images_dkk) OVER w AS cl, max(cost_per_1k_images_dkk) OVER w AS ch,
@@ -225,7 +225,7 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT *, row_number() OVER (PARTITION BY comparison_id ORDER BY overall_score DESC,
             coalesce(accuracy, 0) DESC, coalesce(nullif(latency_mean_ms, 0), 1e9), position)
             AS recommendation_rank
-        FROM (SELECT *, round(quality_score * 0.25 + latency_score * 0.25 + cost_score * 0.25
+        FROM (SELECT *, pround(quality_score * 0.25 + latency_score * 0.25 + cost_score * 0.25
             + upkeep_score * 0.25, 4) AS overall_score FROM norm)""",
     ),
     "vlog": (
@@ -356,6 +356,24 @@ def issues_cte(groups: str | None) -> dict[str, tuple[tuple[str, ...], str]]:
     }
 
 
+def _exact_rounding(sql: str) -> str:
+    """Spells out pround(x, n): n digits of the exact value, ties to even."""
+    mark = "pround("
+    while mark in sql:
+        start = sql.rindex(mark)
+        depth, comma, place = 1, 0, start + len(mark)
+        while depth:
+            char = sql[place]
+            depth += {"(": 1, ")": -1}.get(char, 0)
+            if char == "," and depth == 1:
+                comma = place
+            place += 1
+        value, digits = sql[start + len(mark) : comma], sql[comma + 1 : place - 1].strip()
+        spelt = f"CAST(printf('%.{digits}f', CAST({value} AS DOUBLE)) AS DOUBLE)"
+        sql = sql[:start] + spelt + sql[place:]
+    return sql
+
+
 def statement(tail: str, *needs: str, groups: str | None = None) -> str:
     """`tail` after a WITH clause holding the needed roles, each after what it is made from."""
     roles = dict(ROLES)
@@ -377,7 +395,7 @@ def statement(tail: str, *needs: str, groups: str | None = None) -> str:
     for name in needs:
         add(name)
     if not ordered:
-        return tail.strip()
+        return _exact_rounding(tail.strip())
     recursive = "RECURSIVE " if "reach" in ordered else ""
     body = ",\n".join(f"{name} AS ({roles[name][1]})" for name in ordered)
-    return f"WITH {recursive}{body}\n{tail.strip()}"
+    return _exact_rounding(f"WITH {recursive}{body}\n{tail.strip()}")

@@ -425,7 +425,7 @@ def _sums(columns: dict[str, str]) -> str:
 @query(
     "validation_summary",
     f"""SELECT count(*) AS total_images, CAST(sum(is_valid) AS BIGINT) AS valid_images,
-        {_sums(validation.SUMMARY_FLAGS)}, round(avg(is_valid), 4) AS valid_ratio FROM validated""",
+        {_sums(validation.SUMMARY_FLAGS)}, pround(avg(is_valid), 4) AS valid_ratio FROM validated""",
     ("validated",),
     groups=EXACT,
 )
