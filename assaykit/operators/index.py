@@ -29,12 +29,12 @@ def selected_classes(df: DataFrame, classes: Sequence[str], column: str = "class
 
 def only_listed(df: DataFrame, listing: DataFrame, on: str) -> DataFrame:
     """Rows whose file is in the listing."""
-    return df.join(listing.select(on).distinct(), on, "left_semi")
+    return df.join(listing.select(on), on, "left_semi")
 
 
 def not_listed(df: DataFrame, listing: DataFrame, on: str) -> DataFrame:
     """The report of rows without a file."""
-    return df.join(listing.select(on).distinct(), on, "left_anti")
+    return df.join(listing.select(on), on, "left_anti")
 
 
 def per_class_counter(

@@ -192,10 +192,15 @@ def resolve_requests(
             "version_tag": F.coalesce(F.nullif("version_tag", F.lit("")), F.lit(active_tag)),
         }
     )
-    known = artifacts.select("model_name", "version_tag").distinct().withColumn("_there", F.lit(1))
-    return filled.join(known, ["model_name", "version_tag"], "left").withColumn(
-        "found", F.coalesce("_there", F.lit(0))
-    ).drop("_there")
+    choice = F.concat_ws("\u0001", "model_name", "version_tag").alias("_choice")
+    known = artifacts.select(choice).distinct().withColumn("_there", F.lit(1))
+    # most requests may name the active model, so its key is split like any hot one
+    asked = filled.select("*", choice)
+    return (
+        attach(asked, known, "_choice", F.struct(*requests.columns), how="left")
+        .withColumn("found", F.coalesce("_there", F.lit(0)))
+        .drop("_there", "_choice")
+    )
 
 
 # Content types accepted for scoring.

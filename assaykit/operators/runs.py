@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaykit.functions.numeric import millis_to_iso, safe_long, safe_round
+from assaykit.operators.skew import attach
 
 RUN_CAP = 200
 # Metric keys of a run and the names they are shown under.
@@ -73,7 +74,8 @@ BEST_BY = {
 
 def of_experiment(runs: DataFrame, experiments: DataFrame, name: str) -> DataFrame:
     """Runs of the experiment with that name; none when it does not exist."""
-    return runs.join(experiments.filter(F.col("name") == name), "experiment", "left_semi")
+    named = experiments.filter(F.col("name") == name).select("experiment").distinct()
+    return attach(runs, named, "experiment", F.col("run_id"), how="left_semi")
 
 
 def latest_values(log: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from assaykit.operators import duplicates
 from assaykit.operators.index import enrich, name_items
 from assaykit.schemas import INDEX
 from assaykit.session import cut
-from assaykit.sources.tables import parquet
+from assaykit.sources.tables import parquet, spread
 
 CLASSES = ["c0", "c1", "c2", "c3", "c4"]
 SPLITS = ["train", "test"]
@@ -36,7 +36,7 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
     number = F.substring("source", 4, 10).cast("int")
     group = F.floor(F.col("doc_id") / 20)
     return (
-        parquet(spark, sf, "documents")
+        spread(parquet(spark, sf, "documents"))
         .withColumn("split", F.when(group % 5 == 0, "test").otherwise("train"))
         .withColumn("class_name", F.concat(F.lit("c"), (number % 5).cast("string")))
         .withColumn(
@@ -149,7 +149,7 @@ def stage(spark: SparkSession, sf: str, *kinds: str) -> Stage:
             found = duplicates.exact_groups(index, total=total)
         else:
             found = duplicates.near_groups(
-                parquet(spark, sf, "documents"), rows, approximate=kind == "near_lsh", total=total
+                spread(parquet(spark, sf, "documents")), rows, approximate=kind == "near_lsh", total=total
             )
         groups = found if groups is None else groups.unionByName(found)
     groups = cut(groups)

@@ -13,6 +13,14 @@ def parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than there are cores, which happens only
+    with few or unsplittable files; any larger input is left as it is. For work that is heavy per
+    row, such as cutting up whole texts."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The frame with the declared columns it lacks, as typed nulls; others stay."""
     lacking = set(missing_columns(df, schema))
