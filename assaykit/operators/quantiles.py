@@ -51,7 +51,8 @@ def exact_percentiles(
         ]
     )
     placed = (
-        attach(counted, brackets, key, F.col(value))
+        # a key has at most as many distinct values as rows, so `_n` bounds its share of `counted`
+        attach(counted, brackets, key, F.col(value), size="_n")
         .withColumn("_w", F.explode(wanted))
         .filter(F.col(value) <= F.col("_w.hi"))
         .select(

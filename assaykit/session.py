@@ -27,10 +27,10 @@ def local_session(cores: int | str = "*", app: str = "assaykit", **conf: str) ->
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
