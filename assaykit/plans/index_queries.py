@@ -8,6 +8,7 @@ from assaykit.functions import numeric, paths, quality
 from assaykit.operators import index, integrity, profile, validation, versions
 from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
+from assaykit.session import cut
 from assaykit.sources import files, tables
 
 IDX = ("idx",)
@@ -570,8 +571,9 @@ def class_distribution(spark, sf):
     IDX,
 )
 def odd_size_odd_aspect(spark, sf):
-    rows = profile.size_outliers(b.image_index(spark, sf), "pixel_count")
-    return rows.select(
+    # the quartiles read the frame several times, so the text is worked through once before
+    sizes = cut(b.image_index(spark, sf).select("image_id", "pixel_count", "aspect_ratio"))
+    return profile.size_outliers(sizes, "pixel_count").select(
         "image_id",
         "odd_size",
         quality.is_odd_aspect(F.col("aspect_ratio")).alias("odd_aspect_ratio"),
