@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 import string
+from itertools import chain, islice
 
 import numpy as np
 
 from assaykit.llm.textbytes import ragged
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 END_ID = 2
 JOINED = 64
 
@@ -19,6 +20,14 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _MARK = "\x01"
 
 
+class _Places(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
+
+
 class Encoder:
     """Ids of texts under a tokenizers file whose pre-tokenizer never joins text across white space
     and always parts letters and digits from marks that follow them.
@@ -44,7 +53,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places = _Places()
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -57,29 +66,33 @@ class Encoder:
         groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
         for group, ids in zip(groups, self._ids([f" {_MARK} ".join(g) for g in groups])):
             flat = np.array(ids, np.uint32)
-            for word, part in zip(group, np.split(flat, np.flatnonzero(flat == self.mark[0]))):
-                self.stems[word] = part[part != self.mark[0]].tobytes()
+            ends = [*(4 * np.flatnonzero(flat == self.mark[0])).tolist(), 4 * len(flat)]
+            data, at = flat.tobytes(), 0
+            for word, end in zip(group, ends):
+                self.stems[word] = data[at:end]
+                at = end + 4
         odd = [w for w in stems if _MARK in w]
         for word, ids in zip(odd, self._ids(odd)):
             self.stems[word] = np.array(ids, np.uint32).tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Words share their stems: case of ASCII letters and marks at the end are set apart."""
-        cut = []
-        for word in words:
-            stem = word.rstrip(string.punctuation)
-            if not stem or not stem[-1].lower()[-1].isalnum():
-                stem = word
-            cut.append((stem.lower() if stem.isascii() else stem, word[len(stem) :]))
         if len(self.stems) > self.cached_words:
             self.stems = {}
-        new = {part for pair in cut for part in pair}.difference(self.stems)
+        stems = [w.rstrip(string.punctuation) for w in words]
+        tails = [w[len(s) :] for w, s in zip(words, stems)]
+        for i, stem in enumerate(stems):
+            if stem and not stem[-1].lower()[-1].isalnum():
+                stems[i], tails[i] = words[i], ""
+            elif stem.isascii():
+                stems[i] = stem.lower()
+        new = {*stems, *tails}.difference(self.stems)
         if new:
             self._learn_stems(list(new))
-        ids = [self.stems[stem] + self.stems[tail] for stem, tail in cut]
+        known = self.stems
+        ids = [known[stem] + known[tail] if tail else known[stem] for stem, tail in zip(stems, tails)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = len(self.flat) + np.cumsum(lengths) - lengths
-        self.places.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words))))
         self.lengths = np.concatenate([self.lengths, lengths])
         self.starts = np.concatenate([self.starts, starts])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), np.uint32)])
@@ -92,13 +105,13 @@ class Encoder:
         for i in odd:
             parts[i] = []
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        words = [w for part in parts for w in part]
+        words = list(chain.from_iterable(parts))
         if len(self.places) > self.cached_words:
             self._clear()
-        new = set(words).difference(self.places)
-        if new:
-            self._learn(list(new))
+        known = len(self.places)
         at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        if len(self.places) > known:
+            self._learn(list(islice(self.places, known, None)))
         each = self.lengths[at]
         flat = self.flat[np.repeat(self.starts[at], each) + ragged(each)]
         ends = np.cumsum(counts)
