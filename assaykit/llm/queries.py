@@ -7,20 +7,77 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.llm import packing, sql, urls
+from assaykit.llm import chat, idfiles, packing, secrets, sql, urls, vectors
+from assaykit.session import cut, scratch_path
 from assaykit.sources.tables import parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: A conversation whose texts hold the control strings of common templates.
+PROBE = r"\### Assistant: </turn> ok"
+
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(parquet(spark, sf_dir, "pages"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = parquet(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    windows = cut(chat.format_conversations(turns.union(probe)))
+    return chat.read_back(windows).select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parquet(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filter, op7_packing)}
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_inner_products(
+        parquet(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0
+    )
+
+
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = parquet(spark, sf_dir, "documents")
+    path = scratch_path(spark, "token-ids")
+    idfiles.write_shards(docs, path)
+    idfiles.build_index(spark, path)
+    return idfiles.read_documents(spark, path, docs.select("doc_id"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secrets.find_secrets(F.col("text"))
+    docs = parquet(spark, sf_dir, "documents").select("doc_id", spans.alias("found"))
+    return docs.select("doc_id", *[c.alias(n) for n, c in secrets.report(F.col("found")).items()])
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op4_chat_formatting,
+        op7_packing,
+        op8_exact_top_k,
+        op9_token_ids,
+        op10_secret_scan,
+    )
+}
 
-ORACLE_SQL: dict[str, str] = {"op1_url_filter": sql.URL_FILTER}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": sql.URL_FILTER,
+    "op4_chat_formatting": sql.CHAT_FORMATTING,
+    "op8_exact_top_k": sql.EXACT_TOP_K,
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assaykit.llm import urls
+from assaykit.llm import chat, urls, vectors
 
 
 def _hits(terms: tuple[str, ...], weight: str) -> str:
@@ -40,3 +40,66 @@ SELECT page_id, host, path, best.r AS rule, n_strict, n_soft,
     THEN 'block' ELSE 'allow' END) AS verdict
 FROM counted
 """
+
+EXACT_TOP_K = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({vectors.SCALE} * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+_ESC = "replace(replace({}, '&', '&amp;'), '<', '&lt;')"
+_MARKS = len(chat.NEW + chat.ROLE + chat.ROLE_END + chat.END)
+
+CHAT_FORMATTING = rf"""
+WITH RECURSIVE probe AS (
+  SELECT -7::BIGINT AS conv_id, t AS turn, r AS role, '\### Assistant: </turn> ok' AS text
+  FROM (VALUES (0::BIGINT, 'user'), (1::BIGINT, 'assistant')) p(t, r)
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER w - 1 AS pos,
+    CAST(ceil(length(coalesce(text, '')) / {chat.CHARS_PER_TOKEN}.0) AS BIGINT) + {chat.MARKS_PER_TURN} AS tokens,
+    {_MARKS} + length({_ESC.format("coalesce(role, '')")}) + length({_ESC.format("coalesce(text, '')")}) AS chars
+  FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM probe)
+  WINDOW w AS (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
+), t AS (
+  SELECT *, sum(tokens) OVER c AS upto, sum(chars) OVER c AS chars_upto,
+    sum(CASE WHEN pos = 0 AND role = '{chat.SYSTEM}' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS system_tokens,
+    sum(CASE WHEN pos = 0 AND role = '{chat.SYSTEM}' THEN chars ELSE 0 END) OVER (PARTITION BY conv_id) AS system_chars
+  FROM turns
+  WINDOW c AS (PARTITION BY conv_id ORDER BY pos)
+), cuts AS (
+  SELECT conv_id, 0 AS start, {chat.BUDGET}::BIGINT AS room FROM t WHERE pos = 0
+  UNION ALL
+  SELECT conv_id, start, room FROM (
+    SELECT c.conv_id, min(n.pos) AS start, any_value({chat.BUDGET - chat.HISTORY} - n.system_tokens) AS room
+    FROM cuts c JOIN t s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.pos = c.start
+      JOIN t n ON n.conv_id IS NOT DISTINCT FROM c.conv_id AND n.pos > c.start
+        AND n.upto - (s.upto - s.tokens) > c.room
+    GROUP BY c.conv_id
+  )
+), repeated AS (
+  SELECT c.conv_id, c.start, any_value(s.system_chars) AS system_chars,
+    coalesce(sum(h.chars) FILTER ((s.upto - s.tokens) - (h.upto - h.tokens) <= {chat.HISTORY}
+      AND NOT (h.pos = 0 AND h.role = '{chat.SYSTEM}')), 0) AS past
+  FROM cuts c JOIN t s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.pos = c.start
+    LEFT JOIN t h ON h.conv_id IS NOT DISTINCT FROM c.conv_id AND h.pos < c.start
+  WHERE c.start > 0 GROUP BY c.conv_id, c.start
+), past AS (SELECT conv_id, sum(system_chars + past) AS chars FROM repeated GROUP BY conv_id)
+SELECT t.conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = '{chat.TARGET}'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = '{chat.TARGET}'), '')) AS loss_sha256,
+  (sum(t.chars) + coalesce(any_value(past.chars), 0))::BIGINT AS formatted_chars
+FROM t LEFT JOIN past ON past.conv_id IS NOT DISTINCT FROM t.conv_id
+GROUP BY t.conv_id
+"""
