@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.llm import chat, idfiles, packing, secrets, sql, urls, vectors
+from assaykit.llm import chat, contamination, idfiles, packing, secrets, sql, urls, vectors
 from assaykit.session import cut, scratch_path
 from assaykit.sources.tables import parquet
 
@@ -21,6 +21,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(parquet(spark, sf_dir, "pages"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(
+        parquet(spark, sf_dir, "documents"), parquet(spark, sf_dir, "benchmark")
+    ).drop("text_hash")
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = parquet(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_url_filter,
+        op2_decontamination,
         op4_chat_formatting,
         op7_packing,
         op8_exact_top_k,
@@ -78,6 +85,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": sql.URL_FILTER,
+    "op2_decontamination": sql.CONTAMINATION,
     "op4_chat_formatting": sql.CHAT_FORMATTING,
     "op8_exact_top_k": sql.EXACT_TOP_K,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assaykit.llm import chat, urls, vectors
+from assaykit.llm import chat, contamination, urls, vectors
 
 
 def _hits(terms: tuple[str, ...], weight: str) -> str:
@@ -103,3 +103,34 @@ SELECT t.conv_id, count(*) AS n_turns,
 FROM t LEFT JOIN past ON past.conv_id IS NOT DISTINCT FROM t.conv_id
 GROUP BY t.conv_id
 """
+
+_WORDS = (
+    rf"regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.UPPER.lower()}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+i AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, l, array_to_string(words[s : s + l - 1], ' ') AS w
+  FROM (SELECT item_id, words, least(len(words), {contamination.WINDOW}) AS l,
+    unnest(range(1, len(words) - least(len(words), {contamination.WINDOW}) + 2)) AS s
+    FROM i WHERE len(words) > 0)
+), dw AS (
+  SELECT doc_id, l, s, array_to_string(words[s : s + l - 1], ' ') AS w
+  FROM (SELECT doc_id, words, l, unnest(range(1, len(words) - l + 2)) AS s
+    FROM d, (SELECT DISTINCT l FROM iw) ls WHERE len(words) >= l)
+), m AS (SELECT * FROM dw SEMI JOIN iw USING (l, w)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM m) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m JOIN iw USING (l, w)) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+  coalesce(named.n, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
