@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.llm import chat, contamination, idfiles, packing, secrets, sql, urls, vectors
+from assaykit.llm import chat, contamination, idfiles, jaccard, languages, packing, secrets, sql, urls, vectors
 from assaykit.session import cut, scratch_path
 from assaykit.sources.tables import parquet
 
@@ -46,6 +46,22 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = parquet(spark, sf_dir, "documents")
+    return docs.withColumn("found", languages.identify(docs)).select(
+        "doc_id",
+        languages.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+    )
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(parquet(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parquet(spark, sf_dir, "documents"))
 
@@ -76,6 +92,8 @@ QUERIES: dict[str, Query] = {
         op1_url_filter,
         op2_decontamination,
         op4_chat_formatting,
+        op5_language_id,
+        op6_jaccard_join,
         op7_packing,
         op8_exact_top_k,
         op9_token_ids,
