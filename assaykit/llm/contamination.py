@@ -215,5 +215,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         .select(F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_text"))
         .distinct()
     )
-    same = docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text_col]) == F.col("_bad_text"))
+    same = docs[id_col].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text_col]) == bad["_bad_text"])
     return docs.join(bad, same, "left_anti")

@@ -112,7 +112,8 @@ def write_shards(
 
 def _placed(shards: DataFrame) -> DataFrame:
     """Shards with `first_slot` and `first_token`, the documents and tokens of all shards before:
-    sums over the writing tasks, of which there are few, added to the counts inside each."""
+    sums over the writing tasks added to the counts inside each. There is one sum for each partition
+    of the write, a number that the session sets, so they are broadcast and the payload stays put."""
     before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         shards.groupBy(F.col("part").alias("p"))
@@ -124,7 +125,7 @@ def _placed(shards: DataFrame) -> DataFrame:
         )
     )
     return (
-        shards.join(parts, shards["part"] == parts["p"])
+        shards.join(F.broadcast(parts), shards["part"] == parts["p"])
         .withColumn("first_slot", F.col("docs_before") + F.col("d"))
         .withColumn("first_token", F.col("tokens_before") + F.col("t"))
         .drop("p", "d", "t")

@@ -428,12 +428,13 @@ def jaccard_components(
     num: int = 75,
     den: int = 100,
 ) -> DataFrame:
-    """(id, text_hash, n_shingles, set_hash, component_id) per row: documents linked, directly or
+    """(id, text_hash, n_shingles, component, component_id) per row: documents linked, directly or
     through others, when den * |A and B| >= num * |A or B| over their sets of five-word shingles.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a text with fewer words has its
     whole sequence as one shingle. Null and empty texts have an empty set and are their own component.
     A component's id is its smallest document id; documents without id are linked too and take it.
+    `component` is a key of the component that is null for empty sets only.
     Repeated rows give repeated results. Texts are read whole.
 
     1. Equal sets collapse. Token buckets in more than about one set of 1,000 are noted in a bitmap of
@@ -478,11 +479,38 @@ def jaccard_components(
     )
     named = grouped.join(
         grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component"
-    ).select("a", "component_id")
+    ).select("a", "component", "component_id")
     return rows.withColumn("a", F.when(F.col("size") > 0, F.col("a"))).join(named, "a", "left").select(
         F.col("id").alias(id_col),
         "text_hash",
         F.col("size").alias("n_shingles"),
-        F.col("a").alias("set_hash"),
+        "component",
         F.coalesce("component_id", "id").alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, that stay when one of each component does: the one
+    with the smallest id (a null id last), of repeated rows one. Rows with an empty set all stay."""
+    found = cut(jaccard_components(docs, id_col, text_col).filter("component IS NOT NULL"))
+    first = found.groupBy("component").agg(
+        F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")).alias("f")
+    )
+    here = found.select("component", F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+    each = cut(
+        here.groupBy("component", "_id", "_hash")
+        .agg(F.count("*").alias("rows"))
+        .join(first, "component")
+        .withColumn("stays", F.col("_id").eqNullSafe(F.col("f.id")) & (F.col("_hash") == F.col("f.text_hash")))
+        .select("_id", "_hash", "rows", "stays")
+    )
+
+    def among(rows: DataFrame, how: str) -> DataFrame:
+        same = docs[id_col].eqNullSafe(rows["_id"]) & (F.xxhash64(docs[text_col]) == rows["_hash"])
+        return docs.join(rows.select("_id", "_hash"), same, how)
+
+    repeated = each.filter("stays AND rows > 1")
+    if repeated.isEmpty():
+        return among(each.filter("NOT stays"), "left_anti")
+    once = among(repeated, "left_semi").dropDuplicates([id_col, text_col])
+    return among(each.filter("NOT stays OR rows > 1"), "left_anti").unionByName(once)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assaykit.llm.columns import unused
 from assaykit.llm.textbytes import LOWER, buffers, pieces, word_spans
 
 GRAM_BITS = 18
@@ -16,6 +17,7 @@ SMOOTHING = 0.5
 ROUNDS = 12
 PENALTY = 2.0
 UNKNOWN = "und"
+MIN_SHARE = 0.3
 
 #: a-z after lower-casing, and every byte of a character beyond ASCII.
 IS_LETTER = np.zeros(256, bool)
@@ -207,3 +209,15 @@ def identify(
     column of `language_of` for its texts. Prediction reads the text alone."""
     names, logp = train(docs, text_col, lang_col, ~held_out(F.col(id_col)))
     return language_of(F.col(text_col), names, logp, docs.sparkSession)
+
+
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language is known and has at least MIN_SHARE
+    of the text."""
+    name = unused(docs, "language")
+    found = F.col(name)
+    return (
+        docs.withColumn(name, identify(docs, id_col, text_col, lang_col))
+        .filter((found["lang"] != UNKNOWN) & (found["score"] >= MIN_SHARE))
+        .drop(name)
+    )

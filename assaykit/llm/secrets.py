@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "random")
@@ -163,6 +163,16 @@ def redact_secrets(
     return clean(text)
 
 
+def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The rows of `docs` with secrets masked in the text and, where there is such a column, the number
+    of characters counted anew; a null text keeps its number."""
+    clean = docs.withColumn(text_col, redact_secrets(F.col(text_col)))
+    if chars_col not in docs.columns:
+        return clean
+    counted = F.coalesce(F.length(text_col), F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+    return clean.withColumn(chars_col, counted)
+
+
 def report(spans: Column) -> dict[str, Column]:
     """Counts of the base kinds, a digest of the base spans, and all spans as text."""
 

@@ -6,19 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assaykit.llm import packing
+from assaykit.llm import contamination, jaccard, languages, packing, secrets
 from assaykit.session import scratch_path
 from assaykit.sources.tables import parquet
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language: a model fitted on their own labels, applied to their texts."""
+    return languages.keep_known(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by shingle similarity."""
+    return jaccard.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return contamination.drop_contaminated(docs, parquet(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked."""
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents as pieces of packed sequences."""
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", mask_secrets),
+    ("packing", pack),
+]
 
 # Language proportions by expectation-maximisation and tokenisers are beyond SQL.
 ORACLE_SQL = None
