@@ -18,10 +18,12 @@ def half_even(value: Column, digits: int) -> Column:
 
     The built-in round goes by the shortest decimal text and rounds its ties up: 0.45175, which is
     stored a little below, becomes 0.4518 there and 0.4517 here. The decimal formatter works on the
-    exact value.
+    exact value. Infinities and NaN stay as they are.
     """
+    exact = value.cast("double")
     pattern = F.lit("0." + "0" * digits)
-    return F.call_function("format_number", value.cast("double"), pattern).try_cast("double")
+    rounded = F.call_function("format_number", exact, pattern).try_cast("double")
+    return F.when(F.isnan(exact) | (F.abs(exact) == float("inf")), exact).otherwise(rounded)
 
 
 def safe_round(text: Column, digits: int = 4) -> Column:
@@ -34,19 +36,22 @@ def safe_long(text: Column) -> Column:
 
 
 def millis_to_iso(millis: Column) -> Column:
-    """ISO-8601 in UTC, always with six fraction digits and the offset; needs no session time zone."""
+    """ISO-8601 in UTC with the offset; six fraction digits, none for a whole second. Needs no session
+    time zone."""
     days = F.floor(millis / F.lit(86_400_000)).cast("int")
     rest = F.pmod(millis, F.lit(86_400_000))
     day = F.date_add(F.lit("1970-01-01").cast("date"), days)
+    part = rest % 1_000
     return F.concat(
         F.date_format(day, "yyyy-MM-dd"),
         F.format_string(
-            "T%02d:%02d:%02d.%03d000+00:00",
+            "T%02d:%02d:%02d",
             F.floor(rest / 3_600_000),
             F.floor(rest / 60_000) % 60,
             F.floor(rest / 1_000) % 60,
-            rest % 1_000,
         ),
+        F.when(part == 0, "").otherwise(F.format_string(".%03d000", part)),
+        F.lit("+00:00"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaykit.functions.numeric import argmax, named_scores
+from assaykit.functions.numeric import argmax, half_even, named_scores
 
 SEED = 42
 
@@ -40,7 +40,7 @@ def batch_score(model, df: DataFrame, name: str, classes: list[str]) -> DataFram
         "label",
         best.alias("pred"),
         F.get(labels, best).alias("predicted_class"),
-        F.round(F.array_max("probs"), 4).alias("confidence"),
+        half_even(F.array_max("probs"), 4).alias("confidence"),
         named_scores(classes, F.col("probs")).alias("scores"),
         "probs",
     )

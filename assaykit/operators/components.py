@@ -66,15 +66,15 @@ def connected_components(
         .distinct()
     )
     total, odd = _shape(now)
-    for _ in range(max_rounds):
-        if odd == 0:
-            break
+    rounds = 0
+    while odd:
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        rounds += 1
         # hooking gives at most one edge for each it reads
         hooked = _hook(now, rows_per_task, total)
         now = cut(_contract(hooked, rows_per_task, total))
         total, odd = _shape(now)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.union(roots)

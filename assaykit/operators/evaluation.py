@@ -90,10 +90,11 @@ def _class_scores(marginals: DataFrame) -> DataFrame:
     )
 
 
-def per_class_report(predictions: DataFrame, digits: int = 4) -> DataFrame:
-    """Precision, recall, F1 and support per class, then macro and weighted averages and accuracy."""
-    scores = _class_scores(class_marginals(confusion_counts(predictions)))
-    measures = ["precision", "recall", "f1"]
+def per_class_report(predictions: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support per class, then macro and weighted averages and accuracy;
+    not rounded."""
+    scores = _class_scores(class_marginals(confusion_counts(predictions))).withColumnRenamed("f1", "f1-score")
+    measures = ["precision", "recall", "f1-score"]
     rows = scores.select(
         "model", F.col("cls").cast("string").alias("entry"), *measures, "support"
     )
@@ -115,7 +116,7 @@ def per_class_report(predictions: DataFrame, digits: int = 4) -> DataFrame:
     )
     table = rows.unionByName(macro).unionByName(weighted).unionByName(total)
     return table.select(
-        "model", "entry", *[half_even(F.col(m), digits).alias(m) for m in measures], "support"
+        "model", "entry", *measures, "support"
     )
 
 

@@ -15,8 +15,8 @@ ANOMALIES = {
     "odd_aspect_images": "is_odd_aspect",
     "non_rgb_images": "is_non_rgb",
 }
-AVERAGES = {"avg_width": "width", "avg_height": "height", "avg_size_kb": "file_size_kb"}
-NULL_CHECKED = ["image_id", "class_name", "split", "width", "height", "aspect_ratio", "md5"]
+AVERAGES = {"avg_width": "width", "avg_height": "height", "avg_file_size_kb": "file_size_kb"}
+NULL_CHECKED = ["width", "height", "channels", "image_mode", "image_format", "aspect_ratio", "md5"]
 
 
 def class_summary(master: DataFrame) -> DataFrame:
@@ -39,23 +39,23 @@ def value_counts(df: DataFrame, key: str, keep_null: bool = True) -> DataFrame:
     source = df if keep_null else df.dropna(subset=[key])
     return (
         source.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), F.asc_nulls_last(key))
+        .agg(F.count("*").alias("count"))
+        .orderBy(F.desc("count"), F.asc_nulls_last(key))
     )
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).orderBy(*keys)
+    return df.groupBy(*keys).agg(F.count("*").alias("count")).orderBy(*keys)
 
 
 def repeated(df: DataFrame, key: str) -> DataFrame:
     """Values held by more than one row."""
-    return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    return df.groupBy(key).agg(F.count("*").alias("count")).filter(F.col("count") > 1)
 
 
 def null_summary(df: DataFrame, columns: Sequence[str] = tuple(NULL_CHECKED)) -> DataFrame:
     """One row of null counts; nulls, not zeros, for an empty frame."""
-    return df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(f"{c}_nulls") for c in columns])
+    return df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in columns])
 
 
 def count_matrix(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:

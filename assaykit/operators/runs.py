@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assaykit.functions.numeric import millis_to_iso, safe_long, safe_round
 from assaykit.operators.skew import attach
 
+# Fixed value: how many runs the read endpoints look at.
 RUN_CAP = 200
 # Metric keys of a run and the names they are shown under.
 FLOAT_METRICS = {
@@ -111,7 +112,13 @@ def runs_compact(wide: DataFrame) -> DataFrame:
     return wide.select(*COMPACT)
 
 
-def newest(runs: DataFrame, n: int = RUN_CAP) -> DataFrame:
+def run_count(runs: DataFrame, cap: int = RUN_CAP) -> DataFrame:
+    """One row: `total_runs` as the capped endpoint reports it, and `all_runs` there are."""
+    n = F.count("*")
+    return runs.agg(F.least(n, F.lit(cap)).alias("total_runs"), n.alias("all_runs"))
+
+
+def newest(runs: DataFrame, n: int) -> DataFrame:
     """The n latest runs; a top-n over partial top-n lists, no full sort."""
     return runs.orderBy(F.desc_nulls_last("start_time"), F.asc("run_id")).limit(n)
 

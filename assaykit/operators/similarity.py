@@ -15,7 +15,8 @@ BAND_ROWS = 4
 
 
 def with_shingles(df: DataFrame, text: Column, words: int = 3) -> DataFrame:
-    """Adds `tokens`: the distinct hashed runs of `words` words over the whole text.
+    """Adds `tokens`: the distinct hashed runs of `words` words over the whole text; a shorter text has
+    one run of all its words. Texts without words are left out.
 
     The word list is a column of its own, so that it is split once per row and not once per run.
     """
@@ -24,10 +25,10 @@ def with_shingles(df: DataFrame, text: Column, words: int = 3) -> DataFrame:
     def run(i: Column) -> Column:
         return F.xxhash64(*[F.get(parts, i + k) for k in range(words)])
 
-    starts = F.sequence(F.lit(0), F.size(parts) - words)
+    starts = F.sequence(F.lit(0), F.greatest(F.size(parts) - words, F.lit(0)))
     return (
         df.withColumn("_parts", F.filter(F.split(text, r"[ \t\n\r]+"), lambda w: w != ""))
-        .filter(F.size(parts) >= words)
+        .filter(F.size(parts) > 0)
         .withColumn("tokens", F.array_distinct(F.transform(starts, run)))
         .drop("_parts")
     )
@@ -35,14 +36,18 @@ def with_shingles(df: DataFrame, text: Column, words: int = 3) -> DataFrame:
 
 def distinct_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One token set per distinct text: (content, node, tokens, size). Copies of a text collapse in
-    the partial aggregation, so a text held by a third of all rows costs one row here."""
-    named = docs.select(
-        F.col(id_col).alias("node"), F.md5(text_col).alias("content"), F.col(text_col).alias("text")
+    the partial aggregation, so a text held by a third of all rows costs one row here and is cut into
+    shingles once."""
+    texts = (
+        docs.select(
+            F.col(id_col).alias("node"), F.md5(text_col).alias("content"), F.col(text_col).alias("text")
+        )
+        .groupBy("content")
+        .agg(F.min_by("text", "node").alias("text"), F.min("node").alias("node"))
     )
     return (
-        with_shingles(named, F.col("text"))
-        .groupBy("content")
-        .agg(F.min_by("tokens", "node").alias("tokens"), F.min("node").alias("node"))
+        with_shingles(texts, F.col("text"))
+        .select("content", "node", "tokens")
         .withColumn("size", F.size("tokens"))
     )
 
@@ -89,16 +94,18 @@ def prefix_postings(sets: DataFrame, threshold: float, rows_per_task: int) -> Da
     )
 
 
-def verify(
-    pairs: DataFrame, sets: DataFrame, threshold: float, rows_per_task: int, total: int
-) -> DataFrame:
-    """The pairs (a, b) whose token sets reach the threshold. `a` may be a hot node, with as many
-    pairs as there are sets (`total`)."""
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("_tb"))
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("_ta"))
-    both = attach(
-        pairs.join(right, "b"), left, "a", F.col("b"), rows_per_task=rows_per_task, total=total
-    )
+def verify(pairs: DataFrame, sets: DataFrame, threshold: float, rows_per_task: int) -> DataFrame:
+    """The pairs (a, b) whose token sets reach the threshold. Pairs are written once; the number of
+    pairs of each end comes from them, so that hot sets are split at either end."""
+    pairs = cut(pairs)
+    total = pairs.count()
+    both = pairs
+    for end, other in (("b", "a"), ("a", "b")):
+        counts = pairs.groupBy(end).agg(F.count("*").alias("_size"))
+        facts = sets.select(F.col("node").alias(end), F.col("tokens").alias(f"_t{end}")).join(counts, end)
+        both = attach(
+            both, facts, end, F.col(other), size="_size", rows_per_task=rows_per_task, total=total
+        ).drop("_size")
     common = F.size(F.array_intersect("_ta", "_tb"))
     union = F.size("_ta") + F.size("_tb") - common
     return both.filter(common >= F.lit(threshold) * union - EPS).select("a", "b")
@@ -134,8 +141,9 @@ def _cross_pairs(
     """Candidates between different components that share a bucket.
 
     Buckets that the star pass merged into one component are done and drop out. What is left is
-    joined with the length and position bounds of prefix filtering; a large bucket is cut into
-    slices, every slice on one side meeting the whole bucket on the other.
+    joined with the length and position bounds of prefix filtering; a large bucket is cut into slices
+    on both sides, and each pair of slices meets in a task of its own, so that no task forms more than
+    some hundred times `rows_per_task` pairs.
     """
     named = postings.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
@@ -159,24 +167,22 @@ def _cross_pairs(
         rows_per_task=rows_per_task,
         total=total,
     )
-    sliced = left_over.withColumn("_n", F.ceil(F.col("_members") / rows_per_task).cast("int"))
+    slice_rows = max(1, int(10 * rows_per_task**0.5))
+    sliced = left_over.withColumn("_n", F.ceil(F.col("_members") / slice_rows).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+    fields = F.struct("size", "node", "pos", "component")
     small = sliced.filter("is_index").select(
-        "token",
-        F.pmod(F.xxhash64("node"), F.col("_n")).cast("int").alias("_slice"),
-        F.struct("size", "node", "pos", "component").alias("s"),
-    )
-    large = sliced.select(
-        "token",
-        F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_slice"),
-        F.struct("size", "node", "pos", "component").alias("l"),
+        "token", own.alias("_i"), every.alias("_j"), fields.alias("s")
     )
+    large = sliced.select("token", own.alias("_j"), every.alias("_i"), fields.alias("l"))
     need = F.ceil(
         F.lit(threshold / (1 + threshold)) * (F.col("s.size") + F.col("l.size")) - EPS
     )
     room = F.least(F.col("s.size") - F.col("s.pos"), F.col("l.size") - F.col("l.pos"))
     ordered = F.struct("s.size", "s.node") < F.struct("l.size", "l.node")
     return (
-        small.join(large, ["token", "_slice"])
+        small.join(large, ["token", "_i", "_j"])
         .filter(F.col("s.component") != F.col("l.component"))
         .filter(ordered)
         .filter(F.col("s.size") >= F.lit(threshold) * F.col("l.size") - EPS)
@@ -201,18 +207,8 @@ def near_duplicate_components(
     what is still apart.
     """
     sets = cut(distinct_sets(docs, id_col, text_col))
-    total = sets.count()
     postings = cut(prefix_postings(sets, threshold, rows_per_task))
-    near_pivot = _star_pairs(postings, "token", threshold, rows_per_task, total)
-    stars = verify(near_pivot, sets, threshold, rows_per_task, total)
-    labels = connected_components(stars, rows_per_task)
-    across = _cross_pairs(postings, labels, threshold, rows_per_task, total)
-    crossing = verify(across, sets, threshold, rows_per_task, total)
-    merged = connected_components(
-        labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(crossing),
-        rows_per_task,
-    )
-    return sets.select("content", "node").join(merged, "node")
+    return _linked(postings, sets, threshold, rows_per_task)
 
 
 def near_duplicate_lsh_components(
@@ -222,9 +218,9 @@ def near_duplicate_lsh_components(
     threshold: float = 0.8,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """As near_duplicate_components, but candidates come from banded MinHash signatures. Every link
-    is verified on the whole sets; a similar pair may be missed, a dissimilar one is never linked
-    directly."""
+    """As near_duplicate_components, but candidates come from banded MinHash signatures: every pair
+    that shares a band is linked, directly or through others, where it is similar, and every link is
+    verified on the whole sets. A similar pair without a common band may be missed."""
     sets = cut(distinct_sets(docs, id_col, text_col))
     hashes = [F.min(F.xxhash64("token", F.lit(i))).alias(f"h{i}") for i in range(MINHASHES)]
     signed = (
@@ -238,9 +234,26 @@ def near_duplicate_lsh_components(
             for i in range(0, MINHASHES, BAND_ROWS)
         ]
     )
-    buckets = signed.select(F.explode(bands).alias("band"), "node", "size")
+    buckets = cut(
+        signed.select(
+            F.explode(bands).alias("token"), "node", "size", F.lit(0).alias("pos"), F.lit(True).alias("is_index")
+        )
+    )
+    return _linked(buckets, sets, threshold, rows_per_task)
+
+
+def _linked(
+    postings: DataFrame, sets: DataFrame, threshold: float, rows_per_task: int
+) -> DataFrame:
+    """Components over the buckets of `postings`: the star pass, then what is still apart."""
     total = sets.count()
-    pairs = _star_pairs(buckets, "band", threshold, rows_per_task, total)
-    links = verify(pairs, sets, threshold, rows_per_task, total)
-    labels = connected_components(links, rows_per_task)
-    return sets.select("content", "node").join(labels, "node")
+    near_pivot = _star_pairs(postings, "token", threshold, rows_per_task, total)
+    stars = verify(near_pivot, sets, threshold, rows_per_task)
+    labels = connected_components(stars, rows_per_task)
+    across = _cross_pairs(postings, labels, threshold, rows_per_task, total)
+    crossing = verify(across, sets, threshold, rows_per_task)
+    merged = connected_components(
+        labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(crossing),
+        rows_per_task,
+    )
+    return sets.select("content", "node").join(merged, "node")

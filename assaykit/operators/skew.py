@@ -7,26 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaykit.session import cut
+
 ROWS_PER_TASK = 1_000_000
-HOT_KEYS = 1_000
+BROADCAST_KEYS = 100_000
 NULL_SPREAD = 64
 
 
 def hot_keys(counts: DataFrame, key: str, size: str, rows_per_task: int) -> DataFrame:
-    """Keys with more rows than one task should take, with the number of copies each needs.
-
-    At most HOT_KEYS rows come out, so the result may always be broadcast. A key left out holds
-    less than one in HOT_KEYS of all rows.
-    """
-    return (
-        counts.filter((F.col(size) > rows_per_task) & F.col(key).isNotNull())
-        .orderBy(F.desc(size), F.asc(key))
-        .limit(HOT_KEYS)
-        .select(
+    """Every key with more rows than one task should take, with the number of copies it needs. There
+    is at most one in `rows_per_task` rows, all of them are returned, and they are broadcast only where
+    their counted number allows it; otherwise Spark joins them as it joins any table."""
+    hot = cut(
+        counts.filter((F.col(size) > rows_per_task) & F.col(key).isNotNull()).select(
             F.col(key).alias("_hot_key"),
             F.ceil(F.col(size) / F.lit(rows_per_task)).cast("int").alias("_copies"),
         )
     )
+    return F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
 
 
 def attach(
@@ -50,7 +48,7 @@ def attach(
     if total is not None and total <= rows_per_task:
         return rows.join(facts, key, how)
     counts = facts.select(key, size) if size else rows.groupBy(key).agg(F.count("*").alias("_size"))
-    hot = F.broadcast(hot_keys(counts, key, size or "_size", rows_per_task))
+    hot = hot_keys(counts, key, size or "_size", rows_per_task)
     salted = (
         rows.join(hot, F.col(key) == F.col("_hot_key"), "left")
         .withColumn(

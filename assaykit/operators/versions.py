@@ -65,8 +65,8 @@ def version_record(
     base = manifest_hash(entries)
     return base.select(
         F.lit(tag).alias("version_tag"),
-        count_images(raw).scalar().cast("int").alias("raw_image_count"),
-        count_images(cleaned).scalar().cast("int").alias("cleaned_image_count"),
+        count_images(raw).scalar().cast("bigint").alias("raw_image_count"),
+        count_images(cleaned).scalar().cast("bigint").alias("cleaned_image_count"),
         pointer("raw").alias("raw_dvc_md5"),
         pointer("cleaned").alias("cleaned_dvc_md5"),
         pointer("reports").alias("reports_dvc_md5"),

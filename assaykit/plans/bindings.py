@@ -36,7 +36,7 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
     number = F.substring("source", 4, 10).cast("int")
     group = F.floor(F.col("doc_id") / 20)
     return (
-        spread(parquet(spark, sf, "documents"))
+        parquet(spark, sf, "documents")
         .withColumn("split", F.when(group % 5 == 0, "test").otherwise("train"))
         .withColumn("class_name", F.concat(F.lit("c"), (number % 5).cast("string")))
         .withColumn(
@@ -55,27 +55,45 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Index columns plus the facts the issue flags come from."""
-    docs = listing(spark, sf).join(parquet(spark, sf, "labels"), "doc_id", "left")
+    """Index columns plus the facts the issue flags come from. Texts are reduced to their facts in the
+    scan; what is joined is narrow. Labels are one row per document, so that the optimizer drops the
+    join where no label column is asked for."""
     words = F.split("text", " ")
     digits = F.length("text") - F.length(F.translate("text", "0123456789", ""))
-    facts = docs.select(
+    docs = listing(spark, sf).select(
         "doc_id",
         "split",
         "class_name",
         "original_relative_path",
-        F.col("doc_id").alias("counter"),
-        F.lit("documents").alias("source_dataset"),
+        "lang",
         F.size(words).alias("width"),
         F.size(F.array_distinct(words)).alias("height"),
+        F.octet_length("text").cast("bigint").alias("file_size_bytes"),
+        F.md5("text").alias("md5"),
+        (digits / F.length("text")).alias("digit_share"),
+    )
+    labels = (
+        parquet(spark, sf, "labels")
+        .groupBy("doc_id")
+        .agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    )
+    facts = docs.join(labels, "doc_id", "left").select(
+        "doc_id",
+        "split",
+        "class_name",
+        "original_relative_path",
+        F.col("doc_id").alias("counter"),
+        F.lit("documents").alias("source_dataset"),
+        "width",
+        "height",
         F.when(F.col("quality") == 1, 3).when(F.col("quality") == 0, 1).alias("channels"),
         F.when(F.col("quality") == 1, "RGB").when(F.col("quality") == 0, "L").alias("image_mode"),
         F.col("lang").alias("image_format"),
         F.lit(0).alias("exif_tag_count"),
-        F.octet_length("text").cast("bigint").alias("file_size_bytes"),
-        F.md5("text").alias("md5"),
+        "file_size_bytes",
+        "md5",
         F.lit(STAMP).alias("ingestion_timestamp"),
-        (digits / F.length("text")).alias("digit_share"),
+        "digit_share",
         "quality",
         "toxic",
     )
@@ -331,8 +349,8 @@ def version_log(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as version records in the order they were written."""
     return parquet(spark, sf, "orders").select(
         F.concat("o_orderpriority", F.lit("/"), "o_orderstatus").alias("version_tag"),
-        (F.col("o_orderkey") % 1000).cast("int").alias("raw_image_count"),
-        (F.col("o_custkey") % 1000).cast("int").alias("cleaned_image_count"),
+        (F.col("o_orderkey") % 1000).cast("bigint").alias("raw_image_count"),
+        (F.col("o_custkey") % 1000).cast("bigint").alias("cleaned_image_count"),
         F.when(F.col("o_custkey") % 3 != 0, F.md5(F.col("o_orderkey").cast("string"))).alias(
             "git_commit"
         ),

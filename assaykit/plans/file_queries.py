@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from assaykit.functions import paths
+from assaykit.functions import paths, quality
 from assaykit.operators import candidates, evaluation, images, index, profile, ranking, validation
 from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
-from assaykit.plans.model_queries import HISTORY_SQL, report_rows
+from assaykit.plans.model_queries import HISTORY_SQL, MODEL_OF, report_rows
 from assaykit.plans.validation_queries import validated
 from assaykit.schemas import INDEX, REPORT, RUN_LOG
 from assaykit.session import cut, scratch_path
@@ -172,27 +172,40 @@ def write_validation_reports(spark, sf):
     )
 
 
-REPORT_FIGURES = """, lat AS (SELECT CASE event_type WHEN 'click' THEN 'm0' WHEN 'view' THEN 'm1'
-        WHEN 'error' THEN 'm2' END AS model, pround(avg(value), 3) AS mean_ms,
+REPORT_FIGURES = f""", lat AS (SELECT {MODEL_OF} AS model, pround(avg(value), 3) AS mean_ms,
         pround(1000 / avg(value), 1) AS tp FROM events GROUP BY event_type)
-    SELECT c.model AS model_name, 'cleaned_v1' AS version_tag,
+    SELECT replace(p.model, 'net', 'm') AS model_name, 'cleaned_v1' AS version_tag,
         pround(sum(hits) / sum(support), 4) AS accuracy, mean_ms AS latency_mean_ms,
-        pround(100 / tp, 4) AS cost_per_1k_dkk FROM cls c JOIN lat ON lat.model = c.model
-    GROUP BY c.model, mean_ms, tp"""
+        pround(100 / tp, 4) AS cost_per_1k_dkk FROM params p
+    LEFT JOIN cls c ON c.model = replace(p.model, 'net', 'm')
+    LEFT JOIN lat ON lat.model = replace(p.model, 'net', 'm')
+    GROUP BY p.model, mean_ms, tp"""
+
+SHOWN_FIGURES = (
+    REPORT_FIGURES.replace("pround(sum(hits) / sum(support), 4) AS", "coalesce(pround(sum(hits) / sum(support), 4), 0.0) AS")
+    .replace("mean_ms AS latency_mean_ms", "coalesce(mean_ms, 0.0) AS latency_mean_ms")
+    .replace("pround(100 / tp, 4) AS", "coalesce(pround(100 / tp, 4), 0.0) AS")
+    + """ UNION ALL SELECT m, 'cleaned_v1', 0.0, 0.0, 0.0 FROM (VALUES ('m7'), ('m8')) absent(m)"""
+)
 
 
-@query("scan_report_json", REPORT_FIGURES, ("cls",))
+@query("scan_report_json", SHOWN_FIGURES, ("cls", "params"))
 def scan_report_json(spark, sf):
-    """Reports as JSON text, parsed back; one in five would lack figures and get zeros."""
+    """Reports as JSON text, parsed back and looked up for the artifacts m0..m8. A report without a
+    figure, the broken one of m7 and the absent one of m8 show zeros."""
     texts = report_rows(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
-    parsed = files.parse_reports(texts).select("report.*")
-    meta = files.report_meta(parsed)
+    broken = spark.range(1).select(F.lit('{"model": "m7", "quality": ').alias("value"))
+    parsed = files.parse_reports(texts.unionByName(broken)).select("report.*")
+    artifacts = spark.range(9).select(
+        F.concat(F.lit("m"), "id").alias("model_name"), F.lit("cleaned_v1").alias("version_tag")
+    )
+    meta = files.with_report_meta(artifacts, files.report_meta(parsed))
     return meta.select(
         "model_name", "version_tag", "accuracy", "latency_mean_ms", "cost_per_1k_dkk"
     )
 
 
-@query("write_eval_report_json", REPORT_FIGURES, ("cls",))
+@query("write_eval_report_json", REPORT_FIGURES, ("cls", "params"))
 def write_eval_report_json(spark, sf):
     path = scratch_path(spark, "reports.json")
     sinks.report_json(report_rows(spark, sf), path)
@@ -218,9 +231,10 @@ def write_eval_tables(spark, sf):
 
 @query(
     "write_comparison",
-    """SELECT model, pround(sum(hits) / sum(support), 4) AS accuracy, 'cleaned_v1' AS version_tag
-    FROM cls GROUP BY model""",
-    ("cls",),
+    """SELECT replace(p.model, 'net', 'm') AS model, pround(sum(hits) / sum(support), 4) AS accuracy,
+        'cleaned_v1' AS version_tag
+    FROM params p LEFT JOIN cls ON cls.model = replace(p.model, 'net', 'm') GROUP BY p.model""",
+    ("cls", "params"),
 )
 def write_comparison(spark, sf):
     path = scratch_path(spark, "model_comparison_cleaned_v1.csv")
@@ -333,14 +347,15 @@ def image_headers(spark, sf):
 @query(
     "scan_image_files",
     """SELECT printf('images/%06d.png', vec_id) AS path, 64 AS n_bytes,
-        CASE WHEN label <> 9 THEN 64 ELSE 1 END AS pixel_count FROM embeddings""",
+        CASE WHEN label <> 9 THEN 64 END AS pixel_count FROM embeddings""",
 )
 def scan_image_files(spark, sf):
-    img = F.col("image")
-    return b.derived_images(spark, sf).select(
-        "path",
-        F.octet_length("image.data").alias("n_bytes"),
-        (img["width"] * img["height"]).alias("pixel_count"),
+    """Sizes from the headers; an undecodable image has no pixel count."""
+    shots = b.derived_images(spark, sf)
+    heads = images.image_headers(shots).select("path", "width", "height")
+    sizes = shots.select("path", F.octet_length("image.data").alias("n_bytes"))
+    return sizes.join(heads, "path").select(
+        "path", "n_bytes", quality.pixel_count(F.col("width"), F.col("height")).alias("pixel_count")
     )
 
 
@@ -452,7 +467,10 @@ def evaluate_candidates(spark, sf):
             "latency_mean_ms": F.lit(None).cast("double"),
             "cost_per_1k_images_dkk": F.lit(None).cast("double"),
             "maintainability_score": F.lit(None).cast("double"),
-            "position": F.length("model"),
+            # Fixed order: as the candidates are named in the estimators
+            "position": F.array_position(
+                F.array(*[F.lit(n) for n in candidates.estimators()]), F.col("model")
+            ).cast("int"),
         }
     )
     return ranking.ranked(table).select(

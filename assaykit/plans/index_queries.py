@@ -181,12 +181,18 @@ def is_non_rgb(spark, sf):
     return b.master(spark, sf).select("image_id", "is_non_rgb")
 
 
-@query("ingest_stamp")
+@query("ingest_stamp", "SELECT image_id, TRUE AS well_formed, TRUE AS recent FROM idx", IDX)
 def ingest_stamp(spark, sf):
-    return b.image_index(spark, sf).select(
+    """Every row stamped with the time of the run; the stamp read back has the form and is of today."""
+    stamped = b.image_index(spark, sf).select(
         "image_id",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("stamp"),
     )
+    form = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}$"
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds(F.to_timestamp("stamp"))
+    return stamped.select(
+        "image_id", F.col("stamp").rlike(form).alias("well_formed"), age.between(0, 86_400).alias("recent")
+    )
 
 
 @query(
@@ -232,12 +238,13 @@ LAST_PART = "split_part(url, '/', -1)"
 
 @query(
     "safe_round_float",
-    f"""SELECT page_id, round(try_cast(nullif({LAST_PART}, '') AS DOUBLE) / 7, 4) AS v
+    f"""SELECT page_id, pround(try_cast(nullif({LAST_PART}, '') AS DOUBLE) / 7, 4) AS v
     FROM pages""",
 )
 def safe_round_float(spark, sf):
-    value = numeric.safe_double(paths.basename(F.col("url")))
-    return b.urls(spark, sf).select("page_id", F.round(value / 7, 4).alias("v"))
+    # a seventh of the number, as text with many digits
+    text = (numeric.safe_double(paths.basename(F.col("url"))) / 7).cast("string")
+    return b.urls(spark, sf).select("page_id", numeric.safe_round(text).alias("v"))
 
 
 @query(
@@ -253,7 +260,7 @@ def safe_int(spark, sf):
 
 @query(
     "millis_to_iso",
-    """SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%dT%H:%M:%S.%f')
+    """SELECT event_id, replace(strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '')
         || '+00:00' AS iso FROM events""",
 )
 def millis_to_iso(spark, sf):
@@ -367,7 +374,7 @@ def filter_split(spark, sf):
 
 @query(
     "filter_having_count",
-    "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1",
+    "SELECT user_id, count(*) AS count FROM events GROUP BY user_id HAVING count(*) > 1",
 )
 def filter_having_count(spark, sf):
     return profile.repeated(tables.parquet(spark, sf, "events"), "user_id")
@@ -441,7 +448,7 @@ def join_label_map(spark, sf):
 @query(
     "class_summary",
     """SELECT split, class_name, count(*) AS image_count, round(avg(width), 1) AS avg_width,
-        round(avg(height), 1) AS avg_height, round(avg(file_size_kb), 1) AS avg_size_kb
+        round(avg(height), 1) AS avg_height, round(avg(file_size_kb), 1) AS avg_file_size_kb
     FROM master GROUP BY split, class_name ORDER BY split, class_name""",
     MASTER,
 )
@@ -481,7 +488,7 @@ def profile_cube(spark, sf):
 
 @query(
     "duplicate_summary",
-    "SELECT md5, count(*) AS n FROM idx GROUP BY md5 HAVING count(*) > 1",
+    "SELECT md5, count(*) AS count FROM idx GROUP BY md5 HAVING count(*) > 1",
     IDX,
 )
 def duplicate_summary(spark, sf):
@@ -492,24 +499,24 @@ def duplicate_summary(spark, sf):
     "null_summary",
     "SELECT "
     + ", ".join(
-        f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}_nulls"
-        for c in [*profile.NULL_CHECKED, "image_mode"]
+        f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}"
+        for c in profile.NULL_CHECKED
     )
     + " FROM idx",
     IDX,
 )
 def null_summary(spark, sf):
-    return profile.null_summary(b.image_index(spark, sf), [*profile.NULL_CHECKED, "image_mode"])
+    return profile.null_summary(b.image_index(spark, sf))
 
 
-@query("split_summary", "SELECT split, count(*) AS n FROM idx GROUP BY split ORDER BY split", IDX)
+@query("split_summary", "SELECT split, count(*) AS count FROM idx GROUP BY split ORDER BY split", IDX)
 def split_summary(spark, sf):
     return profile.count_by(b.image_index(spark, sf), "split")
 
 
 @query(
     "format_summary",
-    "SELECT image_format, count(*) AS n FROM idx GROUP BY 1 ORDER BY n DESC, image_format",
+    "SELECT image_format, count(*) AS count FROM idx GROUP BY 1 ORDER BY 2 DESC, image_format",
     IDX,
 )
 def format_summary(spark, sf):
@@ -518,7 +525,7 @@ def format_summary(spark, sf):
 
 @query(
     "mode_summary",
-    "SELECT image_mode, count(*) AS n FROM idx GROUP BY 1 ORDER BY n DESC, image_mode",
+    "SELECT image_mode, count(*) AS count FROM idx GROUP BY 1 ORDER BY 2 DESC, image_mode",
     IDX,
 )
 def mode_summary(spark, sf):
@@ -543,7 +550,7 @@ def table_row_count(spark, sf):
 
 @query(
     "count_by_split_class",
-    "SELECT split, class_name, count(*) AS n FROM idx GROUP BY 1, 2 ORDER BY 1, 2",
+    "SELECT split, class_name, count(*) AS count FROM idx GROUP BY 1, 2 ORDER BY 1, 2",
     IDX,
 )
 def count_by_split_class(spark, sf):
@@ -552,8 +559,8 @@ def count_by_split_class(spark, sf):
 
 @query(
     "class_distribution",
-    """SELECT class_name, count(*) AS n FROM idx WHERE split = 'train' AND class_name IS NOT NULL
-    GROUP BY 1 ORDER BY n DESC, class_name""",
+    """SELECT class_name, count(*) AS count FROM idx WHERE split = 'train' AND class_name IS NOT NULL
+    GROUP BY 1 ORDER BY 2 DESC, class_name""",
     IDX,
 )
 def class_distribution(spark, sf):

@@ -43,7 +43,7 @@ def argmax_class(spark, sf):
         "item",
         best.alias("pred"),
         F.get(names, best).alias("predicted_class"),
-        F.round(F.array_max("probs"), 4).alias("confidence"),
+        numeric.half_even(F.array_max("probs"), 4).alias("confidence"),
     )
 
 
@@ -71,15 +71,15 @@ def accuracy(spark, sf):
 
 @query(
     "per_class_report",
-    """SELECT model, CAST(cls AS VARCHAR) AS entry, pround(prec, 4) AS precision, pround(rec, 4) AS recall,
-        pround(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM cls
-    UNION ALL SELECT model, 'macro avg', pround(avg(prec), 4), pround(avg(rec), 4), pround(avg(f1), 4),
+    """SELECT model, CAST(cls AS VARCHAR) AS entry, prec AS precision, rec AS recall,
+        f1 AS "f1-score", CAST(support AS BIGINT) AS support FROM cls
+    UNION ALL SELECT model, 'macro avg', avg(prec), avg(rec), avg(f1),
         CAST(sum(support) AS BIGINT) FROM cls GROUP BY model
-    UNION ALL SELECT model, 'weighted avg', pround(sum(prec * support) / sum(support), 4),
-        pround(sum(rec * support) / sum(support), 4), pround(sum(f1 * support) / sum(support), 4),
+    UNION ALL SELECT model, 'weighted avg', sum(prec * support) / sum(support),
+        sum(rec * support) / sum(support), sum(f1 * support) / sum(support),
         CAST(sum(support) AS BIGINT) FROM cls GROUP BY model
-    UNION ALL SELECT model, 'accuracy', pround(sum(hits) / sum(support), 4),
-        pround(sum(hits) / sum(support), 4), pround(sum(hits) / sum(support), 4),
+    UNION ALL SELECT model, 'accuracy', sum(hits) / sum(support),
+        sum(hits) / sum(support), sum(hits) / sum(support),
         CAST(sum(support) AS BIGINT) FROM cls GROUP BY model""",
     CLS,
 )
@@ -253,12 +253,15 @@ def best_epoch(spark, sf):
 
 def report_rows(spark, sf):
     """Evaluation reports assembled from the prediction, latency, cost and parameter tables. Models
-    meet by number: prediction model m0..m2, the latency of the event types and the net tensors."""
+    meet by number: prediction models m0..m2, the latency of the event types m0..m4 and the net tensors
+    m0..m6. A model that lacks a part has nulls for it."""
     quality = evaluation.quality_metrics(b.predictions(spark, sf)).join(
         evaluation.top2_accuracy(b.predictions(spark, sf)), "model"
     )
     name = F.col("event_type")
-    number = F.when(name == "click", "m0").when(name == "view", "m1").when(name == "error", "m2")
+    number = F.lit(None).cast("string")
+    for place, kind in enumerate(("click", "view", "error", "purchase", "signup")):
+        number = F.when(name == kind, f"m{place}").otherwise(number)
     latency = (
         evaluation.latency_profile(tables.parquet(spark, sf, "events"), "event_type", "value")
         .withColumn("model", number)
@@ -279,7 +282,7 @@ def report_rows(spark, sf):
 
     joined = pack(quality, "quality")
     for frame, name in ((latency, "performance"), (cost, "cost"), (upkeep, "maintainability")):
-        joined = joined.join(pack(frame, name), "model")
+        joined = joined.join(pack(frame, name), "model", "full")
     return joined.withColumns(
         {
             "version_tag": F.lit("cleaned_v1"),
@@ -290,8 +293,10 @@ def report_rows(spark, sf):
     )
 
 
-COMPARISON_SQL = f""", lat AS (SELECT CASE event_type WHEN 'click' THEN 'm0' WHEN 'view' THEN 'm1'
-        WHEN 'error' THEN 'm2' END AS model, pround(avg(value), 3) AS mean_ms,
+MODEL_OF = """CASE event_type WHEN 'click' THEN 'm0' WHEN 'view' THEN 'm1' WHEN 'error' THEN 'm2'
+        WHEN 'purchase' THEN 'm3' WHEN 'signup' THEN 'm4' END"""
+
+COMPARISON_SQL = f""", lat AS (SELECT {MODEL_OF} AS model, pround(avg(value), 3) AS mean_ms,
         pround(quantile_cont(value, 0.95), 3) AS p95, pround(1000 / avg(value), 1) AS tp
     FROM events GROUP BY event_type),
 met AS (SELECT model, pround(sum(hits) / sum(support), 4) AS accuracy,
@@ -300,7 +305,7 @@ top2 AS (SELECT model, pround(avg(CASE WHEN len(list_filter(probs, lambda x: x >
         THEN 1.0 ELSE 0.0 END), 4) AS top_2_accuracy FROM scored GROUP BY model),
 p AS (SELECT replace(model, 'net', 'm') AS model, total_params / 1000000 AS m,
         trainable_params / 1000000 AS t, trainable_params FROM params)
-SELECT met.model, 'cleaned_v1' AS version_tag, accuracy, f1_weighted, f1_macro, mcc, cohen_kappa,
+SELECT model, 'cleaned_v1' AS version_tag, accuracy, f1_weighted, f1_macro, mcc, cohen_kappa,
     top_2_accuracy, mean_ms AS latency_mean_ms, p95 AS latency_p95_ms, tp AS throughput_img_per_sec,
     tp AS batch_throughput_img_s, mean_ms AS total_inference_sec, pround(100 / tp, 4) AS cost_per_1k_dkk,
     pround(100 / tp * 10, 4) AS cost_scale_10k_dkk, pround(100 / tp * 100, 4) AS cost_scale_100k_dkk,
@@ -309,8 +314,9 @@ SELECT met.model, 'cleaned_v1' AS version_tag, accuracy, f1_weighted, f1_macro,
         + CAST(0.2 AS DOUBLE) * 5, 3) AS maintainability_score,
     1 AS dependency_count, pround(m, 3) AS "param_count_M", pround(t, 3) AS "trainable_params_M",
     trainable_params
-FROM met JOIN top2 ON top2.model = met.model JOIN lat ON lat.model = met.model
-JOIN p ON p.model = met.model"""
+FROM (SELECT model FROM met UNION SELECT model FROM lat UNION SELECT model FROM p) every
+LEFT JOIN met USING (model) LEFT JOIN top2 USING (model) LEFT JOIN lat USING (model)
+LEFT JOIN p USING (model)"""
 
 
 @query("model_comparison", COMPARISON_SQL, ("cls", "scored", "params"))
@@ -321,8 +327,9 @@ def model_comparison(spark, sf):
 @query(
     "rename_flatten",
     """SELECT model, pround(sum(hits) / sum(support), 4) AS accuracy, 'cleaned_v1' AS version_tag
-    FROM cls GROUP BY model""",
-    CLS,
+    FROM params p LEFT JOIN cls ON cls.model = replace(p.model, 'net', 'm')
+    GROUP BY p.model""".replace("SELECT model", "SELECT replace(p.model, 'net', 'm') AS model"),
+    ("cls", "params"),
 )
 def rename_flatten(spark, sf):
     return evaluation.model_comparison(report_rows(spark, sf)).select(
@@ -354,7 +361,7 @@ def wide(spark, sf):
     return runs.runs_wide(b.run_log(spark, sf), meta)
 
 
-ISO = """strftime(make_timestamp(start_time * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"""
+ISO = """replace(strftime(make_timestamp(start_time * 1000), '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') || '+00:00'"""
 
 
 @query(
@@ -399,16 +406,16 @@ def recent_runs(spark, sf):
     ("meta",),
 )
 def cap_runs(spark, sf):
-    return runs.newest(b.run_meta(spark, sf)).select("run_id", "start_time")
+    return runs.newest(b.run_meta(spark, sf), runs.RUN_CAP).select("run_id", "start_time")
 
 
 @query(
     "run_count",
-    "SELECT least(count(*), 200) AS total_runs FROM meta",
+    "SELECT least(count(*), 200) AS total_runs, count(*) AS all_runs FROM meta",
     ("meta",),
 )
 def run_count(spark, sf):
-    return runs.newest(b.run_meta(spark, sf)).agg(F.count("*").alias("total_runs"))
+    return runs.run_count(b.run_meta(spark, sf))
 
 
 LATEST_SQL = """SELECT model, arg_min(run_id, {'s': -start_time, 'r': run_id}) AS latest_run_id

@@ -61,12 +61,12 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
     "texts": (
         ("words",),
         """SELECT content, min(doc_id) AS node, any_value(ws) AS ws FROM words
-        WHERE len(ws) >= 3 GROUP BY content""",
+        WHERE len(ws) > 0 GROUP BY content""",
     ),
     "shingles": (
         ("texts",),
-        """SELECT DISTINCT node, unnest(list_transform(range(1, len(ws) - 1),
-            lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS token FROM texts""",
+        """SELECT DISTINCT node, unnest(list_transform(range(1, greatest(len(ws) - 1, 2)),
+            lambda i: array_to_string(ws[i : i + 2], ' '))) AS token FROM texts""",
     ),
     "set_sizes": (("shingles",), "SELECT node, count(*) AS n FROM shingles GROUP BY node"),
     "links": (
@@ -231,8 +231,8 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
     "vlog": (
         (),
         """SELECT o_orderpriority || '/' || o_orderstatus AS version_tag,
-            CAST(o_orderkey % 1000 AS INTEGER) AS raw_image_count,
-            CAST(o_custkey % 1000 AS INTEGER) AS cleaned_image_count,
+            CAST(o_orderkey % 1000 AS BIGINT) AS raw_image_count,
+            CAST(o_custkey % 1000 AS BIGINT) AS cleaned_image_count,
             CASE WHEN o_custkey % 3 <> 0 THEN md5(CAST(o_orderkey AS VARCHAR)) END AS git_commit,
             strftime(o_orderdate, '%Y-%m-%d') AS created_at,
             CAST(o_custkey AS VARCHAR) AS notes, o_orderkey FROM orders""",

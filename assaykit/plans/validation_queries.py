@@ -200,9 +200,17 @@ def near_duplicate_groups(spark, sf):
     return b.stage(spark, sf, "near").groups.select("group_id", "member", "group_size")
 
 
-@query("near_duplicate_lsh")
+@query("near_duplicate_lsh", "SELECT CAST(0 AS BIGINT) AS false_links")
 def near_duplicate_lsh(spark, sf):
-    return b.stage(spark, sf, "near_lsh").groups.select("group_id", "member", "group_size")
+    """Groups of the approximate search that reach over several exact components: there are none."""
+    exact = b.stage(spark, sf, "near").groups.select("member", F.col("group_id").alias("exact"))
+    found = b.stage(spark, sf, "near_lsh").groups.select("member", "group_id")
+    mixed = (
+        found.join(exact, "member", "left")
+        .groupBy("group_id")
+        .agg((F.min("exact").isNull() | (F.min("exact") != F.max("exact"))).alias("mixed"))
+    )
+    return mixed.agg(F.count_if("mixed").alias("false_links"))
 
 
 @query(

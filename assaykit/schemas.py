@@ -55,7 +55,7 @@ VALIDATION = shape(
 )
 VERSIONS = shape(
     """
-    version_id int, version_tag string, raw_image_count int, cleaned_image_count int,
+    version_id int, version_tag string, raw_image_count bigint, cleaned_image_count bigint,
     raw_dvc_md5 string, cleaned_dvc_md5 string, reports_dvc_md5 string, manifest_sha256 string,
     git_commit string, created_at string, notes string
     """

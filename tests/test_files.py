@@ -181,3 +181,15 @@ def test_catalog_loads_without_a_session():
     code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q); print(len(q))"
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_rounding_and_time_edges(spark):
+    rows = spark.createDataFrame(
+        [(float("inf"), 0), (float("-inf"), 1), (2.675, 1_780_079_029_000), (None, 1_780_079_029_123)], "v double, ms long"
+    )
+    got = rows.select(numeric.half_even(F.col("v"), 2).alias("r"), numeric.millis_to_iso(F.col("ms")).alias("t")).collect()
+    assert [r.r for r in got] == [float("inf"), float("-inf"), 2.67, None]
+    assert [r.t for r in got] == [
+        "1970-01-01T00:00:00+00:00", "1970-01-01T00:00:00.001000+00:00",
+        "2026-05-29T18:23:49+00:00", "2026-05-29T18:23:49.123000+00:00",
+    ]

@@ -39,6 +39,8 @@ def test_no_edges(spark):
 
 def sets_of(text):
     words = text.split()
+    if 0 < len(words) < 3:
+        return {tuple(words)}
     return {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
 
 
@@ -62,7 +64,7 @@ def corpus(seed):
     docs += [" ".join(template + [f"u{i}_{j}" for j in range(12)]) for i in range(15)]
     for _ in range(8):
         docs += family(rng, 3, rng.randrange(20, 60), 4)
-    docs += [docs[0]] * 6 + [docs[3] + " "] * 2 + ["one two", "one two", "", "a b c", "a  b\nc"]
+    docs += [docs[0]] * 6 + [docs[3] + " "] * 2 + ["one two", "one two", "one  two", "solo", " solo", "", "a b c", "a  b\nc"]
     rng.shuffle(docs)
     return list(enumerate(docs))
 

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from assaykit.operators import skew
 from assaykit.operators.quantiles import exact_percentiles
-from assaykit.operators.skew import attach, blocked_row_number
+from assaykit.operators.skew import attach, blocked_row_number, hot_keys
 
 
 def hot_rows(spark, n=600, seed=1):
@@ -67,3 +68,23 @@ def test_percentiles_are_exact(spark, accuracy):
     for row in got:
         want = np.quantile(data[row["k"]], probs)
         assert np.allclose([row[n] for n in names], want, rtol=0, atol=1e-12)
+
+
+def test_every_hot_key_is_split(spark):
+    """More hot keys than a short list could name: each is spread, the result is the plain join."""
+    rows = spark.range(1200 * 6).select("id", (F.col("id") % 1200).alias("key"))
+    facts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    hot = hot_keys(facts, "key", "n", 2)
+    assert hot.count() == 1200 and hot.agg(F.min("_copies"), F.max("_copies")).first() == (3, 3)
+    joined = attach(rows, facts, "key", F.col("id"), size="n", rows_per_task=2)
+    assert joined.count() == rows.count() and joined.select("id").distinct().count() == rows.count()
+
+
+def test_hot_keys_need_no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 0)
+    rows = hot_rows(spark)
+    facts = rows.filter("key is not null").groupBy("key").agg(F.count("*").alias("n"))
+    mine = attach(rows, facts, "key", F.col("id"), how="left", size="n", rows_per_task=20)
+    assert sorted(mine.select("id", "n").collect(), key=repr) == sorted(
+        rows.join(facts, "key", "left").select("id", "n").collect(), key=repr
+    )
