@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assaykit.functions.numeric import argmax, half_even, named_scores
 
 SEED = 42
+NAMES = ("logistic_regression", "random_forest", "naive_bayes")
 
 
 def with_features(df: DataFrame, column: str = "embedding") -> DataFrame:
@@ -17,11 +18,12 @@ def with_features(df: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def estimators(seed: int = SEED) -> dict:
-    return {
-        "logistic_regression": LogisticRegression(maxIter=20, regParam=0.01),
-        "random_forest": RandomForestClassifier(numTrees=10, maxDepth=5, seed=seed),
-        "naive_bayes": NaiveBayes(modelType="gaussian"),
-    }
+    made = (
+        LogisticRegression(maxIter=20, regParam=0.01),
+        RandomForestClassifier(numTrees=10, maxDepth=5, seed=seed),
+        NaiveBayes(modelType="gaussian"),
+    )
+    return dict(zip(NAMES, made, strict=True))
 
 
 def train_candidates(train: DataFrame, seed: int = SEED) -> dict:

@@ -698,9 +698,7 @@ def manifest_entries(spark, sf):
     return docs.unionByName(pages)
 
 
-@query(
-    "manifest_hash",
-    """WITH entry AS (SELECT 'docs/' || doc_id AS path, octet_length(encode(text)) AS size,
+MANIFEST_SQL = """WITH entry AS (SELECT 'docs/' || doc_id AS path, octet_length(encode(text)) AS size,
             sha256(text) AS sha FROM documents
         UNION ALL SELECT 'pages/' || page_id, octet_length(encode(html)), sha256(html) FROM pages),
     leaf AS (SELECT substr(md5(path), 1, 5) AS bucket,
@@ -708,8 +706,10 @@ def manifest_entries(spark, sf):
         FROM entry GROUP BY 1),
     branch AS (SELECT substr(bucket, 1, 2) AS branch,
             sha256(string_agg(digest, chr(10) ORDER BY bucket)) AS digest FROM leaf GROUP BY 1)
-    SELECT sha256(string_agg(digest, chr(10) ORDER BY branch)) AS manifest_sha256 FROM branch""",
-)
+    SELECT sha256(string_agg(digest, chr(10) ORDER BY branch)) AS manifest_sha256 FROM branch"""
+
+
+@query("manifest_hash", MANIFEST_SQL)
 def manifest_hash(spark, sf):
     return versions.manifest_hash(manifest_entries(spark, sf))
 
@@ -916,7 +916,17 @@ def upsert_version(spark, sf):
     )
 
 
-@query("build_version_record")
+POINTER_SQL = "(SELECT md5(arg_min(r_name, md5(r_name))) FROM region WHERE r_regionkey % 3 = {})"
+
+
+@query(
+    "build_version_record",
+    f"""SELECT 'cleaned_v1' AS version_tag, (SELECT count(*) FROM pages WHERE NOT ends_with(url, '/')) AS raw_image_count,
+        CAST(0 AS BIGINT) AS cleaned_image_count, {POINTER_SQL.format(0)} AS raw_dvc_md5,
+        {POINTER_SQL.format(1)} AS cleaned_dvc_md5, {POINTER_SQL.format(2)} AS reports_dvc_md5,
+        (SELECT manifest_sha256 FROM ({MANIFEST_SQL})) AS manifest_sha256,
+        CAST(NULL AS VARCHAR) AS git_commit, '{b.STAMP}' AS created_at, '' AS notes""",
+)
 def build_version_record(spark, sf):
     raw = b.urls(spark, sf).select(F.concat("url", F.lit(".jpg")).alias("path"))
     pointers = (
