@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from assaykit.functions import numeric, paths, quality
@@ -10,7 +12,7 @@ from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
 from assaykit.plans.model_queries import HISTORY_SQL, MODEL_OF, report_rows
 from assaykit.plans.validation_queries import validated
-from assaykit.schemas import INDEX, REPORT, RUN_LOG
+from assaykit.schemas import IMAGES, INDEX, REPORT, RUN_LOG
 from assaykit.session import cut, scratch_path
 from assaykit.sources import files, runstore, sinks, tables
 
@@ -125,17 +127,19 @@ def write_summaries(spark, sf):
 
 @query(
     "create_table_if_missing",
-    "SELECT 0 AS n_rows, 41 AS n_columns, count(*) AS n_documents FROM documents",
+    """SELECT TRUE AS made, FALSE AS made_again, CAST(0 AS BIGINT) AS rows_before, count(*) AS rows_after
+    FROM documents""",
 )
 def create_table_if_missing(spark, sf):
-    """The declared shapes as empty frames, next to the table they will hold."""
-    from assaykit.schemas import IMAGES, VERSIONS, empty
-
-    shape = empty(spark, IMAGES)
-    held = b.image_index(spark, sf).agg(F.count("*").alias("n_documents"))
-    width = len(shape.columns) + len(VERSIONS.fields)
-    blank = shape.agg(F.count("*").cast("int").alias("n_rows")).scalar()
-    return held.select(blank.alias("n_rows"), F.lit(width).alias("n_columns"), "n_documents")
+    """The managed table is made once, is empty then, and keeps its rows when asked for again."""
+    name = f"image_metadata_{uuid.uuid4().hex[:12]}"
+    made = tables.create_if_missing(spark, name, IMAGES)
+    before = spark.table(name).count()
+    tables.refresh(b.master(spark, sf), name, IMAGES)
+    again = tables.create_if_missing(spark, name, IMAGES)
+    return spark.table(name).agg(F.count("*").alias("rows_after")).select(
+        F.lit(made).alias("made"), F.lit(again).alias("made_again"), F.lit(before).alias("rows_before"), "rows_after"
+    )
 
 
 @query(

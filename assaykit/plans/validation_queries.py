@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from assaykit.functions import quality
 from assaykit.operators import duplicates, validation
 from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
-from assaykit.schemas import VALIDATION, conform
+from assaykit.schemas import VALIDATION
+from assaykit.session import cut
 from assaykit.sources import tables
 
 EXACT = "exact_groups"
@@ -32,6 +35,17 @@ def validated(spark, sf, *kinds: str):
     )
 
 
+def stored(spark, sf, *kinds: str):
+    """The validation table as it is kept: written once, so that filters and columns of what reads it
+    reach the files."""
+    return cut(validated(spark, sf, *kinds))
+
+
+def narrow_index(spark, sf):
+    """Ids and digests, written once: the documents are scanned a single time."""
+    return cut(b.image_index(spark, sf).select("image_id", "md5"))
+
+
 def members(stage: b.Stage):
     return duplicates.group_members(duplicates.union_groups(stage.groups), assessed(stage))
 
@@ -187,7 +201,8 @@ def evolve_schema(spark, sf):
     ("exact_groups",),
 )
 def exact_duplicate_groups(spark, sf):
-    groups = duplicates.exact_groups(b.image_index(spark, sf))
+    index = narrow_index(spark, sf)
+    groups = duplicates.exact_groups(index, total=index.count())
     return groups.select("group_id", "member", "group_size")
 
 
@@ -220,10 +235,9 @@ def near_duplicate_lsh(spark, sf):
     groups=BOTH,
 )
 def union_tagged_groups(spark, sf):
-    rows = b.doc_rows(spark, sf)
-    near = duplicates.near_groups(tables.parquet(spark, sf, "documents"), rows)
-    union = duplicates.union_groups(duplicates.exact_groups(rows), near)
-    return union.select("kind", "group_id", "member")
+    groups = b.stage(spark, sf, "exact", "near").groups
+    parts = [groups.filter(F.col("kind") == kind) for kind in duplicates.KIND_ORDER]
+    return duplicates.union_groups(*parts).select("kind", "group_id", "member")
 
 
 @query(
@@ -232,7 +246,8 @@ def union_tagged_groups(spark, sf):
     ("exact_groups",),
 )
 def distinct_members(spark, sf):
-    groups = duplicates.exact_groups(b.image_index(spark, sf)).select("group_id", "member")
+    index = narrow_index(spark, sf)
+    groups = duplicates.exact_groups(index, total=index.count()).select("group_id", "member")
     return duplicates.distinct_members(groups.unionByName(groups))
 
 
@@ -496,7 +511,7 @@ MANIFEST_SQL = """SELECT image_id, cleaned_path, split, class_name, label_id AS
 
 @query("load_manifest", MANIFEST_SQL, ("validated",), groups=EXACT)
 def load_manifest(spark, sf):
-    return validation.manifest(validated(spark, sf), b.CLASSES[:4], "cleaned_v1")
+    return validation.manifest(stored(spark, sf), b.CLASSES[:4], "cleaned_v1")
 
 
 @query(
@@ -507,7 +522,7 @@ def load_manifest(spark, sf):
 )
 def filter_valid_with_path(spark, sf):
     return (
-        validated(spark, sf)
+        stored(spark, sf)
         .filter("is_valid = 1 AND cleaned_path IS NOT NULL")
         .select("image_id", "cleaned_path")
     )
@@ -521,9 +536,9 @@ def filter_valid_with_path(spark, sf):
     groups=EXACT,
 )
 def point_lookup(spark, sf):
-    table = validated(spark, sf).select("image_id", "is_valid", "drop_reason")
-    wanted = b.image_index(spark, sf).agg(F.max("image_id").alias("m")).scalar()
-    return table.filter(F.col("image_id") == wanted)
+    wanted = b.image_index(spark, sf).agg(F.max("image_id")).first()[0]
+    table = stored(spark, sf).filter(F.col("image_id") == wanted)
+    return table.select("image_id", "is_valid", "drop_reason")
 
 
 @query(
@@ -534,7 +549,7 @@ def point_lookup(spark, sf):
     groups=EXACT,
 )
 def dynamic_conjunction(spark, sf):
-    return validation.records(validated(spark, sf), split="train", is_valid=1).select(
+    return validation.records(stored(spark, sf), split="train", is_valid=1).select(
         "image_id", "split", "class_name", "is_valid"
     )
 
@@ -575,11 +590,12 @@ def publish_cleaned(spark, sf):
     groups=EXACT,
 )
 def refresh_table(spark, sf):
-    """A full refresh into a fresh path and a read back, as the table swap does it."""
-    from assaykit.session import scratch_path
-
-    path = scratch_path(spark, "image_validation_results")
-    conform(validated(spark, sf), VALIDATION).write.parquet(path)
-    return spark.read.schema(VALIDATION).parquet(path).agg(
+    """The managed table made empty, filled, and replaced once more, then read by its name."""
+    name = f"image_validation_results_{uuid.uuid4().hex[:12]}"
+    tables.create_if_missing(spark, name, VALIDATION)
+    table = stored(spark, sf)
+    tables.refresh(table.filter("is_valid = 1"), name, VALIDATION)
+    tables.refresh(table, name, VALIDATION)
+    return spark.table(name).agg(
         F.count("*").alias("total_images"), F.sum("is_valid").alias("valid_images")
     )
