@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaykit.functions import quality
-from assaykit.functions.numeric import softmax
+from assaykit.functions.numeric import half_even, softmax
 from assaykit.operators import duplicates
 from assaykit.operators.index import enrich, name_items
 from assaykit.schemas import INDEX
@@ -309,11 +309,12 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """One candidate per brand. Every seventh has no accuracy, every eleventh a latency of zero."""
     part = parquet(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
     line = parquet(spark, sf, "lineitem").select(
-        "l_partkey", "l_discount", "l_quantity", "l_extendedprice"
+        "l_partkey", "l_discount", "l_tax", "l_quantity", "l_extendedprice"
     )
     # one row per part goes into the join
     per_part = line.groupBy("l_partkey").agg(
         F.sum("l_discount").alias("d"),
+        F.sum("l_tax").alias("t"),
         F.sum("l_quantity").alias("q"),
         F.sum("l_extendedprice").alias("e"),
         F.count("*").alias("n"),
@@ -325,7 +326,9 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("p_brand")
         .agg(
             F.round(1 - F.sum("d") / n, 4).alias("accuracy"),
+            F.round(1 - F.sum("t") / n, 4).alias("f1_weighted"),
             F.round(F.sum("q") / n, 4).alias("latency_mean_ms"),
+            F.round(F.sum(F.col("p_size") * F.col("n")) / n / 4, 3).alias("param_count_M"),
             F.round(F.sum("e") / n / 1000, 4).alias("cost_per_1k_images_dkk"),
             F.round(F.sum(F.col("p_size") * F.col("n")) / n / 10, 4).alias("maintainability_score"),
         )
@@ -341,6 +344,11 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
             "cost_per_1k_images_dkk",
             "maintainability_score",
             "position",
+            "f1_weighted",
+            half_even(F.try_divide(F.lit(1000.0), F.col("latency_mean_ms")), 1).alias(
+                "throughput_img_per_sec"
+            ),
+            "param_count_M",
         )
     )
 

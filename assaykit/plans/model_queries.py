@@ -361,6 +361,13 @@ def wide(spark, sf):
     return runs.runs_wide(b.run_log(spark, sf), meta)
 
 
+def newest_wide(spark, sf, meta, n: int):
+    """The newest runs are chosen before the log is read for them."""
+    kept = cut(runs.newest(meta, n))
+    log = b.run_log(spark, sf).join(kept.select("run_id"), "run_id", "left_semi")
+    return runs.runs_wide(log, kept)
+
+
 ISO = """replace(strftime(make_timestamp(start_time * 1000), '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') || '+00:00'"""
 
 
@@ -397,7 +404,9 @@ def runs_compact(spark, sf):
     RUNS,
 )
 def recent_runs(spark, sf):
-    return runs.list_runs(wide(spark, sf), 20).select("run_id", "start_time", "model")
+    return runs.list_runs(newest_wide(spark, sf, b.run_meta(spark, sf), 20), 20).select(
+        "run_id", "start_time", "model"
+    )
 
 
 @query(
@@ -454,8 +463,8 @@ def filter_metric_not_null(spark, sf):
 
 @query(
     "dashboard_summary",
-    f""", kept AS (SELECT * FROM runs ORDER BY start_time DESC, run_id LIMIT 200)
-    SELECT 'exp' AS experiment_name, arg_min(version_tag, {{'s': -start_time, 'r': run_id}})
+    f""", kept AS (SELECT * FROM runs WHERE experiment = 'exp1' ORDER BY start_time DESC, run_id LIMIT 200)
+    SELECT 'name_exp1' AS experiment_name, arg_min(version_tag, {{'s': -start_time, 'r': run_id}})
             AS dataset_version_tag, 'v2' AS scoring_version, count(*) AS total_runs,
         max({ISO}) AS latest_run_time,
         {_best_sql('accuracy', 'DESC').replace('FROM runs', 'FROM kept')} AS best_model_by_accuracy,
@@ -465,14 +474,17 @@ def filter_metric_not_null(spark, sf):
         {_best_sql('maintainability_score', 'DESC').replace('FROM runs', 'FROM kept')}
             AS best_model_by_maintainability,
         (SELECT model FROM ranked WHERE comparison_id = 'even' AND recommendation_rank = 1)
-            AS recommended_model FROM kept""",
-    ("runs", "ranked"),
+            AS recommended_model,
+        (SELECT count(*) FROM meta WHERE experiment = 'exp1') AS all_runs FROM kept""",
+    ("runs", "ranked", "meta"),
 )
 def dashboard_summary(spark, sf):
     even = ranked(spark, sf).filter("comparison_id = 'even'")
-    return runs.dashboard_summary(
-        wide(spark, sf), ranking.recommended_with_score(even), "exp", "", "v2"
-    )
+    name = "name_exp1"
+    meta = runs.of_experiment(b.run_meta(spark, sf), b.experiments(spark, sf), name)
+    newest = newest_wide(spark, sf, meta, runs.RUN_CAP)
+    summary = runs.dashboard_summary(newest, ranking.recommended_with_score(even), name, "", "v2")
+    return summary.withColumn("all_runs", runs.run_count(meta).select("all_runs").scalar())
 
 
 def ranked(spark, sf):
@@ -577,8 +589,9 @@ def runner_up(spark, sf):
 
 
 COMPARE_SQL = f""", newest AS ({LATEST_SQL.replace('FROM meta', "FROM (SELECT run_id, start_time, 'Brand#' || (user_key % 30) AS model FROM (SELECT *, CAST(substr(run_id, 5) AS INTEGER) AS user_key FROM meta))")})
-    SELECT r.comparison_id, r.model, n.latest_run_id, r.accuracy, r.latency_mean_ms,
-        r.recommendation_rank FROM ranked r LEFT JOIN newest n ON n.model = r.model"""
+    SELECT r.comparison_id, r.model, n.latest_run_id, r.accuracy, r.f1_weighted, r.latency_mean_ms,
+        r.throughput_img_per_sec, r.cost_per_1k_images_dkk, r.maintainability_score,
+        r."param_count_M", r.recommendation_rank FROM ranked r LEFT JOIN newest n ON n.model = r.model"""
 
 
 def brand_runs(spark, sf):
@@ -597,7 +610,12 @@ def models_compare(spark, sf):
         "model",
         "latest_run_id",
         "accuracy",
+        "f1_weighted",
         "latency_mean_ms",
+        "throughput_img_per_sec",
+        "cost_per_1k_images_dkk",
+        "maintainability_score",
+        "param_count_M",
         "recommendation_rank",
     )
 
@@ -605,7 +623,9 @@ def models_compare(spark, sf):
 @query(
     "join_latest_run",
     COMPARE_SQL.replace(
-        "r.comparison_id, r.model, n.latest_run_id, r.accuracy, r.latency_mean_ms,\n        r.recommendation_rank",
+        'r.comparison_id, r.model, n.latest_run_id, r.accuracy, r.f1_weighted, r.latency_mean_ms,\n'
+        '        r.throughput_img_per_sec, r.cost_per_1k_images_dkk, r.maintainability_score,\n'
+        '        r."param_count_M", r.recommendation_rank',
         "r.model, n.latest_run_id",
     ).replace("FROM ranked r", "FROM cand r"),
     ("cand", "meta"),

@@ -191,7 +191,8 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT p_brand, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS position,
             round(1 - avg(l_discount), 4) AS accuracy, round(avg(l_quantity), 4) AS latency,
-            round(avg(l_extendedprice) / 1000, 4) AS cost, round(avg(p_size) / 10, 4) AS upkeep
+            round(avg(l_extendedprice) / 1000, 4) AS cost, round(avg(p_size) / 10, 4) AS upkeep,
+            round(1 - avg(l_tax), 4) AS f1_weighted, round(avg(p_size) / 4, 3) AS param_count
         FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY p_brand""",
     ),
     "cand": (
@@ -200,7 +201,8 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
             p_brand AS model, 'cleaned_v1' AS version_tag,
             CASE WHEN position % 7 <> 0 THEN accuracy END AS accuracy,
             CASE WHEN position % 11 = 0 THEN CAST(0 AS DOUBLE) ELSE latency END AS latency_mean_ms,
-            cost AS cost_per_1k_images_dkk, upkeep AS maintainability_score, position
+            cost AS cost_per_1k_images_dkk, upkeep AS maintainability_score, position, f1_weighted,
+            pround(1000 / latency, 1) AS throughput_img_per_sec, param_count AS "param_count_M"
         FROM brand""",
     ),
     "norm": (
