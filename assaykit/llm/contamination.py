@@ -11,12 +11,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaykit.llm import bitmaps
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, row_of, run_hashes, span_hashes, word_spans
 from assaykit.session import cut
 
 WINDOW = 10
 GRAM = 5
-FILTER_BITS = 26
 
 #: Digits, a-z after lower-casing, and every byte of a character beyond ASCII.
 IS_WORD = np.zeros(256, bool)
@@ -44,12 +44,6 @@ def window_prints(hashes: np.ndarray, row: np.ndarray, length: int, gram: int) -
     return starts, least[starts]
 
 
-def _bits(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word and bit of a fingerprint in the filter."""
-    at = prints >> np.uint64(64 - FILTER_BITS)
-    return (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-
-
 def _windows(
     text: pa.Array, lengths: list[int] | None, window: int, gram: int, passes: np.ndarray | None
 ) -> Iterator[tuple[int, np.ndarray, list[list[dict]]]]:
@@ -68,8 +62,7 @@ def _windows(
             if lengths is None:
                 keep = own[row[at]] == length
             else:
-                word, bit = _bits(prints)
-                keep = (passes[word] >> bit & np.uint64(1)).astype(bool)
+                keep = bitmaps.passes(passes, prints)
             for s, p in zip(at[keep].tolist(), prints[keep].view(np.int64).tolist()):
                 words = b" ".join([raw[a:b] for a, b in zip(starts[s : s + length], ends[s : s + length])])
                 key = hashlib.blake2b(words, digest_size=16).digest()
@@ -98,19 +91,6 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str, window: int, gra
     )
 
 
-def _filter(prints: DataFrame) -> np.ndarray:
-    """A bitmap of 2^FILTER_BITS bits of the benchmark's fingerprints; its size never grows."""
-    at = F.shiftrightunsigned("print", 64 - FILTER_BITS)
-    words = (
-        prints.groupBy(F.shiftright(at, 6).alias("word"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(print, {64 - FILTER_BITS}) & 63 as int))")).alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -140,7 +120,7 @@ def contamination(
     spark = docs.sparkSession
     listed = cut(_item_windows(items, item_col, item_text_col, window, gram))
     lengths = sorted(r[0] for r in listed.select("length").distinct().collect())
-    passes = spark.sparkContext.broadcast(_filter(listed.select("print")))
+    passes = spark.sparkContext.broadcast(bitmaps.build(listed, "print"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaykit.llm import bitmaps
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, ragged, row_of, run_hashes, span_hashes, word_spans
 from assaykit.operators.components import connected_components
 from assaykit.session import cut
@@ -21,6 +22,9 @@ SALT_BITS = 12
 SALTS = 16
 ROWS_PER_SALT = 1_000_000
 SLICE = 2048
+SIGNED = 64
+LISTED = 500_000
+EARLY = 4
 SEEN = 1_000_000
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,8 +97,8 @@ class _Seen:
 
 
 def _facts(docs: DataFrame) -> DataFrame:
-    """Per row: id, text hash, set size and set hash (`a`); and, with a null set size, counts of the
-    token buckets that are frequent within a task."""
+    """Per row: id, text hash, set size, set hash (`a`), and the set's signature where a task meets it
+    first; and, with a null set size, counts of the token buckets that are frequent within a task."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen, rows = np.zeros(1 << HOT_BITS, np.int32), _Seen(), 0
@@ -104,12 +108,18 @@ def _facts(docs: DataFrame) -> DataFrame:
             rows += int(fresh.sum())
             own = tokens[np.repeat(fresh, sizes)]
             np.add.at(counts, (own >> np.uint64(64 - HOT_BITS)).astype(np.int64), 1)
+            ends = np.cumsum(sizes)
+            sigs = [
+                signature(tokens[e - m : e]) if f else None
+                for e, m, f in zip(ends.tolist(), sizes.tolist(), fresh.tolist())
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[low : low + n],
                     batch.column(1)[low : low + n],
                     pa.array(sizes.astype(np.int64)),
                     pa.array(a.view(np.int64)),
+                    pa.array(sigs, pa.binary()),
                     pa.nulls(n, pa.int64()),
                     pa.nulls(n, pa.int64()),
                 ],
@@ -119,15 +129,15 @@ def _facts(docs: DataFrame) -> DataFrame:
         if len(hot):
             none = pa.nulls(len(hot), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none.cast(kind), none, none, none, pa.array(hot), pa.array(counts[hot].astype(np.int64))],
+                [pa.nulls(len(hot), kind), none, none, none, pa.nulls(len(hot), pa.binary()), pa.array(hot), pa.array(counts[hot].astype(np.int64))],
                 names=names,
             )
 
-    names = ["id", "text_hash", "size", "a", "bucket", "n"]
+    names = ["id", "text_hash", "size", "a", "sig", "bucket", "n"]
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(docs.schema["id"].dataType)
-    sql = f"id {docs.schema['id'].dataType.simpleString()}, text_hash long, size long, a long, bucket long, n long"
+    sql = f"id {docs.schema['id'].dataType.simpleString()}, text_hash long, size long, a long, sig binary, bucket long, n long"
     return docs.select("id", "text_hash", "text").mapInArrow(scan, sql)
 
 
@@ -184,40 +194,37 @@ def _postings(docs: DataFrame, hot: np.ndarray, num: int, den: int, salts: int)
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """A bitmap with a bit for each token; its length is the power of two above twice the size."""
-    bits = 1 << max(6, min(16, (2 * len(tokens) - 1).bit_length()))
+    """A bitmap with a bit for each token; its length is the power of two above four times the size."""
+    bits = 1 << max(6, min(17, (4 * len(tokens) - 1).bit_length()))
     out = np.zeros(bits, np.uint8)
     out[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(a, size, sig, tokens) of one row of `docs` for each wanted set."""
+def _token_sets(docs: DataFrame, nodes: DataFrame, per_set: DataFrame) -> DataFrame:
+    """(a, tokens) of the given sets. The scan passes over rows whose text hash is not in a bitmap of
+    the wanted ones, so only few texts are cut into shingles again and none is shuffled."""
+    wanted = nodes.join(per_set, "a").select(F.col("one.text_hash").alias("h"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmaps.build(wanted, "h"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
-        for _, _, tokens, sizes, a in _scan(batches, 0):
-            fresh = seen.new(a, sizes)
-            own = tokens[np.repeat(fresh, sizes)]
-            a, sizes = a[fresh], sizes[fresh]
-            ends = np.cumsum(sizes)
-            sigs = [signature(own[e - n : e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+
+        def chosen() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = bitmaps.passes(bitmap.value, batch.column(0).to_numpy())
+                yield batch.filter(pa.array(good))
+
+        for _, _, tokens, sizes, a in _scan(chosen(), 1):
+            fresh, ends = seen.new(a, sizes), np.cumsum(sizes)
+            at = np.flatnonzero(fresh)
+            data = [tokens[ends[i] - sizes[i] : ends[i]].tobytes() for i in at]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(a.view(np.int64)),
-                    pa.array(sizes.astype(np.int32)),
-                    pa.array(sigs, pa.binary()),
-                    pa.array([own[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())], pa.binary()),
-                ],
-                names=["a", "size", "sig", "tokens"],
+                [pa.array(a[at].view(np.int64)), pa.array(data, pa.binary())], names=["a", "tokens"]
             )
 
-    same = docs["id"].eqNullSafe(wanted["w_id"]) & (docs["text_hash"] == wanted["w_hash"])
-    return (
-        docs.join(wanted, same, "left_semi")
-        .select("text")
-        .mapInArrow(scan, "a long, size int, sig binary, tokens binary")
-    )
+    found = docs.select("text_hash", "text").mapInArrow(scan, "a long, tokens binary")
+    return found.join(nodes, "a", "left_semi").dropDuplicates(["a"])
 
 
 def _folded(sigs: list[bytes], bits: int) -> np.ndarray:
@@ -239,7 +246,9 @@ def _similar(shared: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, num: i
     return den * shared >= num * (n_left + n_right - shared)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verify(
+    pairs: DataFrame, sets: DataFrame, docs: DataFrame, per_set: DataFrame, num: int, den: int
+) -> DataFrame:
     """The pairs (a, b) that reach the threshold: sizes, then signatures, then the whole sets."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,66 +273,132 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
 
-    def ends(frame: DataFrame, *columns: str) -> DataFrame:
+    def ends(frame: DataFrame, known: DataFrame, *columns: str) -> DataFrame:
         for side in ("a", "b"):
-            facts = sets.select(F.col("a").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+            facts = known.select(F.col("a").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
             frame = frame.join(facts, side)
         order = [f"{c}_{side}" for c in columns for side in ("a", "b")]
         return frame.select("a", "b", *order)
 
-    near = cut(ends(pairs, "size", "sig").mapInArrow(bound, "a long, b long"))
-    return cut(ends(near, "tokens").mapInArrow(exact, "a long, b long").distinct())
+    near = cut(ends(pairs, sets, "size", "sig").mapInArrow(bound, "a long, b long"))
+    nodes = cut(near.select("a").union(near.select("b")).distinct())
+    tokens = cut(_token_sets(docs, nodes, per_set))
+    return cut(ends(near, tokens, "tokens").mapInArrow(exact, "a long, b long").distinct())
+
 
+def _live(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """(bucket, a, size, reach, pivot) of the buckets that can hold a similar pair.
 
-def _star_pairs(buckets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each member of a bucket with the bucket's first set, and the firsts of salted buckets with the
-    first among them; both only within the size bound."""
-    members = buckets.select("a", "size", F.col("lo.a").alias("b"), F.col("lo.size").alias("size_b"))
-    firsts = (
-        buckets.filter(F.col("key") % 2 != 0)
-        .select("bucket", "lo")
+    A posted token that no other set posted or holds among its first ones counts against its set: the
+    set shares at most the rest, which bounds the size of a partner (`reach`). Of two similar sets the
+    smaller can always reach its own size; a bucket without such a member is done, and the one with
+    the largest reach for its size is the bucket's pivot. So texts that share a passage and little else meet nowhere.
+    """
+    same_key = Window.partitionBy("key")
+    shared = cut(
+        postings.withColumn("first", F.min("a").over(same_key))
+        .withColumn("last", F.max("a").over(same_key))
+        .filter((F.col("first") != F.col("last")) | (F.col("key") % 2 != 0))
+        .select("key", "a", "size")
         .distinct()
-        .withColumn("top", F.min("lo").over(Window.partitionBy("bucket")))
-        .select("lo.a", "lo.size", F.col("top.a").alias("b"), F.col("top.size").alias("size_b"))
     )
-    small, large = F.least("size", "size_b"), F.greatest("size", "size_b")
+    size, shares = F.col("size").cast("long"), F.col("shares")
+    needed = F.expr(f"(cast(size as long) * {num} + {den - 1}) div {den}")
+    most = size - (size - needed + 1 - shares)
+    reach = F.expr(f"(most * {num + den}) div {num}") - size
+    each = (
+        shared.groupBy("a", "size")
+        .agg(F.count("*").alias("shares"))
+        .withColumn("most", most)
+        .select("a", reach.alias("reach"))
+    )
+    rows = shared.join(each, "a").select(
+        F.shiftright("key", SALT_BITS).alias("bucket"), "a", "size", "reach"
+    )
+    # the member with the largest share of common tokens is the likeliest origin of its neighbours
+    first = F.struct((-F.expr("reach * 1000 div size")).alias("rank"), "a", "size", "reach")
+    pivots = (
+        rows.groupBy("bucket")
+        .agg(F.min(F.when(F.col("reach") >= F.col("size"), first)).alias("pivot"), F.count("*").alias("n"))
+        .filter("pivot IS NOT NULL AND n > 1")
+        .select("bucket", "pivot")
+    )
+    return cut(rows.join(pivots, "bucket"))
+
+
+def _star_pairs(live: DataFrame, num: int, den: int) -> DataFrame:
+    """Each member of a bucket with the bucket's pivot, within the size bounds."""
+    p = F.col("pivot")
+    small, large = F.least("size", p["size"]), F.greatest("size", p["size"])
     return (
-        members.union(firsts)
-        .filter((F.col("a") != F.col("b")) & (small * den >= large * num))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        live.filter(
+            (F.col("a") != p["a"])
+            & (small * den >= large * num)
+            & (F.col("size") <= p["reach"])
+            & (p["size"] <= F.col("reach"))
+        )
+        .select(F.least("a", p["a"]).alias("a"), F.greatest("a", p["a"]).alias("b"))
         .distinct()
     )
 
 
+def _bands(num: int, den: int) -> list[int]:
+    """Lower ends of the size bands: a set and a similar larger one are in one band or neighbours."""
+    out = [1]
+    while out[-1] < 1 << 31:
+        out.append(out[-1] * den // num + 1)
+    return out
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    """A small table, written and counted: broadcast up to LISTED narrow rows, joined as any other
+    beyond."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= LISTED else df
+
+
 def _tile_pairs(
-    buckets: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int
+    live: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int
 ) -> DataFrame:
     """Pairs of different components that share a bucket and whose signatures allow the threshold.
 
-    A bucket whose members are all in one component is done. In an open one, a tile is a size band
-    and the next above; its largest component is cut into slices that each meet slices of the other
-    members, and those meet each other, so a tile has two slices at most and members of the largest
-    component are never paired among themselves.
+    A bucket whose members are all in one component is done, and of open buckets with the same
+    members one is compared. A large bucket is cut into tiles: a size band and the next above, in which
+    slices of the largest component each meet slices of the other members, and those meet each other,
+    so a tile has two slices at most and members of the largest component are never paired among
+    themselves. A pair that is known to share an earlier bucket is left to that one. Signatures travel
+    with the members of buckets above SIGNED; pairs of smaller ones are bounded by sizes here and by
+    signatures once they are distinct.
     """
     named = (
-        buckets.select("bucket", "a", "size")
-        .join(labels.select(F.col("node").alias("a"), "component"), "a", "left")
+        live.select("bucket", "a", "size", "reach")
+        .join(_listed(labels.select(F.col("node").alias("a"), "component")), "a", "left")
         .withColumn("component", F.coalesce("component", "a"))
     )
     open_buckets = (
         named.groupBy("bucket", "component")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("h"))
         .groupBy("bucket")
-        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.bit_xor("h").alias("h"),
+            F.max(F.struct("n", "component")).alias("most"),
+            F.count("*").alias("parts"),
+        )
         .filter("parts > 1")
+        .groupBy("n", "h")
+        .agg(F.min(F.struct("bucket", "most")).alias("b"))
         .select(
-            "bucket",
-            F.col("most.component").alias("main"),
-            F.ceil(F.col("most.n") / SLICE).cast("int").alias("main_slices"),
-            F.ceil((F.col("n") - F.col("most.n")) / SLICE).cast("int").alias("rest_slices"),
+            "b.bucket",
+            (F.col("n") > SLICE).alias("large"),
+            (F.col("n") > SIGNED).alias("signed"),
+            F.col("b.most.component").alias("main"),
+            F.ceil(F.col("b.most.n") / SLICE).cast("int").alias("main_slices"),
+            F.ceil((F.col("n") - F.col("b.most.n")) / SLICE).cast("int").alias("rest_slices"),
         )
     )
-    members = cut(named.join(open_buckets, "bucket"))
+    members = cut(named.join(_listed(open_buckets), "bucket"))
+    early = members.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("bucket")), 1, EARLY).alias("early"))
     is_main = F.col("component") == F.col("main")
     own = F.pmod(F.xxhash64("a"), F.when(is_main, F.col("main_slices")).otherwise(F.col("rest_slices"))).cast("int")
 
@@ -336,17 +411,24 @@ def _tile_pairs(
     places = F.when(is_main, F.transform(rest, lambda j: place(0, F.col("own"), j))).otherwise(
         F.concat(against_main, among_rest)
     )
-    band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num)) + 1e-9).cast("int")
+    ends = F.array(*[F.lit(e) for e in _bands(num, den)])
+    band = F.when(F.col("large"), F.size(F.filter(ends, lambda e: e <= F.col("size").cast("long")))).otherwise(0)
+    bases = F.when(F.col("large"), F.array(F.col("band"), F.col("band") - 1)).otherwise(F.array(F.lit(0)))
+    marks = [f"e{i}" for i in range(EARLY)]
+    known = sets.join(early, "a").select(
+        "a", "sig", *[F.get("early", F.lit(i)).alias(m) for i, m in enumerate(marks)]
+    )
     keys = ["bucket", "base", "kind", "i", "j"]
     tiles = (
         members.withColumn("own", own)
         .withColumn("band", band)
         .select("*", F.explode(places).alias("p"))
-        # equal bounds of two bands may differ by a rounding, so a band meets two above it
-        .select("*", "p.*", F.explode(F.array(F.col("band"), F.col("band") - 1, F.col("band") - 2)).alias("base"))
-        .select(*keys, "band", "own", F.col("component").alias("c"), is_main.alias("main"), "a")
-        .join(sets.select("a", "size", "sig"), "a")
-        .select(*keys, "band", "own", "c", "main", "a", "size", "sig")
+        .select("*", "p.*", F.explode(bases).alias("base"))
+        .select(*keys, "band", "own", F.col("component").alias("c"), is_main.alias("main"), "a", "size", "reach", "signed")
+        .join(known, "a")
+        .withColumns({m: F.coalesce(m, "bucket") for m in marks})
+        .withColumn("sig", F.when(F.col("signed"), F.col("sig")))
+        .select(*keys, "band", "own", "c", "main", "a", "size", "reach", *marks, "sig")
     )
 
     def compare(table: dict[str, np.ndarray], sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -357,11 +439,11 @@ def _tile_pairs(
             left, right = np.flatnonzero(table["own"] == i), np.flatnonzero(table["own"] == j)
         if not len(left) or not len(right):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        bits = min(8 * len(s) for s in sigs)
-        rows = _folded(sigs, bits)
-        c, a, size, band = (table[n] for n in ("c", "a", "size", "band"))
+        signed = sigs[0] is not None
+        rows = _folded(sigs, min(8 * len(s) for s in sigs)) if signed else None
+        c, a, size, band, reach = (table[n].astype(np.int64) for n in ("c", "a", "size", "band", "reach"))
         out = []
-        step = max(1, (1 << 21) // (len(right) * rows.shape[1]))
+        step = max(1, (1 << 20) // len(right))
         for low in range(0, len(left), step):
             x = left[low : low + step]
             ok = (c[x][:, None] != c[right][None]) & (
@@ -369,14 +451,22 @@ def _tile_pairs(
             )
             if kind == 1 and i == j:
                 ok &= a[x][:, None] < a[right][None]
-            small, large = np.minimum(size[x][:, None], size[right][None]), np.maximum(size[x][:, None], size[right][None])
-            ok &= small * den >= large * num
+            one, two = size[x][:, None], size[right][None]
+            ok &= (np.minimum(one, two) * den >= np.maximum(one, two) * num) & (two <= reach[x][:, None]) & (one <= reach[right][None])
             p, q = np.nonzero(ok)
-            for at in range(0, len(p), 1 << 16):
-                l, r = x[p[at : at + (1 << 16)]], right[q[at : at + (1 << 16)]]
-                most = overlap_bound(rows[l], rows[r], size[l], size[r])
-                good = _similar(most, size[l], size[r], num, den)
-                out.append((l[good], r[good]))
+            chunk = max(1, (1 << 22) // rows.shape[1]) if signed else 1 << 20
+            for at in range(0, len(p), chunk):
+                l, r = x[p[at : at + chunk]], right[q[at : at + chunk]]
+                before = np.zeros(len(l), bool)
+                for one in marks:
+                    for two in marks:
+                        before |= (table[one][l] == table[two][r]) & (table[one][l] < table["bucket"][0])
+                l, r = l[~before], r[~before]
+                if signed:
+                    most = overlap_bound(rows[l], rows[r], size[l], size[r])
+                    good = _similar(most, size[l], size[r], num, den)
+                    l, r = l[good], r[good]
+                out.append((l, r))
         l, r = (np.concatenate([o[k] for o in out] or [np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
         return np.minimum(a[l], a[r]), np.maximum(a[l], a[r])
 
@@ -456,21 +546,16 @@ def jaccard_components(
     )
     n_sets = per_set.count()
     salts = min((1 << SALT_BITS - 1) - 1, max(SALTS, n_sets // ROWS_PER_SALT))
-    postings = _postings(own, _hot_buckets(facts, n_sets), num, den, salts)
-    same_key = Window.partitionBy("key")
-    buckets = cut(
-        postings.withColumn("lo", F.min(F.struct("a", "size")).over(same_key))
-        .withColumn("hi", F.max("a").over(same_key))
-        .filter((F.col("lo.a") != F.col("hi")) | (F.col("key") % 2 != 0))
-        .select("key", F.shiftright("key", SALT_BITS).alias("bucket"), "a", "size", "lo")
-    )
-    wanted = (
-        buckets.select("a").distinct().join(per_set, "a").select(F.col("one.id").alias("w_id"), F.col("one.text_hash").alias("w_hash"))
+    live = _live(_postings(own, _hot_buckets(facts, n_sets), num, den, salts), num, den)
+    sets = cut(
+        facts.filter("sig IS NOT NULL")
+        .select("a", F.col("size").cast("int").alias("size"), "sig")
+        .join(live.select("a").distinct(), "a", "left_semi")
+        .dropDuplicates(["a"])
     )
-    sets = cut(_sets(own, wanted))
-    stars = _verify(_star_pairs(buckets, num, den), sets, num, den)
+    stars = _verify(_star_pairs(live, num, den), sets, own, per_set, num, den)
     labels = connected_components(stars)
-    across = _verify(_tile_pairs(buckets, labels, sets, num, den), sets, num, den)
+    across = _verify(_tile_pairs(live, labels, sets, num, den), sets, own, per_set, num, den)
     merged = connected_components(
         labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(across)
     )

@@ -86,6 +86,8 @@ def test_frequent_tokens_salts_and_slices(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "HOT_LEAST", 2)
     monkeypatch.setattr(jaccard, "HOT_SHARE", 10**9)
     monkeypatch.setattr(jaccard, "SLICE", 7)
+    monkeypatch.setattr(jaccard, "SIGNED", 3)
+    monkeypatch.setattr(jaccard, "LISTED", 0)
     rows = list(enumerate(near_copies(3, members=40)))
     assert run(spark, rows) == brute(rows)
 
