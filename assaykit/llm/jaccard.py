@@ -194,8 +194,8 @@ def _postings(docs: DataFrame, hot: np.ndarray, num: int, den: int, salts: int)
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """A bitmap with a bit for each token; its length is the power of two above four times the size."""
-    bits = 1 << max(6, min(17, (4 * len(tokens) - 1).bit_length()))
+    """A bitmap with a bit for each token; its length is the power of two above twice the size."""
+    bits = 1 << max(6, min(17, (2 * len(tokens) - 1).bit_length()))
     out = np.zeros(bits, np.uint8)
     out[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaykit.llm.textbytes import buffers, pieces
-from assaykit.llm.tokens import END_ID, encoder, word_bpe
+from assaykit.llm.tokens import CACHED_WORDS, END_ID, encoder, word_bpe
 
 SEQUENCE = 4096
 GROUP_TOKENS = 1 << 21
@@ -79,6 +79,7 @@ def pack(
     group_tokens: int = GROUP_TOKENS,
     linear: float = LINEAR,
     quadratic: float = QUADRATIC,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the
     sequence's capacity and estimated cost.
@@ -94,7 +95,7 @@ def pack(
     key = docs.schema[id_col]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(file).encode
+        encode = encoder(file, cached_words).encode
         task, group = TaskContext.get().partitionId(), 0
         keys, flats, counts, held = [], [], [], 0
 

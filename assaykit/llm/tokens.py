@@ -33,7 +33,8 @@ class Encoder:
     and always parts letters and digits from marks that follow them.
 
     A text is parted at white space, every distinct word is encoded once by the library and kept in
-    a bounded table (cleared when it holds `cached_words`), and the ids are gathered by numpy. A text
+    a bounded table (cleared when it holds `cached_words`), and the ids are gathered by numpy. Stems, which
+    words share, live in two generations, so that frequent ones outlast a clearing. A text
     with one of the four control characters that the two sides part differently goes to the library
     whole. Strings of special tokens are ordinary text.
     """
@@ -50,6 +51,7 @@ class Encoder:
             raise ValueError("the mark between joined words must be one token")
         self.cached_words = cached_words
         self.stems: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self._clear()
 
     def _clear(self) -> None:
@@ -78,7 +80,7 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Words share their stems: case of ASCII letters and marks at the end are set apart."""
         if len(self.stems) > self.cached_words:
-            self.stems = {}
+            self.stems, self.older = {}, self.stems
         stems = [w.rstrip(string.punctuation) for w in words]
         tails = [w[len(s) :] for w, s in zip(words, stems)]
         for i, stem in enumerate(stems):
@@ -87,6 +89,9 @@ class Encoder:
             elif stem.isascii():
                 stems[i] = stem.lower()
         new = {*stems, *tails}.difference(self.stems)
+        for part in new.intersection(self.older):
+            self.stems[part] = self.older[part]
+        new.difference_update(self.stems)
         if new:
             self._learn_stems(list(new))
         known = self.stems
@@ -134,14 +139,16 @@ class Encoder:
         return out, lengths + 1
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, cached_words: int = CACHED_WORDS) -> Encoder:
+    """One encoder per worker process, file and size of the word table, of which a million take some
+    300 MB of the worker."""
+    key = path, cached_words
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, cached_words)
+    return _ENCODERS[key]
 
 
 def word_bpe() -> str:
