@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.llm import chat, contamination, idfiles, jaccard, languages, packing, secrets, sql, urls, vectors
+from assaykit.llm import chat, contamination, idfiles, jaccard, languages, packing, secrets, sql, substrings, urls, vectors
 from assaykit.session import cut, scratch_path
 from assaykit.sources.tables import parquet
 
@@ -27,6 +27,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("text_hash")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_spans(parquet(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = parquet(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_url_filter,
         op2_decontamination,
+        op3_substring_dedup,
         op4_chat_formatting,
         op5_language_id,
         op6_jaccard_join,
