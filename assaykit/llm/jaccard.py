@@ -289,10 +289,13 @@ def _verify(
 def _live(postings: DataFrame, num: int, den: int) -> DataFrame:
     """(bucket, a, size, reach, pivot) of the buckets that can hold a similar pair.
 
-    A posted token that no other set posted or holds among its first ones counts against its set: the
-    set shares at most the rest, which bounds the size of a partner (`reach`). Of two similar sets the
-    smaller can always reach its own size; a bucket without such a member is done, and the one with
-    the largest reach for its size is the bucket's pivot. So texts that share a passage and little else meet nowhere.
+    A posted token that no other set posted counts against its set, which bounds the size of a partner
+    (`reach`). The partner may still hold the token beyond its own first ones, so of two sets the bound
+    holds only for the one whose first tokens end first in the common order; which one that is is not
+    carried, so a pair passes when either reaches the other's size. A similar partner has at least the
+    size `needed`: a bucket in which no member reaches that is done, and so is a member that neither
+    reaches it nor is reached by the bucket's farthest. The member with the largest reach for its size
+    is the pivot. So texts that share a passage and little else mostly meet nowhere.
     """
     same_key = Window.partitionBy("key")
     shared = cut(
@@ -317,13 +320,18 @@ def _live(postings: DataFrame, num: int, den: int) -> DataFrame:
     )
     # the member with the largest share of common tokens is the likeliest origin of its neighbours
     first = F.struct((-F.expr("reach * 1000 div size")).alias("rank"), "a", "size", "reach")
+    reaches = F.col("reach") >= needed
     pivots = (
         rows.groupBy("bucket")
-        .agg(F.min(F.when(F.col("reach") >= F.col("size"), first)).alias("pivot"), F.count("*").alias("n"))
+        .agg(
+            F.min(F.when(reaches, first)).alias("pivot"),
+            F.max("reach").alias("farthest"),
+            F.count("*").alias("n"),
+        )
         .filter("pivot IS NOT NULL AND n > 1")
-        .select("bucket", "pivot")
+        .select("bucket", "pivot", "farthest")
     )
-    return cut(rows.join(pivots, "bucket"))
+    return cut(rows.join(pivots, "bucket").filter(reaches | (F.col("size") <= F.col("farthest"))).drop("farthest"))
 
 
 def _star_pairs(live: DataFrame, num: int, den: int) -> DataFrame:
@@ -334,8 +342,7 @@ def _star_pairs(live: DataFrame, num: int, den: int) -> DataFrame:
         live.filter(
             (F.col("a") != p["a"])
             & (small * den >= large * num)
-            & (F.col("size") <= p["reach"])
-            & (p["size"] <= F.col("reach"))
+            & ((F.col("size") <= p["reach"]) | (p["size"] <= F.col("reach")))
         )
         .select(F.least("a", p["a"]).alias("a"), F.greatest("a", p["a"]).alias("b"))
         .distinct()
@@ -452,7 +459,7 @@ def _tile_pairs(
             if kind == 1 and i == j:
                 ok &= a[x][:, None] < a[right][None]
             one, two = size[x][:, None], size[right][None]
-            ok &= (np.minimum(one, two) * den >= np.maximum(one, two) * num) & (two <= reach[x][:, None]) & (one <= reach[right][None])
+            ok &= (np.minimum(one, two) * den >= np.maximum(one, two) * num) & ((two <= reach[x][:, None]) | (one <= reach[right][None]))
             p, q = np.nonzero(ok)
             chunk = max(1, (1 << 22) // rows.shape[1]) if signed else 1 << 20
             for at in range(0, len(p), chunk):

@@ -92,6 +92,21 @@ def test_frequent_tokens_salts_and_slices(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_isolated_containment_pairs(spark):
+    """Each text meets one other alone, itself and some words more: either may post what the other
+    holds only beyond its first tokens."""
+    rnd = random.Random(11)
+    texts = []
+    for size in range(3, 90):
+        for share in (75, 80, 85, 90, 95):
+            for more in {size * 100 // share - size, max(1, size * (100 - share) // share - 1)}:
+                words = [f"{rnd.getrandbits(40):x}" for _ in range(size + 4 + more)]
+                at = rnd.choice([0, more, more // 2])
+                texts += [" ".join(words), " ".join(words[at : at + size + 4])]
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == brute(rows)
+
+
 def test_edge_rows(spark):
     rows = [
         (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "a b c"), (7, "a  b\nc"), (8, "a b c d"),
