@@ -28,7 +28,7 @@ _EDGE = "+/_=.-"
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _PART = re.compile(r"[A-Za-z0-9]+")
 # Words in one case or capitalised ones, with a short number: parts of identifiers, paths and hosts.
-_NAME = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)*[0-9]{0,4}|[0-9]+")
+_NAME = re.compile(r"[A-Za-z]*[0-9]{0,4}|[0-9]+")
 
 Span = tuple[str, int, int]
 

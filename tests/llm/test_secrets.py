@@ -48,6 +48,13 @@ def test_random_strings():
     assert "random" not in kinds[11] + kinds[15] + kinds[16] + kinds[2]
 
 
+def test_long_letter_runs_take_linear_time():
+    scanner = secrets._scanner(*secrets._vocabulary(), secrets.CHARS_PER_TOKEN)
+    for run in ("a" * 5_000, "abcDefGhi" * 600, "Q" * 5_000):
+        for tail in ("12345", "1b", "12345/x9"):
+            scanner.scan(run + tail)
+
+
 def test_mask(spark):
     rows = [(1, "a token=abcdefghijklmnop b", 26, "x"), (2, None, 9, "y"), (3, "clean", 5, "z"), (4, "", 0, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, found string")
