@@ -49,6 +49,16 @@ def _wordlike(part: str) -> bool:
     return turns <= len(letters) / 3
 
 
+def _covered(span: Span, taken: list[tuple[int, int]]) -> bool:
+    """Whether the stretches, in order of their starts, leave nothing of the span."""
+    _, at, stop = span
+    for start, end in taken:
+        if start > at or at >= stop:
+            break
+        at = max(at, end)
+    return at >= stop
+
+
 class Scanner:
     """Finds spans in a text; holds the vocabulary, so there is one per worker."""
 
@@ -90,12 +100,12 @@ class Scanner:
         return found
 
     def scan(self, text: str | None) -> list[Span]:
-        """All spans by start, then kind; a random string inside a known form is not named again."""
+        """All spans by start, then kind; a random string that known forms cover whole is not named again."""
         if not text:
             return []
         spans = self.base(text)
-        taken = list(spans)
-        spans += [r for r in self.random(text) if all(r[1] >= e or r[2] <= s for _, s, e in taken)]
+        taken = sorted((s, e) for _, s, e in spans)
+        spans += [r for r in self.random(text) if not _covered(r, taken)]
         return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
