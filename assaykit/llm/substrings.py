@@ -10,11 +10,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaykit.llm import bitmaps
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, ragged, span_hashes
 from assaykit.session import cut
 
 CUT_BITS = 5
 LEAST_CHARS = 80
+# Bytes that a gear hash depends on.
+REACH = 16
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
@@ -34,88 +37,166 @@ def normalised(part: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return part, np.bincount(row[~again], minlength=len(off) - 1)
 
 
-def chunk_ends(part: np.ndarray, sizes: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
-    """Where chunks end: after a byte whose gear hash has `bits` leading zeros, and at a row's end.
-
-    The 16-bit gear hash shifts by one bit a byte, so it depends on the last 16 bytes of the row alone
-    and boundaries fall into step again 16 bytes after an insertion. It is summed by doubling.
-    """
+def _gear_hashes(part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The 16-bit gear hash at each byte. It shifts by one bit a byte, so it depends on the last 16 bytes
+    of the row alone. It is summed by doubling."""
     place, gear = ragged(sizes), _GEAR[part]
     for step in (1, 2, 4, 8):
         before = np.zeros_like(gear)
         before[step:] = gear[:-step] << np.uint16(step)
         gear = gear + np.where(place >= step, before, np.uint16(0))
-    stop = gear >> np.uint16(16 - bits) == 0
+    return gear
+
+
+def chunk_ends(part: np.ndarray, sizes: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
+    """Where chunks end: after a byte whose gear hash has `bits` leading zeros, and at a row's end, so
+    boundaries fall into step again 16 bytes after an insertion."""
+    stop = _gear_hashes(part, sizes) >> np.uint16(16 - bits) == 0
     stop[np.cumsum(sizes)[sizes > 0] - 1] = True
     return np.flatnonzero(stop) + 1
 
 
+def chunk_bytes(least: int) -> int:
+    """The length of an anchor's chunk: any `least` bytes hold `least // 2` whole chunks or one more."""
+    return least // 2 + 1
+
+
+def anchors(part: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, anchor): where the windows of `least` bytes inside a row begin, and the chunk start that
+    each chooses: the one of least gear hash among the chunks inside it, the last of equal ones. The
+    choice depends on the window's bytes alone, so equal windows choose equal chunks wherever they stand,
+    and neighbouring anchors are no further apart than `least // 2` bytes."""
+    width = least - chunk_bytes(least) + 1
+    n, low = len(part), (1 << 32) - 1
+    value = np.full(n, 1 << 16, np.int64)
+    value[: max(0, n - REACH + 1)] = _gear_hashes(part, sizes)[REACH - 1 :]
+    best, span = value << 32 | (low - np.arange(n)), 1
+    while 2 * span <= width:
+        best[: n - span] = np.minimum(best[: n - span], best[span:])
+        span *= 2
+    starts = np.flatnonzero(ragged(sizes) + least <= np.repeat(sizes, sizes))
+    return starts, low - (np.minimum(best[starts], best[starts + width - span]) & low)
+
+
 def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS, bits: int = CUT_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS
 ) -> DataFrame:
-    """(id, start, length, n_chunks, n_first): stretches of at least `least` bytes whose chunks all occur
-    in another row too. `n_first` of them are held by this row first and stay; the others can go.
-
-    Offsets are bytes of the lower-cased text with single spaces. Chunks are known by a 64-bit digest;
-    digests are counted with partial sums and joined back, where Spark splits frequent ones. A chunk
-    average of 2^bits bytes is small against a passage, so its inside is whole chunks wherever it
-    stands. Null and empty texts have no chunks, repeated rows repeat each other, stretches repeated
-    inside one row alone are left. Texts of any length are read whole; other columns are not read.
+    """(id, start, length, n_chunks, n_first): the stretches whose windows of `least` bytes all occur in
+    another row too, each to its real ends. Of its `n_chunks` windows `n_first` are held by this row
+    first and stay; the others can go.
+
+    Offsets are bytes of the lower-cased text with single spaces. Each window names one chunk inside it
+    by the least gear hash; neighbouring windows that name the same one are a block. Chunks that two rows
+    name are noted in a bitmap of fixed size, those that stand in different blocks in another. A second
+    scan emits, for chunks in the first, the block's digest where all blocks are equal and each window's
+    digest else, so no repeat is missed and none is made of shorter ones. Digests are counted with partial sums and
+    joined back, where Spark splits frequent ones. Null and short texts have no windows, repeated rows
+    repeat each other, stretches repeated inside one row alone are left. Texts of any length are read
+    whole and never shuffled; other columns are not read.
     """
+    if least < 2 * REACH:
+        raise ValueError(f"a shared stretch has at least {2 * REACH} bytes")
     kind = docs.schema[id_col].dataType.simpleString()
+    size = chunk_bytes(least)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch], column: int):
+        """(row number, batch, rows, bytes, row bounds, window starts, anchors) by row ranges."""
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            data, off = buffers(batch.column(1))
+            data, off = buffers(batch.column(column))
             for low, high in pieces(off):
                 part, sizes = normalised(data[off[low] : off[high]], off[low : high + 1] - off[low])
-                ends = chunk_ends(part, sizes, bits)
-                begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
-                total = np.cumsum(sizes)
-                bounds = np.searchsorted(ends, np.concatenate([[0], total]), "right").astype(np.int32)
-                own = np.repeat(total - sizes, np.diff(bounds))
-                digests = span_hashes(part, begins, ends).view(np.int64)
-                n = high - low
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(row, row + n)),
-                        batch.column(0)[low:high],
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(digests)),
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array((ends - own).astype(np.int32))),
-                    ],
-                    names=["row", "id", "digests", "ends"],
-                )
-                row += n
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                yield row, batch, low, high, part, bounds, *anchors(part, sizes, least)
+                row += high - low
+
+    def blocks(starts: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each block begins among the windows, and its number of windows."""
+        new = np.ones(len(starts), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
+        at = np.flatnonzero(new)
+        return at, np.diff(np.append(at, len(starts)))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, _, _, _, part, bounds, starts, anchor in windows(batches, 0):
+            at, n = blocks(starts, anchor)
+            digests = span_hashes(part, anchor[at], anchor[at] + size).view(np.int64)
+            whole = span_hashes(part, starts[at], starts[at] + n - 1 + least).view(np.int64)
+            rows = row + np.searchsorted(bounds, starts[at], "right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows), pa.array(digests), pa.array(whole)], names=["row", "digest", "block"]
+            )
+
+    named = cut(
+        docs.select(text_col)
+        .mapInArrow(name, "row long, digest long, block long")
+        .groupBy("digest")
+        .agg(
+            F.min("row").alias("lo"), F.max("row").alias("hi"), F.min("block").alias("b"), F.max("block").alias("c")
+        )
+        .filter("lo <> hi")
+        .select("digest", (F.col("b") != F.col("c")).alias("differ"))
+    )
+    held, differ = (
+        docs.sparkSession.sparkContext.broadcast(bitmaps.build(chunks, "digest"))
+        for chunks in (named, named.filter("differ"))
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, batch, low, high, part, bounds, starts, anchor in windows(batches, 1):
+            at, n = blocks(starts, anchor)
+            digests = span_hashes(part, anchor[at], anchor[at] + size)
+            passed, fine = (bitmaps.passes(b.value, digests) for b in (held, differ))
+            single = np.repeat(passed & fine, n)
+            keep = single.copy()
+            keep[at[passed]] = True
+            count = np.ones(len(starts), np.int64)
+            count[at[passed & ~fine]] = n[passed & ~fine]
+            starts, count = starts[keep], count[keep]
+            cuts = np.searchsorted(starts, bounds).astype(np.int32)
+            found = span_hashes(part, starts, starts + count - 1 + least).view(np.int64)
+            own = starts - np.repeat(bounds[:-1], np.diff(cuts))
+            some = pa.array(np.diff(cuts) > 0)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(row, row + high - low)),
+                    batch.column(0)[low:high],
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(own.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(count.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(found)),
+                ],
+                names=["row", "id", "starts", "counts", "digests"],
+            ).filter(some)
 
     scanned = cut(
         docs.select(id_col, text_col).mapInArrow(
-            scan, f"row long, id {kind}, digests array<long>, ends array<int>"
+            scan, f"row long, id {kind}, starts array<int>, counts array<int>, digests array<long>"
         )
     )
-    chunks = scanned.select("row", F.posexplode("digests").alias("i", "digest"))
+    each = scanned.select("row", F.explode(F.arrays_zip("starts", "counts", "digests")).alias("w")).select(
+        "row", F.col("w.starts").alias("start"), F.col("w.counts").alias("n"), F.col("w.digests").alias("digest")
+    )
     shared = (
-        chunks.groupBy("digest")
+        each.groupBy("digest")
         .agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
         .filter("lo <> hi")
         .select("digest", "lo")
     )
-    hits = chunks.join(shared, "digest").select("row", "i", (F.col("lo") == F.col("row")).alias("first"))
-    island = F.col("i") - F.row_number().over(Window.partitionBy("row").orderBy("i"))
+    hits = each.join(shared, "digest").select("row", "start", "n", (F.col("lo") == F.col("row")).alias("first"))
+    order = Window.partitionBy("row").orderBy("start")
+    before = F.lag(F.col("start") + F.col("n") - 1).over(order)
+    apart = F.coalesce(F.col("start") - before > least, F.lit(False))
     runs = (
-        hits.withColumn("run", island)
+        hits.withColumn("apart", apart.cast("int"))
+        .withColumn("run", F.sum("apart").over(order))
         .groupBy("row", "run")
-        .agg(F.min("i").alias("i"), F.max("i").alias("j"), F.count_if("first").alias("n_first"))
-    )
-    begin = F.when(F.col("i") == 0, 0).otherwise(F.get("ends", F.col("i") - 1))
-    return (
-        runs.join(scanned.select("row", "id", "ends"), "row")
-        .select(
-            F.col("id").alias(id_col),
-            begin.cast("long").alias("start"),
-            (F.get("ends", F.col("j")) - begin).cast("long").alias("length"),
-            (F.col("j") - F.col("i") + 1).cast("long").alias("n_chunks"),
-            "n_first",
+        .agg(
+            F.min("start").cast("long").alias("start"),
+            (F.max(F.col("start") + F.col("n")) - 1 - F.min("start") + least).cast("long").alias("length"),
+            F.sum("n").alias("n_chunks"),
+            F.sum(F.when(F.col("first"), F.col("n")).otherwise(0)).alias("n_first"),
         )
-        .filter(F.col("length") >= least)
+    )
+    return runs.join(scanned.select("row", "id"), "row").select(
+        F.col("id").alias(id_col), "start", "length", "n_chunks", "n_first"
     )

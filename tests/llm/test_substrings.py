@@ -1,6 +1,7 @@
 """Content-defined chunks: repeats found wherever they stand, clean texts left alone."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,40 @@ def test_repeats(spark):
     assert substrings.repeated_spans(df.limit(0)).collect() == []
 
 
+def covered(rows, least=80):
+    """(id, start, length) of the bytes that lie in a window which another row holds too."""
+    bodies = [re.sub(r"[\x09-\x0d\x20]+", " ", t.lower()).encode() for _, t in rows]
+    holders = {}
+    for i, body in enumerate(bodies):
+        for at in range(len(body) - least + 1):
+            holders.setdefault(body[at : at + least], set()).add(i)
+    out = set()
+    for (doc, _), body in zip(rows, bodies):
+        spans = []
+        for at in range(len(body) - least + 1):
+            if len(holders[body[at : at + least]]) > 1:
+                if spans and at <= spans[-1][1]:
+                    spans[-1][1] = at + least
+                else:
+                    spans.append([at, at + least])
+        out |= {(doc, a, b - a) for a, b in spans}
+    return out
+
+
+def test_every_passage_to_its_ends(spark):
+    """Thousands of passages of short words, and many near the least length, against all windows."""
+    rnd = random.Random(4)
+    short = lambda n: " ".join("".join(rnd.choices("abcdefghijkl", k=rnd.randint(1, 5))) for _ in range(n))
+    rows = []
+    for i in range(1500):
+        passage = short(rnd.choice([50, 50, 24, 20]))
+        rows += [(2 * i + j, f"{short(rnd.randint(0, 9))} {passage} {short(rnd.randint(0, 9))}") for j in (0, 1)]
+    rows += [(5000, "ab" * 400), (5001, "x " + "ab" * 300 + " y"), (5002, short(40)), (5003, "a" * 79), (5004, "a" * 79)]
+    found = substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.start, r.length) for r in found} == covered(rows)
+    assert len({r.doc_id for r in found}) > 2000
+
+
 def test_repeated_rows(spark):
     rnd = random.Random(3)
     text = prose(rnd, 60)
