@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.llm import chat, contamination, idfiles, jaccard, languages, packing, secrets, sql, substrings, urls, vectors
+from assaykit.llm import (
+    chat,
+    clustering,
+    contamination,
+    divergence,
+    idfiles,
+    jaccard,
+    languages,
+    packing,
+    secrets,
+    sql,
+    substrings,
+    urls,
+    vectors,
+)
 from assaykit.session import cut, scratch_path
 from assaykit.sources.tables import parquet
 
@@ -90,6 +104,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *[c.alias(n) for n, c in secrets.report(F.col("found")).items()])
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.with_digests(*clustering.cluster(parquet(spark, sf_dir, "embeddings")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(parquet(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -103,6 +125,8 @@ QUERIES: dict[str, Query] = {
         op8_exact_top_k,
         op9_token_ids,
         op10_secret_scan,
+        op12_centroid_clustering,
+        op13_source_divergence,
     )
 }
 
@@ -111,4 +135,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": sql.CONTAMINATION,
     "op4_chat_formatting": sql.CHAT_FORMATTING,
     "op8_exact_top_k": sql.EXACT_TOP_K,
+    "op12_centroid_clustering": sql.CENTROID_CLUSTERING,
+    "op13_source_divergence": sql.SOURCE_DIVERGENCE,
 }

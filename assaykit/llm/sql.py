@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assaykit.llm import chat, contamination, urls, vectors
+from assaykit.llm import chat, clustering, contamination, divergence, urls, vectors
 
 
 def _hits(terms: tuple[str, ...], weight: str) -> str:
@@ -134,3 +134,71 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hi
   coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+def _lloyd_round(i: int) -> str:
+    """Assignment to the centroids c{i} and the centroids that follow from it."""
+    return f"""
+a{i} AS MATERIALIZED (
+  SELECT r, any_value(v.x) AS x, min({{'d': list_sum(list_transform(range(1, {clustering.DIMS + 1}),
+    lambda j: (v.x[j] - c.x[j]) * (v.x[j] - c.x[j])))::BIGINT, 'c': c.c}}) AS m
+  FROM kept v, c{i} c GROUP BY r
+), c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(n.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS x FROM (
+      SELECT m.c AS c, j, sum(x[j])::HUGEINT AS s, count(*) AS n
+      FROM a{i}, range(1, {clustering.DIMS + 1}) t(j) GROUP BY m.c, j) GROUP BY c) n USING (c)
+)"""
+
+
+CENTROID_CLUSTERING = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: floor({clustering.SCALE} * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = {clustering.DIMS}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{clustering.SEED}:' || vec_id), x) - 1 AS c, x
+  FROM kept QUALIFY c < {clustering.CLUSTERS}
+), {",".join(_lloyd_round(i) for i in range(clustering.ROUNDS + 1))}
+SELECT vec_id, m.c::INT AS cluster, m.d AS distance,
+  (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia, (sum(m.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{clustering.ROUNDS} a JOIN kept USING (r) JOIN c{clustering.ROUNDS} c ON c.c = m.c
+"""
+
+SOURCE_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.UPPER.lower()}'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT r, lang, source, unnest(words) AS term FROM d),
+kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term
+  HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}
+), l AS (SELECT lang, count(*) AS v, sum(lang_n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+t AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + ({divergence.ONE}::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * l.v) AS p,
+    1 + ({divergence.ONE}::HUGEINT * (k.lang_n + 2)) // (l.n + 2 * l.v) AS q
+  FROM g JOIN kept k USING (lang) JOIN l USING (lang)
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    LEFT JOIN t ON t.lang = g.lang AND t.source = g.source
+), f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM f QUALIFY part = 'pair' OR rank <= {divergence.TERM_RANKS}
+"""
