@@ -15,6 +15,7 @@ from assaykit.llm import (
     idfiles,
     jaccard,
     languages,
+    minhash,
     packing,
     secrets,
     sql,
@@ -104,6 +105,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *[c.alias(n) for n, c in secrets.report(F.col("found")).items()])
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(parquet(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.with_digests(*clustering.cluster(parquet(spark, sf_dir, "embeddings")))
 
@@ -125,6 +130,7 @@ QUERIES: dict[str, Query] = {
         op8_exact_top_k,
         op9_token_ids,
         op10_secret_scan,
+        op11_minhash_near_dedup,
         op12_centroid_clustering,
         op13_source_divergence,
     )
