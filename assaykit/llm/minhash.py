@@ -28,8 +28,13 @@ BATCH = 32
 BYTE = 256
 #: A pair is dropped where the posterior chance that it reaches the threshold is below this.
 MISS = 1e-6
-#: Sets of a slice in a tile, and the least number of rows of a key that may be split over tasks.
+#: Sets of a slice in a tile, and their tokens.
 SLICE = 1024
+SLICE_TOKENS = 2_000_000
+#: Pairs of a tile that are intersected one by one, and columns of a matrix block where there are more.
+FEW_PAIRS = 2_000
+COLUMNS = 8192
+#: The least number of rows for which a key is split over tasks.
 LEAST_HOT = 1_000
 SEEN = 1_000_000
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -239,72 +244,118 @@ def _named(edges: DataFrame) -> DataFrame:
     return cut(connected_components(edges, rows_per_task=_even(edges, edges.count())))
 
 
-def _confirm(near: DataFrame, labels: DataFrame | None, docs: DataFrame, per_set: DataFrame, num: int, den: int) -> DataFrame:
-    """Components of the pairs that hold on full sets, and of `labels`.
+def _confirm_stars(near: DataFrame, docs: DataFrame, per_set: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, component) of the pairs that hold on full sets.
 
     First each set is held against one partner, the one most sets have in common; then only the pairs
     that lie across the components found so far, for the others add nothing. So a set with many copies
     is fetched about once for itself, and no link between different components is left out.
     """
-    if labels is None:
-        degree = near.groupBy(F.col("b").alias("b")).agg(F.count("*").alias("n"))
-        total = near.count()
-        first = (
-            attach(near, degree, "b", F.col("a"), size="n", rows_per_task=_even(docs, total), total=total)
-            .groupBy("a")
-            .agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-        )
-        labels = _named(_exact(first, docs, per_set, num, den))
-    across = _exact(_across(near, labels), docs, per_set, num, den)
-    stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return _named(stars.union(across))
-
-
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
-    total = pairs.count()
-    out = pairs
+    degree = near.groupBy("b").agg(F.count("*").alias("n"))
+    total = near.count()
+    first = (
+        attach(near, degree, "b", F.col("a"), size="n", rows_per_task=_even(docs, total), total=total)
+        .groupBy("a")
+        .agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    )
+    labels = _named(_exact(first, docs, per_set, num, den))
+    across = near.select("a", "b")
     for side, other in (("a", "b"), ("b", "a")):
         facts = labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-        out = attach(out, facts, side, F.col(other), how="left", rows_per_task=_even(pairs, total), total=total)
-    return out.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-
-
-def _tile_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int, miss: float) -> DataFrame:
-    """Pairs of different components that share a band, of more than two sets, and outlast the
-    signature batches.
-
-    Of bands with the same members one is compared. Its largest component is cut into slices, and the
-    other members too; a tile holds a slice of the former and one of the latter, or two slices of the
-    latter, so it has 2 * SLICE sets at most and members of the largest component never meet each
-    other. Pairs are compared inside the tile, and only those that pass leave it.
+        across = attach(across, facts, side, F.col(other), how="left", rows_per_task=_even(docs, total), total=total)
+    across = across.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+    return _merge(labels, _exact(across, docs, per_set, num, den))
+
+
+def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    return _named(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of every left with every right set, by products of 0/1 matrices over the
+    tokens that both sides hold, COLUMNS of them at a time."""
+    sides = []
+    for sets in (left, right):
+        tokens = np.concatenate(sets)
+        sides.append((tokens, np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+    both = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    placed = []
+    for tokens, row in sides:
+        code = np.searchsorted(both, tokens)
+        held = code < len(both)
+        held[held] = both[code[held]] == tokens[held]
+        order = np.argsort(code[held], kind="stable")
+        placed.append((code[held][order], row[held][order]))
+    out = np.zeros((len(left), len(right)), np.float64)
+    for low in range(0, len(both), COLUMNS):
+        blocks = []
+        for (code, row), n in zip(placed, out.shape):
+            part = slice(*np.searchsorted(code, [low, low + COLUMNS]))
+            block = np.zeros((n, COLUMNS), np.float32)
+            block[row[part], code[part] - low] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out.astype(np.int64)
+
+
+def star_edges(mask: np.ndarray, left: np.ndarray, right: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The sets that the links of a mask join, each with the first set it is joined to, so a tile
+    returns fewer rows than it has sets."""
+    label, n = np.arange(len(a)), len(a)
+    while True:
+        before = label.copy()
+        label[left] = np.minimum(label[left], np.where(mask, label[right][None], n).min(1, initial=n))
+        label[right] = np.minimum(label[right], np.where(mask, label[left][:, None], n).min(0, initial=n))
+        label = label[label]
+        if (label == before).all():
+            break
+    joined = np.flatnonzero(label != np.arange(n))
+    return np.stack([a[joined], a[label[joined]]])
+
+
+def _in_tiles(members: DataFrame, payload: DataFrame, column: str, similar, num: int, den: int, least: int) -> DataFrame:
+    """(a, b): sets of different components that a key's tiles join, as stars.
+
+    `members` is (key, a, size, component), written; keys with fewer than `least` members or with one
+    component are done, and of keys with the same members one is taken. The largest component of a key
+    is cut into slices, and the other members too; a tile holds a slice of the former and one of the
+    latter, or two slices of the latter, so it has some 2 * SLICE sets and 2 * SLICE_TOKENS tokens at
+    most (or one larger set), and members of the largest component never meet each other.
+    `similar(payloads, left, right, able)` marks the pairs of a tile that hold among the able ones;
+    pairs never leave the tile.
     """
-    total = shared.count()
-    facts = labels.select(F.col("node").alias("a"), "component")
-    named = cut(
-        attach(shared, facts, "a", F.col("key"), how="left", rows_per_task=ROWS_PER_TASK, total=total).withColumn(
-            "component", F.coalesce("component", "a")
-        )
+    total = members.count()
+    each = members.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.sum(F.col("size").cast("long")).alias("w"), F.bit_xor(F.xxhash64("a")).alias("h")
     )
-    each = named.groupBy("key", "component").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("h"))
-    open_bands = cut(
+
+    def slices(n, w):
+        return F.greatest(F.ceil(n / SLICE), F.ceil(w / SLICE_TOKENS)).cast("int")
+
+    most = F.col("b.most")
+    open_keys = cut(
         each.groupBy("key")
-        .agg(F.sum("n").alias("n"), F.bit_xor("h").alias("h"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
-        .filter("parts > 1 AND n > 2")
-        .groupBy("n", "h")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("w").alias("w"),
+            F.bit_xor("h").alias("h"),
+            F.max(F.struct("n", "w", "component")).alias("most"),
+            F.count("*").alias("parts"),
+        )
+        .filter((F.col("parts") > 1) & (F.col("n") >= least))
+        .groupBy("n", "w", "h")
         .agg(F.min(F.struct("key", "most")).alias("b"))
         .select(
             "b.key",
             "n",
-            F.col("b.most.component").alias("main"),
-            F.ceil(F.col("b.most.n") / SLICE).cast("int").alias("main_slices"),
-            F.ceil((F.col("n") - F.col("b.most.n")) / SLICE).cast("int").alias("rest_slices"),
+            most["component"].alias("main"),
+            slices(most["n"], most["w"]).alias("main_slices"),
+            slices(F.col("n") - most["n"], F.col("w") - most["w"]).alias("rest_slices"),
         )
     )
-    members = attach(named, open_bands, "key", F.col("a"), size="n", rows_per_task=_even(shared, total), total=total)
+    found = attach(members, open_keys, "key", F.col("a"), size="n", rows_per_task=_even(members, total), total=total)
     is_main = F.col("component") == F.col("main")
-    slices = F.when(is_main, F.col("main_slices")).otherwise(F.col("rest_slices"))
-    own = F.pmod(F.xxhash64("a", "key"), slices).cast("int")
+    own = F.pmod(F.xxhash64("a", "key"), F.when(is_main, F.col("main_slices")).otherwise(F.col("rest_slices"))).cast("int")
 
     def place(kind: int, i, j):
         return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
@@ -318,52 +369,92 @@ def _tile_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, num: int,
     )
     keys = ["key", "kind", "i", "j"]
     placed = cut(
-        members.withColumn("own", own)
+        found.withColumn("own", own)
         .withColumn("in_main", is_main)
         .select("key", "own", "component", "in_main", "a", "size", F.explode(places).alias("p"))
     )
     n_placed = placed.count()
     tiles = attach(
         placed.select("key", "p.*", "own", "component", "in_main", "a", "size"),
-        sets.select("a", "sig"),
+        payload.select("a", column),
         "a",
         F.col("key"),
-        rows_per_task=_even(shared, n_placed),
+        rows_per_task=_even(members, n_placed),
         total=n_placed,
-    ).select(*keys, "own", "component", "in_main", "a", "size", "sig")
-    bars = least_matches(num, den, miss)
+    ).select(*keys, "own", "component", "in_main", "a", "size", column)
 
-    def compare(table: pa.Table) -> list[np.ndarray]:
+    def tile(table: pa.Table) -> pa.Table:
+        if len(table) < 2:
+            return empty
+        table = table.combine_chunks()
         get = {n: table.column(n).to_numpy() for n in ("own", "component", "in_main", "a", "size")}
         kind, i, j = (int(table.column(n)[0].as_py()) for n in keys[1:])
-        sigs = buffers(table.column("sig"))[0].reshape(-1, HASHES)
         if kind == 0:
             left, right = np.flatnonzero(get["in_main"]), np.flatnonzero(~get["in_main"])
         else:
             left, right = np.flatnonzero(get["own"] == i), np.flatnonzero(get["own"] == j)
-        out, step = [], max(1, (1 << 16) // max(1, len(right)))
-        for low in range(0, len(left), step):
-            x = left[low : low + step]
-            one, two = get["size"][x][:, None], get["size"][right][None]
-            ok = get["component"][x][:, None] != get["component"][right][None]
-            ok &= np.minimum(one, two) * den >= np.maximum(one, two) * num
-            if kind == 1 and i == j:
-                ok &= get["a"][x][:, None] < get["a"][right][None]
-            p, q = np.nonzero(ok)
-            p, q = x[p], right[q]
-            good = survives(sigs[p], sigs[q], bars)
-            a, b = get["a"][p[good]], get["a"][q[good]]
-            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-        return out
-
-    def tile(table: pa.Table) -> pa.Table:
-        found = compare(table.combine_chunks()) if len(table) > 1 else []
-        a, b = np.concatenate(found, 1) if found else np.zeros((2, 0), np.int64)
+        one, two = get["size"][left][:, None].astype(np.int64), get["size"][right][None].astype(np.int64)
+        able = get["component"][left][:, None] != get["component"][right][None]
+        able &= np.minimum(one, two) * den >= np.maximum(one, two) * num
+        if not able.any():
+            return empty
+        mask = similar(table.column(column), left, right, able)
+        a, b = star_edges(mask, left, right, get["a"])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     return cut(tiles.groupBy(*keys).applyInArrow(tile, "a long, b long").distinct())
 
 
+def _across_bands(
+    shared: DataFrame, labels: DataFrame, sets: DataFrame, docs: DataFrame, per_set: DataFrame, num: int, den: int, miss: float
+) -> DataFrame:
+    """Links between sets of different components that share a band of more than two sets.
+
+    Signatures are compared in tiles of a band; what outlasts the batches joins sets into families, not
+    yet links. The members of a family that are in different components are then compared on their full
+    sets, in tiles of the family. So a family whose sets nearly reach the threshold, but do not, costs
+    work in its tiles and not a row for each pair.
+    """
+    bars = least_matches(num, den, miss)
+
+    def by_signature(column: pa.ChunkedArray, left: np.ndarray, right: np.ndarray, able: np.ndarray) -> np.ndarray:
+        sigs = buffers(column)[0].reshape(-1, HASHES)
+        mask, step = np.zeros_like(able), max(1, (1 << 16) // len(right))
+        for low in range(0, len(left), step):
+            p, q = np.nonzero(able[low : low + step])
+            mask[low + p, q] = survives(sigs[left[low + p]], sigs[right[q]], bars)
+        return mask
+
+    def by_tokens(column: pa.ChunkedArray, left: np.ndarray, right: np.ndarray, able: np.ndarray) -> np.ndarray:
+        data, off = buffers(column)
+        tokens = [np.frombuffer(data[off[i] : off[i + 1]].tobytes(), np.uint64) for i in range(len(off) - 1)]
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        both = np.zeros(able.shape, np.int64)
+        p, q = np.nonzero(able)
+        if len(p) < FEW_PAIRS:
+            both[p, q] = [len(np.intersect1d(tokens[left[x]], tokens[right[y]], assume_unique=True)) for x, y in zip(p, q)]
+        else:
+            both = overlaps([tokens[x] for x in left], [tokens[y] for y in right])
+        return able & (den * both >= num * (sizes[left][:, None] + sizes[right][None] - both))
+
+    total = shared.count()
+    facts = labels.select(F.col("node").alias("a"), "component")
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        out = attach(rows, facts, "a", F.col("key"), how="left", rows_per_task=_even(docs, total), total=total)
+        return cut(out.withColumn("component", F.coalesce("component", "a")).select("key", "a", "size", "component"))
+
+    near = _in_tiles(labelled(shared), sets, "sig", by_signature, num, den, least=3)
+    touched = near.select("a").union(near.select("b")).distinct()
+    own = touched.join(facts, "a").select("a", F.col("component").alias("b"))
+    families = _named(near.union(own)).select(F.col("node").alias("a"), F.col("component").alias("key"))
+    sized = shared.select("a", "size").distinct()
+    members = labelled(cut(touched.join(families, "a").join(sized, "a").select("key", "a", "size")))
+    tokens = _token_sets(docs, touched, per_set).dropDuplicates(["a"])
+    return _in_tiles(members, tokens, "tokens", by_tokens, num, den, least=2)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -428,9 +519,8 @@ def near_duplicates(
 
     signed = facts.filter("sig IS NOT NULL").select(F.xxhash64("a").alias("h"), "a", "sig")
     sets = cut(signed.mapInArrow(chosen, "a long, sig binary").dropDuplicates(["a"]))
-    labels = _confirm(_prune(stars, sets, num, den, miss), None, own, per_set, num, den)
-    members = shared.select("key", "a", "size")
-    labels = _confirm(_tile_pairs(members, labels, sets, num, den, miss), labels, own, per_set, num, den)
+    labels = _confirm_stars(_prune(stars, sets, num, den, miss), own, per_set, num, den)
+    labels = _merge(labels, _across_bands(shared.select("key", "a", "size"), labels, sets, own, per_set, num, den, miss))
 
     n_sets = per_set.count()
     grouped = cut(

@@ -165,3 +165,38 @@ def test_signatures_estimate_similarity():
     sigs = minhash.signatures(tokens, sizes)
     guess = (sigs[::2] == sigs[1::2]).mean(1)
     assert abs(guess - sims).max() < 0.16 and abs((guess - sims).mean()) < 0.02
+
+
+def test_family_below_the_threshold(spark):
+    """Many sets whose similarity nearly reaches the threshold, pair by pair, beside a large component
+    of the same family: no wrong links, and far fewer rows than pairs leave the tiles."""
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(80):
+        own = list(base)
+        for at in rnd.sample(range(60), 1 if i % 2 else 4):
+            own[at] = f"x{rnd.getrandbits(30)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == brute(rows)
+
+
+def test_overlaps_and_stars():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in rng.integers(1, 400, 30)]
+    found = minhash.overlaps(sets[:12], sets[12:])
+    assert found.tolist() == [[len(np.intersect1d(x, y)) for y in sets[12:]] for x in sets[:12]]
+    mask = np.zeros((3, 3), bool)
+    mask[0, 1] = mask[2, 1] = mask[1, 2] = True
+    a = np.array([10, 11, 12, 13, 14, 15])
+    stars = minhash.star_edges(mask, np.array([0, 1, 2]), np.array([3, 4, 5]), a)
+    assert sorted(zip(*stars.tolist())) == [(12, 10), (14, 10), (15, 11)]
+
+
+def test_dense_tiles_equal_pairwise(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FEW_PAIRS", 0)
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
+    rows = list(enumerate(near_copies(5, families=3, members=40)))
+    assert run(spark, rows) == brute(rows)
