@@ -12,7 +12,7 @@ from assaykit.plans.oracle import statement
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ["index_queries", "validation_queries", "model_queries", "file_queries"]
+_MODULES = ["index_queries", "validation_queries", "model_queries", "file_queries", "image_queries"]
 
 
 def query(

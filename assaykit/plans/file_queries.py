@@ -14,7 +14,7 @@ from assaykit.plans.model_queries import HISTORY_SQL, MODEL_OF, report_rows
 from assaykit.plans.validation_queries import validated
 from assaykit.schemas import IMAGES, INDEX, REPORT, RUN_LOG
 from assaykit.session import cut, scratch_path
-from assaykit.sources import files, runstore, sinks, tables
+from assaykit.sources import files, listing, runstore, sinks, tables
 
 IDX = ("idx",)
 
@@ -309,13 +309,13 @@ def scan_pointer_md5(spark, sf):
     "SELECT count(*) AS n_images FROM pages WHERE page_id % 3 <> 0",
 )
 def count_files_by_ext(spark, sf):
+    """A file per page, written below nested folders and listed by the executors."""
     suffix = F.when(F.col("page_id") % 3 == 0, ".txt").when(F.col("page_id") % 3 == 1, ".JPG")
-    listing = tables.parquet(spark, sf, "pages").select(
-        F.concat(F.lit("raw/"), F.col("page_id").cast("string"), F.coalesce(suffix, F.lit(".webp"))).alias(
-            "path"
-        )
-    )
-    return files.count_images(listing)
+    page = F.col("page_id").cast("string")
+    name = F.concat(F.lit("raw/"), (F.col("page_id") % 11).cast("string"), F.lit("/"), page, F.coalesce(suffix, F.lit(".webp")))
+    root = scratch_path(spark, "files")
+    listing.write_each(tables.parquet(spark, sf, "pages").select(name.alias("name"), F.col("url").alias("content")), root)
+    return files.count_images(listing.list_files(spark, root))
 
 
 @query(
@@ -324,11 +324,11 @@ def count_files_by_ext(spark, sf):
     ORDER BY CASE WHEN event_id = 17 THEN 0 ELSE 1 END, ts DESC, name LIMIT 1""",
 )
 def latest_artifact(spark, sf):
-    listing = tables.parquet(spark, sf, "events").select(
+    listed = tables.parquet(spark, sf, "events").select(
         F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("name"),
         b.event_millis().alias("modified"),
     )
-    return files.latest_artifact(listing, "f17").select("name", "modified")
+    return files.latest_artifact(listed, "f17").select("name", "modified")
 
 
 # --- images ------------------------------------------------------------------------------------
