@@ -11,7 +11,6 @@ from assaykit.session import cut
 
 EPS = 1e-9
 MINHASHES = 32
-BAND_ROWS = 4
 
 
 def with_shingles(df: DataFrame, text: Column, words: int = 3) -> DataFrame:
@@ -211,32 +210,56 @@ def near_duplicate_components(
     return _linked(postings, sets, threshold, rows_per_task)
 
 
+def lsh_layout(threshold: float, recall: float, hashes: int = MINHASHES) -> tuple[int, int]:
+    """(bands, rows): the most rows in a band, and so the fewest needless candidates, for which a pair
+    at the threshold shares one of the bands with a chance of at least `recall`."""
+    for rows in range(hashes, 0, -1):
+        bands = hashes // rows
+        if 1 - (1 - threshold**rows) ** bands >= recall:
+            return bands, rows
+    return hashes, 1
+
+
+def one_permutation(sets: DataFrame, hashes: int = MINHASHES) -> DataFrame:
+    """(node, size, signature): MinHash values from one pass over each token, which is a hash already.
+
+    The lower part of a token names a bin, its upper part competes for the bin's minimum. An empty bin
+    takes the value of the next one that is not (rotation), so that signatures of small sets are full.
+    """
+    tokens = sets.select("node", "size", F.explode("tokens").alias("t"))
+    bin_ = F.pmod("t", F.lit(hashes))
+    value = F.xxhash64("t")
+    mins = [F.min(F.when(F.col("bin") == i, F.col("value"))).alias(f"h{i}") for i in range(hashes)]
+    sparse = tokens.select("node", "size", bin_.alias("bin"), value.alias("value")).groupBy("node", "size").agg(*mins)
+    ring = sparse.select("node", "size", F.array(*[F.col(f"h{i}") for i in range(hashes)] * 2).alias("ring"))
+
+    def filled(i):
+        ahead = F.slice("ring", i + 1, F.lit(hashes))
+        return F.get(F.filter(ahead, lambda h: h.isNotNull()), F.lit(0))
+
+    return ring.select("node", "size", F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)), filled).alias("signature"))
+
+
 def near_duplicate_lsh_components(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = 0.8,
     rows_per_task: int = ROWS_PER_TASK,
+    recall: float = 0.95,
 ) -> DataFrame:
-    """As near_duplicate_components, but candidates come from banded MinHash signatures: every pair
-    that shares a band is linked, directly or through others, where it is similar, and every link is
-    verified on the whole sets. A similar pair without a common band may be missed."""
+    """As near_duplicate_components, but candidates come from bands of one-permutation MinHash
+    signatures: every pair that shares a band is linked, directly or through others, where it is
+    similar, and every link is verified on the whole sets. A similar pair without a common band may be
+    missed; bands are chosen so that one at the threshold is found with a chance of `recall`."""
     sets = cut(distinct_sets(docs, id_col, text_col))
-    hashes = [F.min(F.xxhash64("token", F.lit(i))).alias(f"h{i}") for i in range(MINHASHES)]
-    signed = (
-        sets.select("node", "size", F.explode("tokens").alias("token"))
-        .groupBy("node", "size")
-        .agg(*hashes)
-    )
-    bands = F.array(
-        *[
-            F.xxhash64(F.lit(i), *[F.col(f"h{i + k}") for k in range(BAND_ROWS)])
-            for i in range(0, MINHASHES, BAND_ROWS)
-        ]
+    bands, rows = lsh_layout(threshold, recall)
+    keys = F.array(
+        *[F.xxhash64(F.lit(i), *[F.get("signature", F.lit(i * rows + k)) for k in range(rows)]) for i in range(bands)]
     )
     buckets = cut(
-        signed.select(
-            F.explode(bands).alias("token"), "node", "size", F.lit(0).alias("pos"), F.lit(True).alias("is_index")
+        one_permutation(sets).select(
+            F.explode(keys).alias("token"), "node", "size", F.lit(0).alias("pos"), F.lit(True).alias("is_index")
         )
     )
     return _linked(buckets, sets, threshold, rows_per_task)

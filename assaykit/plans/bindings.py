@@ -415,3 +415,19 @@ def derived_images(spark: SparkSession, sf: str) -> DataFrame:
             data.alias("data"),
         ).alias("image"),
     )
+
+
+LANGS = ["de", "en", "es", "fr"]
+LETTERS = "abcdefghijklmnopqrstuvwxyzäßçéèñóü"
+
+
+def letter_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """(item, label, embedding): documents in a known language, by how often each letter stands in them."""
+    low, size = F.lower("text"), F.greatest(F.length("text"), F.lit(1))
+    shares = F.array(*[((F.length(low) - F.length(F.translate(low, c, ""))) / size).cast("double") for c in LETTERS])
+    langs = F.array(*[F.lit(c) for c in LANGS])
+    return (
+        parquet(spark, sf, "documents")
+        .filter(F.col("lang").isin(LANGS) & F.col("text").isNotNull())
+        .select(F.col("doc_id").alias("item"), (F.array_position(langs, F.col("lang")) - 1).cast("int").alias("label"), shares.alias("embedding"))
+    )

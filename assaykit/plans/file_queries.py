@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assaykit.functions import numeric, paths, quality
-from assaykit.operators import candidates, evaluation, images, index, profile, ranking, validation
+from assaykit.operators import candidates, evaluation, images, index, profile, ranking, training, validation
 from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
 from assaykit.plans.model_queries import HISTORY_SQL, MODEL_OF, report_rows
@@ -426,11 +427,7 @@ def perceptual_hash(spark, sf):
 
 
 def _features(spark, sf):
-    return candidates.with_features(
-        tables.parquet(spark, sf, "embeddings").select(
-            F.col("vec_id").alias("item"), F.col("label"), "embedding"
-        )
-    )
+    return candidates.with_features(b.letter_shares(spark, sf))
 
 
 def _split(df):
@@ -438,43 +435,62 @@ def _split(df):
     return df.filter(~held), df.filter(held)
 
 
+def _majority(test):
+    """One row: the share of the largest class, which a constant guess would reach."""
+    sizes = test.groupBy("label").agg(F.count("*").alias("n"))
+    return sizes.agg(numeric.half_even(F.max("n") / F.sum("n"), 4).alias("majority"))
+
+
+#: By how much a trained model has to exceed the majority class on rows it has not seen.
+MARGIN = 0.1
+KNOWN_SQL = f"""(SELECT doc_id, list_position({b.LANGS}, lang) - 1 AS label FROM documents
+    WHERE lang IN ({", ".join(repr(c) for c in b.LANGS)}) AND text IS NOT NULL)"""
+MAJORITY_SQL = f"""(SELECT round(max(n) / sum(n), 4) FROM (SELECT count(*) AS n FROM {KNOWN_SQL}
+    WHERE doc_id % 5 = 0 GROUP BY label))"""
 CANDIDATE_SQL = "(VALUES " + ", ".join(f"('{n}')" for n in sorted(candidates.NAMES)) + ") c(model)"
 
 
 @query(
     "train_candidates",
-    f"""SELECT model, (SELECT count(*) FROM embeddings WHERE vec_id % 5 = 0) AS n_scored,
-        TRUE AS accuracy_recomputed FROM {CANDIDATE_SQL}""",
+    f"""SELECT model, (SELECT count(*) FROM {KNOWN_SQL} WHERE doc_id % 5 = 0) AS n_scored,
+        TRUE AS accuracy_recomputed, {MAJORITY_SQL} AS majority, TRUE AS above_majority FROM {CANDIDATE_SQL}""",
 )
 def train_candidates(spark, sf):
     """Every candidate fitted on the training rows and scored on the held-out ones; the accuracy it
-    reaches is the one recounted from its stored scores."""
+    reaches is the one recounted from its stored scores, and above the majority class by MARGIN."""
     train, test = _split(_features(spark, sf))
     fitted = candidates.train_candidates(cut(train))
-    scored = cut(candidates.score_all(fitted, test, b.PRED_CLASSES))
+    scored = cut(candidates.score_all(fitted, test, b.LANGS))
     best = F.array_position("probs", F.array_max("probs")) - 1
     recounted = scored.groupBy("model").agg(
         F.count("*").alias("n_scored"),
         numeric.half_even(F.count_if(best == F.col("label")) / F.count("*"), 4).alias("again"),
     )
-    return recounted.join(evaluation.accuracy(scored), "model").select(
-        "model", "n_scored", (F.col("again") == F.col("accuracy")).alias("accuracy_recomputed")
+    reached = recounted.join(evaluation.accuracy(scored), "model").crossJoin(F.broadcast(_majority(test)))  # one row
+    return reached.select(
+        "model",
+        "n_scored",
+        (F.col("again") == F.col("accuracy")).alias("accuracy_recomputed"),
+        "majority",
+        (F.col("accuracy") >= F.col("majority") + MARGIN).alias("above_majority"),
     )
 
 
-@query("batch_score", "SELECT vec_id AS item, label, TRUE AS consistent FROM embeddings")
+@query("batch_score", f"SELECT doc_id AS item, label, TRUE AS consistent, TRUE AS above_majority FROM {KNOWN_SQL}")
 def batch_score(spark, sf):
-    """All rows scored by one candidate; class, confidence and the score of every class agree."""
-    train, _ = _split(_features(spark, sf))
+    """All rows scored by one candidate; class, confidence and the score of every class agree, and the
+    held-out rows are right more often by MARGIN than their majority class."""
+    train, test = _split(_features(spark, sf))
     model = candidates.estimators()["logistic_regression"].fit(cut(train))
-    scored = candidates.batch_score(
-        model, _features(spark, sf), "logistic_regression", b.PRED_CLASSES
-    )
+    scored = cut(candidates.batch_score(model, _features(spark, sf), "logistic_regression", b.LANGS))
+    right = scored.filter(F.col("item") % 5 == 0).agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("right"))
+    floor = _majority(test).crossJoin(right).select((F.col("right") >= F.col("majority") + MARGIN).alias("above_majority"))
     named = F.get("scores", F.col("pred"))
     best = F.array_max(F.transform("scores", lambda s: s["confidence"]))
-    return scored.select(
+    return scored.crossJoin(F.broadcast(floor)).select(  # one row
         "item",
         "label",
+        "above_majority",
         (
             (named["class_name"] == F.col("predicted_class"))
             & (named["confidence"] == F.col("confidence"))
@@ -485,14 +501,14 @@ def batch_score(spark, sf):
 
 @query(
     "evaluate_candidates",
-    f"""SELECT model, TRUE AS in_range, TRUE AS placed FROM {CANDIDATE_SQL}""",
+    f"""SELECT model, TRUE AS in_range, TRUE AS placed, {MAJORITY_SQL} AS majority, TRUE AS above_majority FROM {CANDIDATE_SQL}""",
 )
 def evaluate_candidates(spark, sf):
     """Metrics of every candidate, then their ranking, which follows the accuracy; accuracy stands for
     all quality measures of the comparison."""
     train, test = _split(_features(spark, sf))
     fitted = candidates.train_candidates(cut(train))
-    scored = cut(candidates.score_all(fitted, test, b.PRED_CLASSES))
+    scored = cut(candidates.score_all(fitted, test, b.LANGS))
     metrics = evaluation.quality_metrics(scored).join(evaluation.top2_accuracy(scored), "model")
     table = metrics.withColumns(
         {
@@ -515,6 +531,52 @@ def evaluate_candidates(spark, sf):
     fine = F.col("mcc").between(-1, 1) & F.col("cohen_kappa").between(-1, 1)
     for share in shares:
         fine = fine & F.col(share).between(0, 1)
-    return place.join(wrong, "model", "left").select(
-        "model", fine.alias("in_range"), F.col("wrong").isNull().alias("placed")
+    judged = place.join(wrong, "model", "left").crossJoin(F.broadcast(_majority(test)))  # one row
+    return judged.select(
+        "model",
+        fine.alias("in_range"),
+        F.col("wrong").isNull().alias("placed"),
+        "majority",
+        (F.col("accuracy") >= F.col("majority") + MARGIN).alias("above_majority"),
+    )
+
+
+EPOCHS = 6
+
+
+@query(
+    "train_epochs",
+    f"""SELECT CAST(epoch AS INT) AS epoch, (SELECT count(*) FROM {KNOWN_SQL} WHERE doc_id % 5 <> 0) AS n_train,
+        {MAJORITY_SQL} AS majority, TRUE AS loss_fell, TRUE AS above_majority, TRUE AS f1_recomputed, TRUE AS timed
+    FROM range(1, {EPOCHS + 1}) e(epoch)""",
+)
+def train_epochs(spark, sf):
+    """The history of mini-batch training: the loss below that of the first epoch, and the held-out
+    accuracy above the majority class by MARGIN, in every epoch from the second; the best epoch's
+    weights, read back from their checkpoint, score the held-out rows to the weighted F1 of the
+    history."""
+    rows = b.letter_shares(spark, sf).withColumnRenamed("embedding", "features")
+    train, test = _split(rows)
+    fitted = training.fit_epochs(train, test, len(b.LANGS), epochs=EPOCHS)
+    fitted.weights = training.load(spark, fitted.checkpoints[fitted.best_epoch])
+    quality = evaluation.quality_metrics(training.score(test, fitted)).select(F.col("f1_weighted").alias("again"))
+    log = training.as_run_log(fitted.history, "run")
+    timed = log.filter("key = 'epoch_time_sec'").select(F.col("step").alias("epoch"), (F.col("value") > 0).alias("timed"))
+    loss = F.first("train_loss").over(Window.orderBy("epoch"))  # one row an epoch
+    best = F.lit(fitted.best_epoch)
+    return (
+        fitted.history.withColumn("first_loss", loss)
+        .join(timed, "epoch")
+        .crossJoin(F.broadcast(_majority(test)))
+        .crossJoin(F.broadcast(quality))
+        .crossJoin(F.broadcast(train.agg(F.count("*").alias("n_train"))))
+        .select(
+            "epoch",
+            "n_train",
+            "majority",
+            ((F.col("epoch") == 1) | (F.col("train_loss") < F.col("first_loss"))).alias("loss_fell"),
+            ((F.col("epoch") == 1) | (F.col("val_acc") >= F.col("majority") + MARGIN)).alias("above_majority"),
+            ((F.col("epoch") != best) | (F.col("val_f1_weighted") == F.col("again"))).alias("f1_recomputed"),
+            "timed",
+        )
     )

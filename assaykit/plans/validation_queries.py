@@ -215,17 +215,39 @@ def near_duplicate_groups(spark, sf):
     return b.stage(spark, sf, "near").groups.select("group_id", "member", "group_size")
 
 
-@query("near_duplicate_lsh", "SELECT CAST(0 AS BIGINT) AS false_links")
+RECALL = 0.9
+
+
+@query(
+    "near_duplicate_lsh",
+    """SELECT count(*) AS exact_members, count(DISTINCT group_id) AS exact_groups, CAST(0 AS BIGINT) AS false_links,
+        TRUE AS recall_reached FROM near_groups""",
+    ("near_groups",),
+)
 def near_duplicate_lsh(spark, sf):
-    """Groups of the approximate search that reach over several exact components: there are none."""
-    exact = b.stage(spark, sf, "near").groups.select("member", F.col("group_id").alias("exact"))
-    found = b.stage(spark, sf, "near_lsh").groups.select("member", "group_id")
-    mixed = (
-        found.join(exact, "member", "left")
-        .groupBy("group_id")
-        .agg((F.min("exact").isNull() | (F.min("exact") != F.max("exact"))).alias("mixed"))
+    """The approximate search beside the exact one: members of exact groups, links between different
+    exact groups (there are none), and whether RECALL of the members are found, in groups that hold as
+    much of their exact one."""
+    rows = cut(b.doc_rows(spark, sf))
+    docs = tables.spread(tables.parquet(spark, sf, "documents"))
+    total = rows.count()
+    exact = cut(duplicates.near_groups(docs, rows, total=total)).select("member", F.col("group_id").alias("exact"), F.col("group_size").alias("whole"))
+    found = duplicates.near_groups(docs, rows, approximate=True, total=total).select("member", "group_id", "group_size")
+    both = cut(exact.join(found, "member", "full"))
+    mixed = both.filter("group_id IS NOT NULL").groupBy("group_id").agg(
+        (F.count_if(F.col("exact").isNull()) + F.count_distinct("exact") - 1).alias("wrong")
+    )
+    facts = both.agg(
+        F.count("exact").alias("exact_members"),
+        F.count_distinct("exact").alias("exact_groups"),
+        F.sum(F.coalesce(F.try_divide("group_size", "whole"), F.lit(0.0))).alias("held"),
+    )
+    return facts.crossJoin(mixed.agg(F.coalesce(F.sum("wrong"), F.lit(0)).alias("false_links"))).select(  # one row each
+        "exact_members",
+        "exact_groups",
+        "false_links",
+        (F.col("held") >= RECALL * F.col("exact_members")).alias("recall_reached"),
     )
-    return mixed.agg(F.count_if("mixed").alias("false_links"))
 
 
 @query(

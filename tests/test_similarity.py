@@ -3,7 +3,12 @@ import random
 import pytest
 
 from assaykit.operators.components import connected_components
-from assaykit.operators.similarity import near_duplicate_components, near_duplicate_lsh_components
+from assaykit.operators.similarity import (
+    lsh_layout,
+    near_duplicate_components,
+    near_duplicate_lsh_components,
+    one_permutation,
+)
 
 
 def components_by_hand(nodes, edges):
@@ -102,3 +107,36 @@ def test_lsh_never_joins_what_is_apart(spark):
     for row in got:
         by_component.setdefault(row["component"], set()).add(exact[row["node"]])
     assert all(len(found) == 1 for found in by_component.values())
+
+
+def test_lsh_recall(spark):
+    """Pairs at the threshold and above: nearly all are found, and the layout promises it."""
+    rnd = random.Random(12)
+    docs, want = [], 0
+    for i in range(300):
+        words = [f"{rnd.getrandbits(30):x}" for _ in range(rnd.randint(8, 80))]
+        kept = max(len(words) - rnd.randint(0, max(0, (len(words) - 2) // 5)), 3)
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:kept]))]
+        want += kept < len(words)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    exact = near_duplicate_components(frame).count()
+    found = near_duplicate_lsh_components(frame).count()
+    assert exact == 2 * want and found >= 0.95 * exact
+    bands, rows = lsh_layout(0.8, 0.95)
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.95 > 1 - (1 - 0.8 ** (rows + 1)) ** (32 // (rows + 1))
+
+
+def test_one_permutation_signatures_estimate_similarity(spark):
+    rnd = random.Random(3)
+    rows, sims = [], []
+    for i in range(120):
+        x = {rnd.getrandbits(62) for _ in range(rnd.choice([3, 20, 200]))}
+        y = set(rnd.sample(sorted(x), max(1, int(len(x) * rnd.random())))) | {rnd.getrandbits(62) for _ in range(2)}
+        rows += [(2 * i, len(x), sorted(x)), (2 * i + 1, len(y), sorted(y))]
+        sims.append(len(x & y) / len(x | y))
+    frame = spark.createDataFrame(rows, "node long, size int, tokens array<long>")
+    sigs = {r["node"]: r["signature"] for r in one_permutation(frame).collect()}
+    assert all(len(s) == 32 and None not in s for s in sigs.values())
+    guess = [sum(p == q for p, q in zip(sigs[2 * i], sigs[2 * i + 1])) / 32 for i in range(120)]
+    errors = [g - s for g, s in zip(guess, sims)]
+    assert abs(sum(errors) / len(errors)) < 0.03
