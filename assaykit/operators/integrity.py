@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,32 @@ def readiness(df: DataFrame) -> DataFrame:
     return df.limit(1).agg(
         F.when(F.count("*") > 0, "ok").otherwise("degraded").alias("status")
     )
+
+
+def check_metrics(not_null: Sequence[str], bounds: dict[str, tuple[float, float]]) -> list[Column]:
+    """Counts of rows, of rows with a null among `not_null`, and of values outside their bounds or
+    missing, by column."""
+    hit = F.lit(False)
+    for c in not_null:
+        hit = hit | F.col(c).isNull()
+    outside = [
+        F.count_if(F.col(c).isNull() | ~F.col(c).between(low, high)).alias(f"out_of_bounds_{c}")
+        for c, (low, high) in bounds.items()
+    ]
+    return [F.count(F.lit(1)).alias("n_rows"), F.count_if(hit).alias("n_nulls"), *outside]
+
+
+def write_checked(
+    df: DataFrame, path: str, not_null: Sequence[str] = (), bounds: dict[str, tuple[float, float]] | None = None
+) -> dict[str, int]:
+    """Write a frame as Parquet and return its checks, counted while it is written, so that they cost no
+    scan. A stage that ran again after a lost executor may have been counted twice; so the rows counted
+    are held against those in the files' footers, and the written table is counted where they differ."""
+    metrics = check_metrics(not_null, bounds or {})
+    seen = Observation()
+    df.observe(seen, *metrics).write.parquet(path)
+    found = dict(seen.get)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    if written.count() != found["n_rows"]:
+        found = written.agg(*metrics).first().asDict()
+    return found

@@ -8,7 +8,7 @@ from assaykit.functions import numeric, paths, quality
 from assaykit.operators import index, integrity, profile, validation, versions
 from assaykit.plans import bindings as b
 from assaykit.plans.catalog import query
-from assaykit.session import cut
+from assaykit.session import cut, scratch_path
 from assaykit.sources import files, tables
 
 IDX = ("idx",)
@@ -22,7 +22,6 @@ MASTER = ("master",)
     MASTER,
 )
 def scan_master_parquet(spark, sf):
-    from assaykit.session import scratch_path
     from assaykit.sources import sinks
 
     path = scratch_path(spark, "master")
@@ -784,6 +783,18 @@ def check_bounds(spark, sf):
     return integrity.out_of_bounds(rows, "value", 1.0, 50.0)
 
 
+@query(
+    "checks_on_write",
+    """SELECT count(*) AS n_rows, count_if(user_id IS NULL OR ts IS NULL) AS n_nulls,
+        count_if(value IS NULL OR value < 1 OR value > 50) AS out_of_bounds_value FROM events""",
+)
+def checks_on_write(spark, sf):
+    """Row count, nulls and bounds counted while the table is written."""
+    rows = tables.parquet(spark, sf, "events")
+    found = integrity.write_checked(rows, scratch_path(spark, "events"), ["user_id", "ts"], {"value": (1.0, 50.0)})
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in found.items()])
+
+
 @query(
     "dataset_ready",
     "SELECT CASE WHEN count(*) > 0 THEN 'ok' ELSE 'degraded' END AS status FROM documents",

@@ -621,3 +621,49 @@ def refresh_table(spark, sf):
     return spark.table(name).agg(
         F.count("*").alias("total_images"), F.sum("is_valid").alias("valid_images")
     )
+
+
+@query(
+    "publish_view",
+    """SELECT CAST(sum(is_valid) AS BIGINT) AS first_rows, CAST(sum(is_valid) AS BIGINT) AS held_rows,
+        count(*) AS total_images, CAST(2 AS BIGINT) AS versions FROM validated""",
+    ("validated",),
+    groups=EXACT,
+)
+def publish_view(spark, sf):
+    """A view published three times: what a reader of the second state sees before the third, and after
+    it, holding on; then the last state by name. Two tables stay behind the view."""
+    name = f"image_validation_{uuid.uuid4().hex[:12]}"
+    table = stored(spark, sf)
+    tables.publish(table.limit(0), name, VALIDATION)
+    tables.publish(table.filter("is_valid = 1"), name, VALIDATION)
+    held = spark.table(name)
+    first = held.count()
+    tables.publish(table, name, VALIDATION)
+    return spark.table(name).agg(F.count("*").alias("total_images")).select(
+        F.lit(first).cast("long").alias("first_rows"),
+        F.lit(held.count()).cast("long").alias("held_rows"),
+        "total_images",
+        F.lit(len(tables.versions_of(spark, name))).cast("long").alias("versions"),
+    )
+
+
+@query(
+    "evolve_stored_table",
+    """SELECT split, count(*) AS n, count(class_name) AS classed FROM (
+        SELECT split, CAST(NULL AS VARCHAR) AS class_name FROM idx WHERE split = 'train'
+        UNION ALL SELECT split, class_name FROM idx WHERE split = 'test') GROUP BY split""",
+    ("idx",),
+)
+def evolve_stored_table(spark, sf):
+    """A stored table with old files that lack most columns: they are added, new rows come with them,
+    old ones read as nulls."""
+    name = f"image_validation_old_{uuid.uuid4().hex[:12]}"
+    rows = b.image_index(spark, sf)
+    rows.filter("split = 'train'").select("image_id", "split").write.format("parquet").saveAsTable(name)
+    added = tables.evolve_table(spark, name, VALIDATION)
+    assert added and not tables.evolve_table(spark, name, VALIDATION)
+    have = spark.table(name).columns
+    new = tables.evolve(rows.filter("split = 'test'").select("image_id", "split", "class_name"), VALIDATION)
+    new.select(*have).write.insertInto(name)
+    return spark.table(name).groupBy("split").agg(F.count("*").alias("n"), F.count("class_name").alias("classed"))
