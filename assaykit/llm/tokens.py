@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import string
 from itertools import chain, islice
@@ -35,17 +36,25 @@ class Encoder:
     A text is parted at white space, every distinct word is encoded once by the library and kept in
     a bounded table (cleared when it holds `cached_words`), and the ids are gathered by numpy. Stems, which
     words share, live in two generations, so that frequent ones outlast a clearing. A text
-    with one of the four control characters that the two sides part differently goes to the library
-    whole. Strings of special tokens are ordinary text.
+    with one of the four control characters that the two sides part differently, or with the string of
+    an added token in any case, goes to the library whole, which makes a token of it or not by the
+    file's own settings.
     """
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        # `whole` reads texts as the file says; the other one sees single words, where a string that is
+        # an added token only after lower-casing must stay text
+        self.whole, self.tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        for tokenizer in (self.whole, self.tokenizer):
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        lead = os.path.commonprefix([t.lower() for t in added])
+        self.lead = lead if lead and not lead[0].isalpha() else ""
         self.mark = self._ids([_MARK])[0]
         if len(self.mark) != 1:
             raise ValueError("the mark between joined words must be one token")
@@ -54,6 +63,11 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self._clear()
 
+    def _is_odd(self, text: str) -> bool:
+        if _SEPARATORS.search(text):
+            return True
+        return self.lead[:1] in text and self.added.search(text) is not None
+
     def _clear(self) -> None:
         self.places = _Places()
         self.lengths = np.zeros(0, np.int64)
@@ -105,7 +119,7 @@ class Encoder:
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids as uint32, number of ids of each text); `end_id` follows every text if given."""
         texts = [t or "" for t in texts]
-        odd = [i for i, t in enumerate(texts) if _SEPARATORS.search(t)]
+        odd = [i for i, t in enumerate(texts) if self._is_odd(t)]
         parts = [t.split() for t in texts]
         for i in odd:
             parts[i] = []
@@ -125,9 +139,7 @@ class Encoder:
         if odd:
             rows = np.split(flat, np.cumsum(lengths)[:-1])
             for i in odd:
-                rows[i] = np.array(
-                    self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32
-                )
+                rows[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, np.uint32)
             flat = np.concatenate(rows).astype(np.uint32)
             lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         if end_id is None:

@@ -28,7 +28,6 @@ def test_round_trip(spark, monkeypatch):
     idfiles.write_shards(df, path, shard_tokens=500)
     idfiles.build_index(spark, path)
     library = Tokenizer.from_file(word_bpe())
-    library.encode_special_tokens = True
     ids = [(d, np.array(library.encode(t or "", add_special_tokens=False).ids + [2], "<u4")) for d, t, _ in rows]
     got = [tuple(r) for r in idfiles.read_documents(spark, path, df).collect()]
     assert sorted(((d, n, c) for d, _, n, c in got), key=repr) == sorted(((d, len(i), zlib.crc32(i.tobytes())) for d, i in ids), key=repr)

@@ -48,7 +48,6 @@ def test_rows_and_crc(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, length string")
     got = packing.pack(df, group_tokens=5000).collect()
     library = Tokenizer.from_file(word_bpe())
-    library.encode_special_tokens = True
     want = {}
     for doc, text, _ in rows:
         ids = library.encode(text or "", add_special_tokens=False).ids + [2]
@@ -75,10 +74,22 @@ def test_encoder_equals_library():
     texts = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 80))) for _ in range(1500)] + [None, "", "\x1c a"]
     small = Encoder(word_bpe(), cached_words=300)
     library = Tokenizer.from_file(word_bpe())
-    library.encode_special_tokens = True
     for low in range(0, len(texts), 200):
         part = texts[low : low + 200]
         ids, lengths = small.encode(part)
         want = [library.encode(t or "", add_special_tokens=False).ids for t in part]
         assert lengths.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_special_token_strings_follow_the_file():
+    """As the plain call has them: tokens where the file says so, text in another case or cut apart."""
+    library, own = Tokenizer.from_file(word_bpe()), Encoder(word_bpe())
+    texts = [
+        "a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y <|endoftext|>", "<|ENDOFTEXT|> z", "<|EndOfText|>",
+        "<|endoftext", "<| endoftext |>", "a < b | c", "plain", "",
+    ]
+    flat, lengths = own.encode(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(w) for w in want] and flat.tolist() == sum(want, [])
+    assert 49407 in want[0]
