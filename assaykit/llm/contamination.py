@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaykit.llm import bitmaps
+from assaykit.llm.rowlists import without
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, row_of, run_hashes, span_hashes, word_spans
 from assaykit.session import cut
 
@@ -192,8 +193,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     bad = (
         contamination(docs, items, id_col, text_col)
         .filter("contaminated")
-        .select(F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_text"))
+        .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
         .distinct()
     )
-    same = docs[id_col].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text_col]) == bad["_bad_text"])
-    return docs.join(bad, same, "left_anti")
+    return without(docs, cut(bad), id_col, text_col)

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaykit.llm import bitmaps
+from assaykit.llm.rowlists import even_share, without
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, ragged, row_of, run_hashes, span_hashes, word_spans
 from assaykit.operators.components import connected_components
+from assaykit.operators.skew import attach
 from assaykit.session import cut
 
 WORDS = 5
@@ -569,8 +571,10 @@ def jaccard_components(
     grouped = per_set.join(merged, per_set["a"] == merged["node"], "left").select(
         "a", "least", F.coalesce("component", "a").alias("component")
     )
-    named = grouped.join(
-        grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component"
+    grouped = cut(grouped)
+    ids = cut(grouped.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    named = attach(
+        grouped, ids, "component", F.col("a"), size="n", rows_per_task=even_share(docs, n_sets), total=n_sets
     ).select("a", "component", "component_id")
     return rows.withColumn("a", F.when(F.col("size") > 0, F.col("a"))).join(named, "a", "left").select(
         F.col("id").alias(id_col),
@@ -585,24 +589,27 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of `docs`, with all their columns, that stay when one of each component does: the one
     with the smallest id (a null id last), of repeated rows one. Rows with an empty set all stay."""
     found = cut(jaccard_components(docs, id_col, text_col).filter("component IS NOT NULL"))
-    first = found.groupBy("component").agg(
-        F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")).alias("f")
+    first = cut(
+        found.groupBy("component").agg(
+            F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")).alias("f"),
+            F.count("*").alias("n"),
+        )
     )
     here = found.select("component", F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+    counted = cut(here.groupBy("component", "_id", "_hash").agg(F.count("*").alias("rows")))
+    total = counted.count()
+    stays = F.col("_id").eqNullSafe(F.col("f.id")) & (F.col("_hash") == F.col("f.text_hash"))
     each = cut(
-        here.groupBy("component", "_id", "_hash")
-        .agg(F.count("*").alias("rows"))
-        .join(first, "component")
-        .withColumn("stays", F.col("_id").eqNullSafe(F.col("f.id")) & (F.col("_hash") == F.col("f.text_hash")))
+        attach(counted, first, "component", F.xxhash64("_id", "_hash"), size="n", rows_per_task=even_share(docs, total), total=total)
+        .withColumn("stays", stays)
         .select("_id", "_hash", "rows", "stays")
     )
-
-    def among(rows: DataFrame, how: str) -> DataFrame:
-        same = docs[id_col].eqNullSafe(rows["_id"]) & (F.xxhash64(docs[text_col]) == rows["_hash"])
-        return docs.join(rows.select("_id", "_hash"), same, how)
-
     repeated = each.filter("stays AND rows > 1")
     if repeated.isEmpty():
-        return among(each.filter("NOT stays"), "left_anti")
-    once = among(repeated, "left_semi").dropDuplicates([id_col, text_col])
-    return among(each.filter("NOT stays OR rows > 1"), "left_anti").unionByName(once)
+        return without(docs, cut(each.filter("NOT stays").select("_id", "_hash")), id_col, text_col)
+    again = repeated.select("_id", "_hash")
+    again = F.broadcast(again) if again.count() <= LISTED else again
+    same = docs[id_col].eqNullSafe(again["_id"]) & (F.xxhash64(docs[text_col]) == again["_hash"])
+    once = docs.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    gone = cut(each.filter("NOT stays OR rows > 1").select("_id", "_hash"))
+    return without(docs, gone, id_col, text_col).unionByName(once)

@@ -1,9 +1,12 @@
 """Every stage keeps what it should, with all columns, whatever the rows."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from assaykit.llm import jaccard
+from assaykit.llm import bitmaps, contamination, jaccard, rowlists
+from assaykit.session import cut
 
 COPY = "seven words that stand in this copied text one two three four"
 ROWS = [
@@ -50,3 +53,31 @@ def test_run_and_empty(spark, tables):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, tables).collect() == []
+
+
+@pytest.mark.parametrize("limit,full", [(500_000, False), (3, False), (100, True), (3, True)])
+def test_listed_rows_go_by_every_way(spark, monkeypatch, limit, full):
+    """Broadcast; a bitmap; one so full that all pass, those by chance picked by broadcast or joined:
+    the same rows."""
+    monkeypatch.setattr(rowlists, "LISTED", limit)
+    if full:
+        monkeypatch.setattr(bitmaps, "build", lambda *_: np.full(1 << (bitmaps.BITS - 6), ~np.uint64(0)))
+    rows = [(i if i % 9 else None, f"text {i % 40}", i % 3 == 0) for i in range(200)] + [(500, None, True), (501, None, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, passes boolean")
+    gone = docs.filter("doc_id % 4 <> 0 OR (doc_id IS NULL AND text LIKE '%8')")
+    listed = cut(gone.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")).distinct())
+    got = rowlists.without(docs, listed, "doc_id", "text")
+    assert got.columns == docs.columns
+    want = [r for r in rows if not (r[0] % 4 if r[0] is not None else r[1].endswith("8"))]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    left = len({(r[0], r[1]) for r in want})
+    assert listed.count() > 100 > left > 3
+
+
+def test_no_text_in_an_exchange(spark):
+    """Neither stage that drops rows shuffles whole rows to do so."""
+    docs = spark.createDataFrame([(i, f"word{i} b c d e f g {'x y z' if i % 2 else ''}") for i in range(50)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "word3 b c d e f g x y z")], "item_id string, text string")
+    for kept in (contamination.drop_contaminated(docs, items), jaccard.keep_one(docs)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
