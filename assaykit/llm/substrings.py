@@ -11,30 +11,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaykit.llm import bitmaps
+from assaykit.llm.columns import unused
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, ragged, span_hashes
+from assaykit.operators.skew import attach
 from assaykit.session import cut
 
-CUT_BITS = 5
-LEAST_CHARS = 80
-# Bytes that a gear hash depends on.
-REACH = 16
+CUT_BITS = 4
+LEAST_CHUNK, MOST_CHUNK = 8, 64
+LEAST_BYTES = 80
+# How far before its first whole chunk a stretch is followed back; cuts there may be out of step.
+BACK = 112
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
+IS_WORD = np.zeros(256, bool)
+IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
 
-def normalised(part: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes with A-Z lower-cased and each run of ASCII white space inside a row as one space, and the
-    length of each row."""
-    part = LOWER[part]
+def normalised(part: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with A-Z lower-cased and each run of ASCII white space inside a row as one space, the
+    length of each row, and the place of each byte in `part`."""
     space = IS_SPACE[part]
     again = space.copy()
     again[1:] &= space[:-1]
     again[off[:-1][off[:-1] < len(part)]] = False
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    part = np.where(space, np.uint8(32), part)[~again]
-    return part, np.bincount(row[~again], minlength=len(off) - 1)
+    kept = np.flatnonzero(~again)
+    return np.where(space, np.uint8(32), LOWER[part])[kept], np.diff(np.searchsorted(kept, off)), kept
 
 
 def _gear_hashes(part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -49,154 +52,188 @@ def _gear_hashes(part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def chunk_ends(part: np.ndarray, sizes: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
-    """Where chunks end: after a byte whose gear hash has `bits` leading zeros, and at a row's end, so
-    boundaries fall into step again 16 bytes after an insertion."""
-    stop = _gear_hashes(part, sizes) >> np.uint16(16 - bits) == 0
-    stop[np.cumsum(sizes)[sizes > 0] - 1] = True
-    return np.flatnonzero(stop) + 1
-
-
-def chunk_bytes(least: int) -> int:
-    """The length of an anchor's chunk: any `least` bytes hold `least // 2` whole chunks or one more."""
-    return least // 2 + 1
-
-
-def anchors(part: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, anchor): where the windows of `least` bytes inside a row begin, and the chunk start that
-    each chooses: the one of least gear hash among the chunks inside it, the last of equal ones. The
-    choice depends on the window's bytes alone, so equal windows choose equal chunks wherever they stand,
-    and neighbouring anchors are no further apart than `least // 2` bytes."""
-    width = least - chunk_bytes(least) + 1
-    n, low = len(part), (1 << 32) - 1
-    value = np.full(n, 1 << 16, np.int64)
-    value[: max(0, n - REACH + 1)] = _gear_hashes(part, sizes)[REACH - 1 :]
-    best, span = value << 32 | (low - np.arange(n)), 1
-    while 2 * span <= width:
-        best[: n - span] = np.minimum(best[: n - span], best[span:])
-        span *= 2
-    starts = np.flatnonzero(ragged(sizes) + least <= np.repeat(sizes, sizes))
-    return starts, low - (np.minimum(best[starts], best[starts + width - span]) & low)
+    """Where chunks end: at a row's end, and after a byte whose gear hash has `bits` leading zeros,
+    unless another such byte or the row's start is less than LEAST_CHUNK bytes back; longer stretches are
+    cut every MOST_CHUNK bytes from the cut before them. No character is cut. All but the last rule
+    look at the latest 24 bytes only, so the ends fall into step again after an insertion."""
+    n = len(part)
+    inside = np.append(part & 0xC0 == 0x80, False)
+    natural = np.flatnonzero(_gear_hashes(part, sizes) >> np.uint16(16 - bits) == 0) + 1
+    bound, mark = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    bound[np.cumsum(sizes)] = True
+    bound[0] = True
+    mark[natural[~inside[natural]]] = True
+    ends = np.flatnonzero(mark | bound)
+    keep = bound[ends]
+    keep[1:] |= np.diff(ends) >= LEAST_CHUNK
+    ends = ends[keep]
+    extra = (np.diff(ends) - 1) // MOST_CHUNK
+    forced = np.repeat(ends[:-1], extra) + MOST_CHUNK * (ragged(extra) + 1)
+    for _ in range(3):
+        forced -= inside[forced]
+    return np.sort(np.concatenate([ends[1:], forced]))
+
+
+def _within(marks: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, place): the marked places in low[i] .. high[i], both included, for each i."""
+    places = np.flatnonzero(marks)
+    first = np.searchsorted(places, low)
+    count = np.searchsorted(places, high, "right") - first
+    return np.repeat(np.arange(len(low)), count), places[np.repeat(first, count) + ragged(count)]
+
+
+def _claims(part: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: np.ndarray):
+    """(low, high) of the stretches to look up: two neighbouring known chunks, and a known chunk with
+    the words that follow it in the next chunk, or that precede it by up to BACK bytes, if the
+    neighbour is not known."""
+    row = np.searchsorted(bounds, starts, "right")
+    same = row[1:] == row[:-1]
+    pair = np.flatnonzero(known[:-1] & known[1:] & same)
+    after = np.flatnonzero(known[:-1] & ~known[1:] & same)
+    before = np.flatnonzero(~known[:-1] & known[1:] & same) + 1
+    word, wide = np.append(IS_WORD[part], False), np.append(part >= 0xE0, False)
+    apart = np.zeros(len(part) + 1, bool)
+    apart[bounds] = True
+    last = np.concatenate([[False], word[:-1]])
+    stop, begin = last & (~word | apart) | wide | apart, word & (~last | apart) | wide | apart
+    i, to = _within(stop, ends[after] + 1, ends[after + 1])
+    back = np.maximum(starts[before] - BACK, bounds[row[before] - 1])
+    j, since = _within(begin, back, starts[before] - 1)
+    low = np.concatenate([starts[pair], starts[after][i], since])
+    high = np.concatenate([ends[pair + 1], to, ends[before][j]])
+    return low, high
 
 
 def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_BYTES
 ) -> DataFrame:
-    """(id, start, length, n_chunks, n_first): the stretches whose windows of `least` bytes all occur in
-    another row too, each to its real ends. Of its `n_chunks` windows `n_first` are held by this row
-    first and stay; the others can go.
-
-    Offsets are bytes of the lower-cased text with single spaces. Each window names one chunk inside it
-    by the least gear hash; neighbouring windows that name the same one are a block. Chunks that two rows
-    name are noted in a bitmap of fixed size, those that stand in different blocks in another. A second
-    scan emits, for chunks in the first, the block's digest where all blocks are equal and each window's
-    digest else, so no repeat is missed and none is made of shorter ones. Digests are counted with partial sums and
-    joined back, where Spark splits frequent ones. Null and short texts have no windows, repeated rows
-    repeat each other, stretches repeated inside one row alone are left. Texts of any length are read
-    whole and never shuffled; other columns are not read.
+    """(id, start, length, n_bytes, first): the stretches of at least `least` bytes that occur in another
+    row too, in code points of the text as it is; `n_bytes` counts them with A-Z lower-cased and single
+    spaces, as rows are compared. `first` says that this row holds the stretch first, so that it stays;
+    the others can go (`drop_repeats`).
+
+    Texts are cut into chunks by content. Digests held by two rows are noted in a bitmap of fixed size.
+    A second scan emits, where the bitmap passes, the digest of each two neighbouring chunks, and at the
+    end of such a run the chunk with each whole word that follows or precedes it in the next chunk.
+    They are counted with partial sums, joined back with frequent ones split, and those that another
+    row holds are united where they overlap by a chunk. So a stretch needs one whole chunk to be found, and
+    each two chunks of it stand together in another row; its ends are those of whole words. Where the
+    bitmap fills up, more is emitted, and an end may lie a chunk short. A stretch without two cuts inside is missed; the tests
+    state the share by length.
+
+    Null and short texts have no stretches, repeated rows repeat each other, stretches repeated inside one
+    row alone are left. Texts of any length are read whole and never shuffled; other columns are not read.
     """
-    if least < 2 * REACH:
-        raise ValueError(f"a shared stretch has at least {2 * REACH} bytes")
+    if least <= MOST_CHUNK:
+        raise ValueError(f"a shared stretch is longer than a chunk of {MOST_CHUNK} bytes")
     kind = docs.schema[id_col].dataType.simpleString()
-    size = chunk_bytes(least)
 
-    def windows(batches: Iterator[pa.RecordBatch], column: int):
-        """(row number, batch, rows, bytes, row bounds, window starts, anchors) by row ranges."""
+    def chunks(batches: Iterator[pa.RecordBatch], column: int):
+        """(row number, batch, rows, raw bytes and offsets, bytes, places, bounds, chunks) by row ranges."""
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, off = buffers(batch.column(column))
             for low, high in pieces(off):
-                part, sizes = normalised(data[off[low] : off[high]], off[low : high + 1] - off[low])
+                raw, raw_off = data[off[low] : off[high]], off[low : high + 1] - off[low]
+                part, sizes, kept = normalised(raw, raw_off)
+                ends = chunk_ends(part, sizes)
+                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
-                yield row, batch, low, high, part, bounds, *anchors(part, sizes, least)
+                yield row, batch, low, high, (raw, raw_off), part, kept, bounds, starts, ends
                 row += high - low
 
-    def blocks(starts: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each block begins among the windows, and its number of windows."""
-        new = np.ones(len(starts), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
-        at = np.flatnonzero(new)
-        return at, np.diff(np.append(at, len(starts)))
-
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, _, _, _, part, bounds, starts, anchor in windows(batches, 0):
-            at, n = blocks(starts, anchor)
-            digests = span_hashes(part, anchor[at], anchor[at] + size).view(np.int64)
-            whole = span_hashes(part, starts[at], starts[at] + n - 1 + least).view(np.int64)
-            rows = row + np.searchsorted(bounds, starts[at], "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(digests), pa.array(whole)], names=["row", "digest", "block"]
-            )
+        for row, _, _, _, _, part, _, bounds, starts, ends in chunks(batches, 0):
+            some = ends - starts >= LEAST_CHUNK
+            digests = span_hashes(part, starts[some], ends[some]).view(np.int64)
+            rows = row + np.searchsorted(bounds, starts[some], "right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(digests)], names=["row", "digest"])
 
-    named = cut(
+    twice = (
         docs.select(text_col)
-        .mapInArrow(name, "row long, digest long, block long")
+        .mapInArrow(name, "row long, digest long")
         .groupBy("digest")
-        .agg(
-            F.min("row").alias("lo"), F.max("row").alias("hi"), F.min("block").alias("b"), F.max("block").alias("c")
-        )
+        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
         .filter("lo <> hi")
-        .select("digest", (F.col("b") != F.col("c")).alias("differ"))
-    )
-    held, differ = (
-        docs.sparkSession.sparkContext.broadcast(bitmaps.build(chunks, "digest"))
-        for chunks in (named, named.filter("differ"))
     )
+    held = docs.sparkSession.sparkContext.broadcast(bitmaps.build(twice, "digest"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, batch, low, high, part, bounds, starts, anchor in windows(batches, 1):
-            at, n = blocks(starts, anchor)
-            digests = span_hashes(part, anchor[at], anchor[at] + size)
-            passed, fine = (bitmaps.passes(b.value, digests) for b in (held, differ))
-            single = np.repeat(passed & fine, n)
-            keep = single.copy()
-            keep[at[passed]] = True
-            count = np.ones(len(starts), np.int64)
-            count[at[passed & ~fine]] = n[passed & ~fine]
-            starts, count = starts[keep], count[keep]
-            cuts = np.searchsorted(starts, bounds).astype(np.int32)
-            found = span_hashes(part, starts, starts + count - 1 + least).view(np.int64)
-            own = starts - np.repeat(bounds[:-1], np.diff(cuts))
-            some = pa.array(np.diff(cuts) > 0)
+        for row, batch, low, high, (raw, raw_off), part, kept, bounds, starts, ends in chunks(batches, 1):
+            known = bitmaps.passes(held.value, span_hashes(part, starts, ends)) & (ends - starts >= LEAST_CHUNK)
+            a, b = _claims(part, bounds, starts, ends, known)
+            where = np.searchsorted(bounds, a, "right") - 1
+            order = np.argsort(where, kind="stable")
+            a, b, where = a[order], b[order], where[order]
+            points = np.concatenate([[0], np.cumsum(raw & 0xC0 != 0x80)])
+            base = points[raw_off[where]]
+            values = (points[kept[a]] - base, points[kept[b - 1] + 1] - base, a - bounds[where], b - bounds[where])
+            count = np.bincount(where, minlength=high - low)
+            cuts = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+            flats = [pa.array(v.astype(np.int32)) for v in values] + [pa.array(span_hashes(part, a, b).view(np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + high - low)),
                     batch.column(0)[low:high],
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(own.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(count.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(found)),
+                    *(pa.ListArray.from_arrays(cuts, flat) for flat in flats),
                 ],
-                names=["row", "id", "starts", "counts", "digests"],
-            ).filter(some)
+                names=["row", "id", *fields],
+            ).filter(pa.array(count > 0))
 
+    fields = ["start", "stop", "low", "high", "digest"]
     scanned = cut(
         docs.select(id_col, text_col).mapInArrow(
-            scan, f"row long, id {kind}, starts array<int>, counts array<int>, digests array<long>"
+            scan, f"row long, id {kind}, " + ", ".join(f"{f} array<{'long' if f == 'digest' else 'int'}>" for f in fields)
         )
     )
-    each = scanned.select("row", F.explode(F.arrays_zip("starts", "counts", "digests")).alias("w")).select(
-        "row", F.col("w.starts").alias("start"), F.col("w.counts").alias("n"), F.col("w.digests").alias("digest")
-    )
-    shared = (
+    each = scanned.select("row", F.explode(F.arrays_zip(*fields)).alias("c")).select("row", "c.*")
+    shared = cut(
         each.groupBy("digest")
-        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("n"))
         .filter("lo <> hi")
-        .select("digest", "lo")
+        .select("digest", "lo", "n")
+    )
+    hits = attach(each, shared, "digest", F.col("row"), size="n").select(
+        "row", "start", "stop", "low", "high", (F.col("lo") == F.col("row")).alias("first")
     )
-    hits = each.join(shared, "digest").select("row", "start", "n", (F.col("lo") == F.col("row")).alias("first"))
-    order = Window.partitionBy("row").orderBy("start")
-    before = F.lag(F.col("start") + F.col("n") - 1).over(order)
-    apart = F.coalesce(F.col("start") - before > least, F.lit(False))
+    order = Window.partitionBy("row", "first").orderBy("low", "high")
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = (
-        hits.withColumn("apart", apart.cast("int"))
+        hits.withColumn("apart", F.coalesce(F.col("low") > reach - LEAST_CHUNK, F.lit(False)).cast("int"))
         .withColumn("run", F.sum("apart").over(order))
-        .groupBy("row", "run")
+        .groupBy("row", "first", "run")
         .agg(
             F.min("start").cast("long").alias("start"),
-            (F.max(F.col("start") + F.col("n")) - 1 - F.min("start") + least).cast("long").alias("length"),
-            F.sum("n").alias("n_chunks"),
-            F.sum(F.when(F.col("first"), F.col("n")).otherwise(0)).alias("n_first"),
+            (F.max("stop") - F.min("start")).cast("long").alias("length"),
+            (F.max("high") - F.min("low")).cast("long").alias("n_bytes"),
         )
+        .filter(F.col("n_bytes") >= least)
     )
     return runs.join(scanned.select("row", "id"), "row").select(
-        F.col("id").alias(id_col), "start", "length", "n_chunks", "n_first"
+        F.col("id").alias(id_col), "start", "length", "n_bytes", "first"
     )
+
+
+def drop_repeats(docs: DataFrame, text_col: str = "text", least: int = LEAST_BYTES) -> DataFrame:
+    """The rows of `docs` with the later copies of repeated stretches cut out of the text: each stays with
+    the row that holds it first. A null text stays null; a row that repeats others whole is empty.
+    Rows are numbered in a table in the shared folder; it is joined with the stretches to go by row."""
+    row, gone = unused(docs, "row"), unused(docs, "gone")
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    later = (
+        repeated_spans(numbered, row, text_col, least)
+        .filter(~F.col("first"))
+        .groupBy(row)
+        .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias(gone))
+    )
+    text, spans = F.col(text_col), F.col(gone)
+
+    def between(i):
+        last, following = F.get(spans, i - 1), F.get(spans, i)
+        low = F.coalesce(last["start"] + last["length"], F.lit(0))
+        high = F.coalesce(following["start"], F.length(text).cast("long"))
+        return F.substr(text, (low + 1).cast("int"), (high - low).cast("int"))
+
+    left = F.array_join(F.transform(F.sequence(F.lit(0), F.size(spans)), between), "")
+    cleaned = F.when(spans.isNull(), text).otherwise(left)
+    return numbered.join(later, row, "left").withColumn(text_col, cleaned).select(*docs.columns)

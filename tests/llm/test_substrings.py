@@ -10,32 +10,50 @@ from assaykit.llm import substrings
 from assaykit.llm.textbytes import buffers
 
 
-def chunks(text, bits=5):
+def chunks(text):
     data, off = buffers(pa.array([text]))
-    part, sizes = substrings.normalised(data, off)
-    ends = substrings.chunk_ends(part, sizes, bits)
+    part, sizes, _ = substrings.normalised(data, off)
+    ends = substrings.chunk_ends(part, sizes)
     return [part[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-def slow(text, bits=5):
-    body, h, out, start = " ".join([""] + text.lower().split(" ")).encode()[1:], 0, [], 0
+def slow(text, bits=substrings.CUT_BITS):
+    body = re.sub(r"[\x09-\x0d\x20]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).encode()
+    is_end = lambda p: p == len(body) or body[p] & 0xC0 != 0x80
+    h, fired, ends = 0, 0, []
     for i, b in enumerate(body):
         h = (h * 2 + int(substrings._GEAR[b])) & 0xFFFF
-        if h >> (16 - bits) == 0 or i == len(body) - 1:
-            out.append(body[start : i + 1])
-            start = i + 1
+        if h >> (16 - bits) == 0 and is_end(i + 1):
+            if i + 1 - fired >= substrings.LEAST_CHUNK:
+                ends.append(i + 1)
+            fired = i + 1
+    out, at = [], 0
+    for end in [e for e in ends if e < len(body)] + [len(body)]:
+        base, step = at, 1
+        while end - base > substrings.MOST_CHUNK * step:
+            p = base + substrings.MOST_CHUNK * step
+            while not is_end(p):
+                p -= 1
+            out.append(body[at:p])
+            at, step = p, step + 1
+        out.append(body[at:end])
+        at = end
     return out
 
 
-def prose(rnd, n):
-    return " ".join("".join(rnd.choices("abcdefghijkl", k=rnd.randint(2, 8))) for _ in range(n))
+def prose(rnd, n, least=2, most=8):
+    return " ".join("".join(rnd.choices("abcdefghijkl", k=rnd.randint(least, most))) for _ in range(n))
 
 
 def test_chunks_equal_a_byte_loop_and_resist_insertions():
     rnd = random.Random(1)
     text = prose(rnd, 400)
-    assert chunks(text) == slow(text)
-    assert len(set(chunks(text)) & set(chunks("inserted " + text))) > 0.9 * len(chunks(text))
+    wide = "".join(rnd.choices("aé漢😀 Z\n", k=3000))
+    for t in (text, wide, "a" * 1000, "漢" * 500, "x"):
+        assert chunks(t) == slow(t)
+    assert all(len(c) <= substrings.MOST_CHUNK + 3 for c in chunks(wide) + chunks("漢" * 500))
+    assert b"".join(chunks(text)) == text.encode()
+    assert len(set(chunks(text)) & set(chunks("inserted " + text))) > 0.9 * len(set(chunks(text)))
 
 
 def test_repeats(spark):
@@ -54,47 +72,48 @@ def test_repeats(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, row string")
     found = substrings.repeated_spans(df).collect()
     assert {r.doc_id for r in found} == holders | {None}
-    assert 0 < sum(r.n_first for r in found) < sum(r.n_chunks for r in found) and all(r.length >= 80 for r in found)
+    assert {r.first for r in found} == {True, False} and all(r.n_bytes >= 80 for r in found)
     assert substrings.repeated_spans(df.limit(0)).collect() == []
+    assert substrings.drop_repeats(df.limit(0)).collect() == []
 
 
-def covered(rows, least=80):
-    """(id, start, length) of the bytes that lie in a window which another row holds too."""
-    bodies = [re.sub(r"[\x09-\x0d\x20]+", " ", t.lower()).encode() for _, t in rows]
-    holders = {}
-    for i, body in enumerate(bodies):
-        for at in range(len(body) - least + 1):
-            holders.setdefault(body[at : at + least], set()).add(i)
-    out = set()
-    for (doc, _), body in zip(rows, bodies):
-        spans = []
-        for at in range(len(body) - least + 1):
-            if len(holders[body[at : at + least]]) > 1:
-                if spans and at <= spans[-1][1]:
-                    spans[-1][1] = at + least
-                else:
-                    spans.append([at, at + least])
-        out |= {(doc, a, b - a) for a, b in spans}
-    return out
-
-
-def test_every_passage_to_its_ends(spark):
-    """Thousands of passages of short words, and many near the least length, against all windows."""
+def test_recall_by_length_and_no_false_byte(spark):
+    """Passages in two rows each, at any place, with accented and wide letters around them: what is
+    found holds nothing else, and ends with whole words."""
     rnd = random.Random(4)
-    short = lambda n: " ".join("".join(rnd.choices("abcdefghijkl", k=rnd.randint(1, 5))) for _ in range(n))
-    rows = []
-    for i in range(1500):
-        passage = short(rnd.choice([50, 50, 24, 20]))
-        rows += [(2 * i + j, f"{short(rnd.randint(0, 9))} {passage} {short(rnd.randint(0, 9))}") for j in (0, 1)]
-    rows += [(5000, "ab" * 400), (5001, "x " + "ab" * 300 + " y"), (5002, short(40)), (5003, "a" * 79), (5004, "a" * 79)]
+    rows, where = [], {}
+    for i in range(3000):
+        words = (20, 30, 50, 80)[i % 4]
+        passage = prose(rnd, words, 2, 5)
+        for j in (0, 1):
+            head, tail = prose(rnd, rnd.randint(0, 30)) + f" é漢😀{i}{'xy'[j]} ", f" {'yx'[j]}{i}漢 " + prose(rnd, rnd.randint(0, 30))
+            rows.append((2 * i + j, head + (passage.replace(" ", "\t ") if j else passage) + tail))
+            where[2 * i + j] = (words, len(head), len(rows[-1][1]) - len(tail), len(passage))
     found = substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {(r.doc_id, r.start, r.length) for r in found} == covered(rows)
-    assert len({r.doc_id for r in found}) > 2000
-
-
-def test_repeated_rows(spark):
+    text, hit, share = dict(rows), {}, []
+    for r in found:
+        words, low, high, size = where[r.doc_id]
+        assert low - 1 <= r.start and r.start + r.length <= high + 1
+        span = text[r.doc_id][r.start : r.start + r.length]
+        assert " ".join(span.split()) in " ".join(text[r.doc_id ^ 1].split())
+        hit.setdefault(words, set()).add(r.doc_id)
+        share.append(r.n_bytes / size)
+    recall = {w: len(hit[w]) / 1500 for w in hit}
+    assert recall[50] > 0.99 and recall[80] > 0.999 and recall[30] > 0.9
+    assert np.mean(share) > 0.97, (recall, np.mean(share))
+
+
+def test_copies_are_cut_and_the_first_stays(spark):
     rnd = random.Random(3)
-    text = prose(rnd, 60)
-    df = spark.createDataFrame([(1, text), (1, text), (2, prose(rnd, 60))], "doc_id long, text string")
-    found = substrings.repeated_spans(df).collect()
-    assert [r.doc_id for r in found] == [1, 1] and sorted(r.n_first for r in found) == [0, found[0].n_chunks]
+    text, other, passage = prose(rnd, 60), prose(rnd, 60), prose(rnd, 70)
+    rows = [(1, text, "a"), (1, text, "a"), (2, other, "b"), (3, f"{prose(rnd, 9)} {passage}", "c")]
+    rows += [(4, f"before {passage} after", "d"), (5, None, "e"), (6, "", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string").coalesce(1)
+    found = [(r.doc_id, r.first) for r in substrings.repeated_spans(df).collect()]
+    assert sorted(found) == [(1, False), (1, True), (3, True), (4, False)]
+    got = substrings.drop_repeats(df).collect()
+    assert sorted((r.doc_id, r.row) for r in got) == sorted((r[0], r[2]) for r in rows)
+    assert sorted(r.text for r in got if r.doc_id == 1) == ["", text]
+    left = {r.doc_id: r.text for r in got if r.doc_id > 1}
+    assert left[2] == other and left[3] == rows[3][1] and left[5] is None and left[6] == ""
+    assert left[4].split()[0] == "before" and left[4].split()[-1] == "after" and len(left[4]) < 30
