@@ -85,7 +85,7 @@ def write_shards(
         for batch in batches:
             _, off = buffers(batch.column(1))
             for low, high in pieces(off):
-                ids, each = words.encode(batch.column(1)[low:high].to_pylist(), end_id)
+                ids, each = words.encode(batch.column(1)[low:high], end_id)
                 keys.append(batch.column(0)[low:high])
                 flats.append(ids)
                 counts.append(each)

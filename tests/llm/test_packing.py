@@ -93,3 +93,16 @@ def test_special_token_strings_follow_the_file():
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert lengths.tolist() == [len(w) for w in want] and flat.tolist() == sum(want, [])
     assert 49407 in want[0]
+
+
+def test_equal_hashes_do_not_pass(monkeypatch):
+    """With a hash of three values nearly all parts clash; their texts go to the library whole."""
+    from assaykit.llm import tokens
+
+    real = tokens.span_hashes
+    monkeypatch.setattr(tokens, "span_hashes", lambda *a: real(*a) % np.uint64(3))
+    library, own = Tokenizer.from_file(word_bpe()), Encoder(word_bpe())
+    texts = ["one two three", "four, five", "x" * 100 + " " + "x" * 99 + "y", "x" * 99 + "z", "", "one"]
+    flat, lengths = own.encode(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(w) for w in want] and flat.tolist() == sum(want, [])
