@@ -43,15 +43,15 @@ FROM counted
 
 EXACT_TOP_K = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({vectors.SCALE} * x::DOUBLE)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor({vectors.SCALE} * x::DOUBLE)) AS e, row_number() OVER () AS r
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0
 )
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank,
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INT AS rank,
   vec_id, score
 FROM scored QUALIFY rank <= 5
 """

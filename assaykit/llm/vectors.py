@@ -18,7 +18,7 @@ SHARE = 32
 STEP = 256
 HEAD_DIMS = 16
 SLACK = 1e-9
-BLOCK_SCHEMA = "top double, ids binary, rows binary, dims int"
+BLOCK_SCHEMA = "top double, ids binary, rows binary, dims int, keys binary"
 
 
 def usable(vector: Column) -> Column:
@@ -41,31 +41,33 @@ def _matrix(column: pa.Array, dims: int, scale: int) -> np.ndarray:
 
 
 def _blocks(df: DataFrame, dims: int, scale: int, size: int) -> DataFrame:
-    """Rows (id, vector) in descending norm as blocks of `size`, each with its largest norm."""
+    """Rows (id, vector, key) in descending norm as blocks of `size`, each with its largest norm."""
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids = [], []
+        held, ids, keys = [], [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows, keys = np.concatenate(held), np.concatenate(ids)
+            rows, names, numbers = np.concatenate(held), np.concatenate(ids), np.concatenate(keys)
             for low in range(0, len(rows), size):
                 part = np.ascontiguousarray(rows[low : low + size])
                 top = float(np.sqrt((part * part).sum(1).max()))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "top": [top],
-                        "ids": pa.array([keys[low : low + size].tobytes()], pa.binary()),
+                        "ids": pa.array([names[low : low + size].tobytes()], pa.binary()),
                         "rows": pa.array([part.tobytes()], pa.binary()),
                         "dims": pa.array([dims], pa.int32()),
+                        "keys": pa.array([numbers[low : low + size].tobytes()], pa.binary()),
                     }
                 )
 
         for batch in batches:
             held.append(_matrix(batch.column(1), dims, scale))
             ids.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            keys.append(batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64))
             if sum(map(len, held)) >= size:
                 yield from flush()
-                held, ids = [], []
+                held, ids, keys = [], [], []
         if held:
             yield from flush()
 
@@ -73,10 +75,10 @@ def _blocks(df: DataFrame, dims: int, scale: int, size: int) -> DataFrame:
         "vector", F.lit(0.0), lambda a, x: a + F.floor(x.cast("double") * scale) * F.floor(x.cast("double") * scale)
     )
     ordered = df.withColumn("norm", norm)
-    ordered = ordered.repartitionByRange(F.desc("norm"), F.asc("id")).sortWithinPartitions(
-        F.desc("norm"), F.asc("id")
+    ordered = ordered.repartitionByRange(F.desc("norm"), F.asc("id"), F.asc("key")).sortWithinPartitions(
+        F.desc("norm"), F.asc("id"), F.asc("key")
     )
-    return ordered.select("id", "vector").mapInArrow(block, BLOCK_SCHEMA)
+    return ordered.select("id", "vector", "key").mapInArrow(block, BLOCK_SCHEMA)
 
 
 def rotation(df: DataFrame, dims: int, scale: int) -> np.ndarray:
@@ -103,8 +105,8 @@ def rotation(df: DataFrame, dims: int, scale: int) -> np.ndarray:
     return np.ascontiguousarray(vectors[:, np.argsort(-values)])
 
 
-def _load(ids: bytes, rows: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(rows, np.float64).reshape(-1, dims)
+def _load(ids: bytes, rows: bytes, keys: bytes, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(ids, np.int64), np.frombuffer(rows, np.float64).reshape(-1, dims), np.frombuffer(keys, np.int64)
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +118,7 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def search_tile(
-    q_ids: np.ndarray,
+    q_keys: np.ndarray,
     q: np.ndarray,
     floor: np.ndarray,
     c_ids: np.ndarray,
@@ -125,14 +127,17 @@ def search_tile(
     k: int,
     head: int = HEAD_DIMS,
     step: int = STEP,
+    c_keys: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """The best k candidates of each query in one block sorted by descending norm, and the number of
     products computed in full. `floor` is a score that k candidates of the query are known to reach.
+    Keys name rows, so that a query's own row is left out; without `c_keys` they are the ids.
 
     A query leaves once its norm times the next candidate's norm stays below its k-th score; of the
     rest, the first `head` rotated components plus the product of the residual norms bound each
     score from above, and only what the bound leaves is multiplied in full.
     """
+    c_keys = c_ids if c_keys is None else c_keys
     qn, cn = np.sqrt((q * q).sum(1)), np.sqrt((c * c).sum(1))
     qr, cr = q @ basis, c @ basis
     q_rest, c_rest = np.sqrt((qr[:, head:] ** 2).sum(1)), np.sqrt((cr[:, head:] ** 2).sum(1))
@@ -148,7 +153,7 @@ def search_tile(
             break
         bound = qr[alive, :head] @ cr[part, :head].T + np.outer(q_rest[alive], c_rest[part])
         hit = bound >= (bar - slack)[alive, None]
-        hit &= c_ids[None, part] != q_ids[alive, None]
+        hit &= c_keys[None, part] != q_keys[alive, None]
         rows, cols = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
         if not len(rows):
             continue
@@ -179,15 +184,14 @@ def top_inner_products(
     no task holds more than that. Each share returns at most k rows a query.
 
     Null ids and vectors that are null or hold null or non-finite components take no part; shorter
-    vectors count as padded with zeros. Of rows with one id, the one with the smallest vector counts.
-    Other columns are not read.
+    vectors count as padded with zeros. Rows with one id are rows of their own, as queries and as
+    candidates: a query leaves out its own row alone. Other columns are not read.
     """
     spark = df.sparkSession
     rows = cut(
         df.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
         .select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), is_query.alias("q"))
-        .groupBy("id")
-        .agg(F.min("vector").alias("vector"), F.max("q").alias("q"))
+        .withColumn("key", F.monotonically_increasing_id())
     )
     dims = rows.agg(F.max(F.size("vector"))).first()[0] or 1
     basis = rotation(rows, dims, scale)
@@ -197,15 +201,15 @@ def top_inner_products(
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not first:
         return empty
-    seed_ids, seed = _load(first[0]["ids"], first[0]["rows"], dims)
+    seed_ids, seed, seed_keys = _load(first[0]["ids"], first[0]["rows"], first[0]["keys"], dims)
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bars, needs = [], []
-            for ids, vectors in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                q_ids, q = _load(ids, vectors, dims)
+            for ids, vectors, keys in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4))):
+                _, q, q_keys = _load(ids, vectors, keys, dims)
                 none = np.full(len(q), -np.inf)
-                bar = search_tile(q_ids, q, none, seed_ids, seed, basis, k)[1][:, -1].copy()
+                bar = search_tile(q_keys, q, none, seed_ids, seed, basis, k, c_keys=seed_keys)[1][:, -1].copy()
                 norm = np.sqrt((q * q).sum(1))
                 bars.append(bar.tobytes())
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -230,22 +234,23 @@ def top_inner_products(
     right = queries.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
 
     def tile(blocks: pa.Table, asked: pa.Table) -> pa.Table:
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"key": [], "query_id": [], "vec_id": [], "score": []}
         for query in asked.to_pylist():
-            q_ids, q = _load(query["ids"], query["rows"], dims)
+            q_ids, q, q_keys = _load(query["ids"], query["rows"], query["keys"], dims)
             bar = np.frombuffer(query["bars"], np.float64)
             ids = np.full((len(q), k), np.iinfo(np.int64).max)
             best = np.full((len(q), k), -np.inf)
             order = np.argsort(-blocks.column("top").to_numpy(), kind="stable")
             for i in order.tolist():
-                row = {n: blocks.column(n)[i].as_py() for n in ("ids", "rows")}
-                c_ids, c = _load(row["ids"], row["rows"], dims)
+                row = {n: blocks.column(n)[i].as_py() for n in ("ids", "rows", "keys")}
+                c_ids, c, c_keys = _load(row["ids"], row["rows"], row["keys"], dims)
                 bar = np.maximum(bar, best[:, -1])
-                more = search_tile(q_ids, q, bar, c_ids, c, basis, k)
+                more = search_tile(q_keys, q, bar, c_ids, c, basis, k, c_keys=c_keys)
                 ids, best = _best(
                     np.concatenate([ids, more[0]], 1), np.concatenate([best, more[1]], 1), k
                 )
             some = np.isfinite(best)
+            found["key"].append(np.repeat(q_keys, some.sum(1)))
             found["query_id"].append(np.repeat(q_ids, some.sum(1)))
             found["vec_id"].append(ids[some])
             found["score"].append(best[some].astype(np.int64))
@@ -253,9 +258,9 @@ def top_inner_products(
         return pa.table({n: np.concatenate(v or none) for n, v in found.items()})
 
     found = left.groupBy("g", "s").cogroup(right.groupBy("g", "s")).applyInArrow(
-        tile, "query_id long, vec_id long, score long"
+        tile, "key long, query_id long, vec_id long, score long"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    order = Window.partitionBy("key").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -10,15 +10,12 @@ from assaykit.llm import vectors
 
 
 def brute(rows, k=5):
-    usable = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            usable[i] = min(usable.get(i, v), v)
-    whole = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in usable.items()}
+    usable = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in usable]
     out = []
-    for q, v in whole.items():
+    for at, (q, v) in enumerate(whole):
         if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in whole.items() if c != q)
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), c) for j, (c, w) in enumerate(whole) if j != at)
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -48,6 +45,12 @@ def test_edge_rows(spark):
     assert run(spark, []) == []
 
 
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(50, [1.0, 2.0]), (50, [1.0, 3.0]), (51, [2.0, 2.0]), (52, [0.5, 1.0]), (52, [4.0, 1.0]), (50, [1.0, 2.0])]
+    got = run(spark, rows)
+    assert got == brute(rows) and len(got) == 15 and (50, 1, 50, 7 * 256 * 256) in got
+
+
 def test_bounds_spare_products():
     rng = np.random.default_rng(4)
     c = np.floor(rng.normal(size=(4000, 32)) * np.linspace(40, 1, 32) * rng.uniform(0.1, 3, (4000, 1)))
