@@ -25,21 +25,32 @@ _ACCESS = re.compile(rf"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}")
 _HEX = re.compile(rf"[0-9a-f]{{{LEAST['hex']},}}")
 _RUN = re.compile(rf"[A-Za-z0-9+/_=.-]{{{RANDOM_CHARS},}}")
 _EDGE = "+/_=.-"
-_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_PART = re.compile(r"[A-Za-z0-9]+")
+_UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+_PART = re.compile(rf"(?<![A-Za-z0-9])(?:{_UUID})(?![A-Za-z0-9])|[A-Za-z0-9]+")
+_DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_PLAIN = re.compile(r"[a-z]+[0-9]{0,4}|[0-9]+")
 # Words in one case or capitalised ones, with a short number: parts of identifiers, paths and hosts.
 _NAME = re.compile(r"[A-Za-z]*[0-9]{0,4}|[0-9]+")
 
 Span = tuple[str, int, int]
 
 
-def _known(run: str) -> bool:
-    """Digests of the usual lengths, UUIDs, and identifiers whose parts are all words or numbers."""
-    if len(run) in DIGEST_CHARS and not run.strip("0123456789abcdef"):
-        return True
-    if _UUID.fullmatch(run):
-        return True
-    return all(_NAME.fullmatch(part) and _wordlike(part) for part in _PART.findall(run))
+def _is_digest(part: str) -> bool:
+    """A UUID, or a digest of a usual length in one case."""
+    return "-" in part or (len(part) in DIGEST_CHARS and _DIGEST.fullmatch(part) is not None)
+
+
+def _unknown(run: str) -> tuple[int, int] | None:
+    """The stretch of a run that is not accounted for: nothing where every part is a digest, a UUID, a
+    word or a number, else the run without digests, lower-case words and numbers at its ends; all of it where
+    that leaves too little to judge."""
+    parts = [(m.start(), m.end(), m.group()) for m in _PART.finditer(run)]
+    if all(_is_digest(p) or (_NAME.fullmatch(p) and _wordlike(p)) for _, _, p in parts):
+        return None
+    odd = [(start, end) for start, end, p in parts if not (_is_digest(p) or _PLAIN.fullmatch(p))]
+    if odd and odd[-1][1] - odd[0][0] >= RANDOM_CHARS:
+        return odd[0][0], odd[-1][1]
+    return 0, len(run)
 
 
 def _wordlike(part: str) -> bool:
@@ -95,8 +106,12 @@ class Scanner:
             run = run.strip(_EDGE)
             if len(run) < RANDOM_CHARS or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
                 continue
-            if not _known(run) and len(run) < self.ratio * len(self.encode(run)):
-                found.append(("random", start, start + len(run)))
+            stretch = _unknown(run)
+            if stretch is None:
+                continue
+            low, high = stretch
+            if high - low < self.ratio * len(self.encode(run[low:high])):
+                found.append(("random", start + low, start + high))
         return found
 
     def scan(self, text: str | None) -> list[Span]:

@@ -59,6 +59,20 @@ def test_random_beyond_a_base_span():
     assert [k for k, _, _ in scanner.scan(inside)] == ["assign"]
 
 
+def test_digests_inside_runs():
+    scanner = secrets._scanner(*secrets._vocabulary(), secrets.CHARS_PER_TOKEN)
+    md5, sha1 = "d41d8cd98f00b204e9800998ecf8427e", "da39a3ee5e6b4b0d3255bfef95601890afd80709"
+    uuid, key = "1b4e28ba-2fa1-11d2-883f-0016d3cca427", "9fQ2xT7bVc3LmZ81KpRwYs6HnJd04uEaGi5o"
+    clean = [md5.upper(), f"x.org/a/commit/{sha1}/file.py", f"img/{md5}.png", f"node-{uuid.upper()}-v2", f"{uuid}/{md5}"]
+    for text in clean:
+        assert "random" not in [k for k, _, _ in scanner.scan(text)], text
+    for text in (f"x.org/v2/{key}", f"img/{md5}/{key}.png", f"{key}/{sha1}"):
+        spans = [(s, e) for k, s, e in scanner.scan(text) if k == "random"]
+        assert [text[s:e] for s, e in spans] == [key], text
+    mixed = "D41d8cD98f00b204E9800998ecF8427e"
+    assert [k for k, _, _ in scanner.scan(mixed)].count("random") == 1
+
+
 def test_long_letter_runs_take_linear_time():
     scanner = secrets._scanner(*secrets._vocabulary(), secrets.CHARS_PER_TOKEN)
     for run in ("a" * 5_000, "abcDefGhi" * 600, "Q" * 5_000):
