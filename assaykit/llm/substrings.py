@@ -16,11 +16,10 @@ from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, ragged, span_has
 from assaykit.operators.skew import attach
 from assaykit.session import cut
 
-CUT_BITS = 4
-LEAST_CHUNK, MOST_CHUNK = 8, 64
+LEAST_CHUNK, MOST_CHUNK = 16, 64
 LEAST_BYTES = 80
 # How far before its first whole chunk a stretch is followed back; cuts there may be out of step.
-BACK = 112
+BACK = 80
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
@@ -51,22 +50,28 @@ def _gear_hashes(part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return gear
 
 
-def chunk_ends(part: np.ndarray, sizes: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
-    """Where chunks end: at a row's end, and after a byte whose gear hash has `bits` leading zeros,
-    unless another such byte or the row's start is less than LEAST_CHUNK bytes back; longer stretches are
-    cut every MOST_CHUNK bytes from the cut before them. No character is cut. All but the last rule
-    look at the latest 24 bytes only, so the ends fall into step again after an insertion."""
-    n = len(part)
+def chunk_ends(part: np.ndarray, sizes: np.ndarray, least: int = LEAST_CHUNK) -> np.ndarray:
+    """Where chunks end: at a row's end, and after a byte whose gear hash is the least among those up to
+    `least` bytes before and after it, the first of equal ones, so that chunks between are longer than
+    `least` bytes and twice that on average; longer stretches are cut every MOST_CHUNK bytes from the
+    cut before them. No character is cut. All but the last rule look at some bytes around the place only, so
+    the ends fall into step again after an insertion."""
+    n, wide, none = len(part), 2 * least + 1, np.iinfo(np.int64).max
     inside = np.append(part & 0xC0 == 0x80, False)
-    natural = np.flatnonzero(_gear_hashes(part, sizes) >> np.uint16(16 - bits) == 0) + 1
-    bound, mark = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
-    bound[np.cumsum(sizes)] = True
-    bound[0] = True
-    mark[natural[~inside[natural]]] = True
-    ends = np.flatnonzero(mark | bound)
-    keep = bound[ends]
-    keep[1:] |= np.diff(ends) >= LEAST_CHUNK
-    ends = ends[keep]
+    at = np.arange(n) + least * (np.repeat(np.arange(len(sizes)), sizes) + 1)
+    key = np.full(n + least * (len(sizes) + 1), none)
+    key[at] = np.where(inside[1:], none, _gear_hashes(part, sizes).astype(np.int64) << 40 | at)
+    best, span = key.copy(), 1
+    while 2 * span <= wide:
+        best[:-span] = np.minimum(best[:-span], best[span:])
+        span *= 2
+    least_here = np.minimum(best[at - least], best[at + least + 1 - span])
+    natural = np.flatnonzero((least_here == key[at]) & (least_here < none) & (ragged(sizes) + 1 >= least)) + 1
+    mark = np.zeros(n + 1, bool)
+    mark[natural] = True
+    mark[np.cumsum(sizes)] = True
+    mark[0] = True
+    ends = np.flatnonzero(mark)
     extra = (np.diff(ends) - 1) // MOST_CHUNK
     forced = np.repeat(ends[:-1], extra) + MOST_CHUNK * (ragged(extra) + 1)
     for _ in range(3):

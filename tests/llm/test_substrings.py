@@ -17,16 +17,17 @@ def chunks(text):
     return [part[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-def slow(text, bits=substrings.CUT_BITS):
+def slow(text, least=substrings.LEAST_CHUNK):
     body = re.sub(r"[\x09-\x0d\x20]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).encode()
     is_end = lambda p: p == len(body) or body[p] & 0xC0 != 0x80
-    h, fired, ends = 0, 0, []
+    h, keys, ends = 0, {}, []
     for i, b in enumerate(body):
         h = (h * 2 + int(substrings._GEAR[b])) & 0xFFFF
-        if h >> (16 - bits) == 0 and is_end(i + 1):
-            if i + 1 - fired >= substrings.LEAST_CHUNK:
-                ends.append(i + 1)
-            fired = i + 1
+        if is_end(i + 1):
+            keys[i] = (h, i)
+    for i in keys:
+        if i + 1 >= least and keys[i] == min(keys[j] for j in range(i - least, i + least + 1) if j in keys):
+            ends.append(i + 1)
     out, at = [], 0
     for end in [e for e in ends if e < len(body)] + [len(body)]:
         base, step = at, 1
