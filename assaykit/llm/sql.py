@@ -71,27 +71,40 @@ WITH RECURSIVE probe AS (
   FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM probe)
   WINDOW w AS (PARTITION BY conv_id
     ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
-), t AS (
+), summed AS (
   SELECT *, sum(tokens) OVER c AS upto, sum(chars) OVER c AS chars_upto,
     sum(CASE WHEN pos = 0 AND role = '{chat.SYSTEM}' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS system_tokens,
     sum(CASE WHEN pos = 0 AND role = '{chat.SYSTEM}' THEN chars ELSE 0 END) OVER (PARTITION BY conv_id) AS system_chars
   FROM turns
   WINDOW c AS (PARTITION BY conv_id ORDER BY pos)
+), t AS (
+  SELECT *, greatest({chat.BUDGET} - system_tokens, 0) AS free,
+    least({chat.HISTORY}, greatest({chat.BUDGET} - system_tokens, 0) // 2) AS reach
+  FROM summed
 ), cuts AS (
   SELECT conv_id, 0 AS start, {chat.BUDGET}::BIGINT AS room FROM t WHERE pos = 0
   UNION ALL
   SELECT conv_id, start, room FROM (
-    SELECT c.conv_id, min(n.pos) AS start, any_value({chat.BUDGET - chat.HISTORY} - n.system_tokens) AS room
+    SELECT c.conv_id, min(n.pos) AS start, any_value(n.free - n.reach)::BIGINT AS room
     FROM cuts c JOIN t s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.pos = c.start
       JOIN t n ON n.conv_id IS NOT DISTINCT FROM c.conv_id AND n.pos > c.start
-        AND n.upto - (s.upto - s.tokens) > c.room
+        AND (n.upto - (s.upto - s.tokens) > c.room
+          OR (n.upto - n.tokens) // {chat.BLOCK} > (s.upto - s.tokens) // {chat.BLOCK})
     GROUP BY c.conv_id
   )
+), spans AS (
+  SELECT *, lead(start) OVER (PARTITION BY conv_id ORDER BY start) AS stop FROM cuts
+), owned AS (
+  SELECT c.conv_id, c.start, sum(t.tokens) AS own
+  FROM spans c JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id AND t.pos >= c.start
+    AND (c.stop IS NULL OR t.pos < c.stop)
+  GROUP BY c.conv_id, c.start
 ), repeated AS (
   SELECT c.conv_id, c.start, any_value(s.system_chars) AS system_chars,
-    coalesce(sum(h.chars) FILTER ((s.upto - s.tokens) - (h.upto - h.tokens) <= {chat.HISTORY}
+    coalesce(sum(h.chars) FILTER ((s.upto - s.tokens) - (h.upto - h.tokens)
+        <= least(s.reach, greatest(s.free - c.own, 0))
       AND NOT (h.pos = 0 AND h.role = '{chat.SYSTEM}')), 0) AS past
-  FROM cuts c JOIN t s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.pos = c.start
+  FROM owned c JOIN t s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.pos = c.start
     LEFT JOIN t h ON h.conv_id IS NOT DISTINCT FROM c.conv_id AND h.pos < c.start
   WHERE c.start > 0 GROUP BY c.conv_id, c.start
 ), past AS (SELECT conv_id, sum(system_chars + past) AS chars FROM repeated GROUP BY conv_id)

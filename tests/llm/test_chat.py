@@ -74,3 +74,79 @@ def test_probe_and_empty(spark):
     assert (got.n_turns, got.loss_text) == (2, PROBE)
     assert hashlib.sha256(got.turns.encode()).hexdigest() == hashlib.sha256(f"user\n{PROBE}\nassistant\n{PROBE}\n".encode()).hexdigest()
     assert chat.format_conversations(frame(spark, rows).limit(0)).collect() == []
+
+
+def plain_windows(rows, budget, history, block):
+    """The windows of each conversation by a plain loop: (past, own) lists of (role, text)."""
+    out = {}
+    groups = {}
+    for conv, turn, role, text in rows:
+        groups.setdefault(conv, []).append((turn, role, text))
+    for conv, turns in groups.items():
+        turns = sorted(turns)
+        cost = [-(-len(t[2]) // chat.CHARS_PER_TOKEN) + chat.MARKS_PER_TURN for t in turns]
+        before = [sum(cost[:i]) for i in range(len(turns))]
+        system = turns[0][1] == "system"
+        free = max(budget - (cost[0] if system else 0), 0)
+        reach = min(history, free // 2)
+        cuts, room = [0], budget
+        for i in range(1, len(turns)):
+            full = before[i] + cost[i] - before[cuts[-1]] > room
+            if full or before[i] // block > before[cuts[-1]] // block:
+                cuts.append(i)
+                room = free - reach
+        done = []
+        for start, stop in zip(cuts, cuts[1:] + [len(turns)]):
+            allowed = min(reach, max(free - sum(cost[start:stop]), 0))
+            past = [i for i in range(int(system), start) if before[start] - before[i] <= allowed]
+            past = ([0] if system and start else []) + past
+            done.append(([turns[i][1:] for i in past], [t[1:] for t in turns[start:stop]]))
+            if start and sum(cost[i] for i in past) + sum(cost[start:stop]) > budget:
+                assert stop - start == 1 and len(past) <= int(system)
+        out[conv] = done
+    return out
+
+
+def parsed(windows):
+    out = {}
+    for w in windows.orderBy("conv_id", "window").collect():
+        sides = ([], [])
+        for part in w.formatted.split("</turn>")[:-1]:
+            mark, _, rest = part.partition("<role>")
+            role, _, text = rest.partition("</role>")
+            sides[mark == "<turn>"].append((role, text))
+        assert [w.formatted[s.start : s.start + s.length] for s in w.loss] == [t for r, t in sides[1] if r == "assistant"]
+        out.setdefault(w.conv_id, []).append(sides)
+    return out
+
+
+def test_windows_equal_a_plain_loop_in_blocks(spark):
+    """Long conversations are split over blocks; system turns of every size up to beyond the budget."""
+    rnd = random.Random(5)
+    rows = []
+    for conv in range(12):
+        if conv % 3:
+            rows.append((conv, 0, "system", "s" * rnd.choice([0, 40, 150, 190, 240, 400])))
+        n = 300 if conv == 7 else rnd.randint(1, 60)
+        rows += [(conv, i, ("user", "assistant")[i % 2], f"{i}." + "x" * rnd.choice([0, 8, 60, 250, 900])) for i in range(1, n)]
+    for budget, history, block in ((64, 16, 128), (64, 40, 1 << 18), (64, 0, 300)):
+        got = parsed(chat.format_conversations(frame(spark, rows), budget=budget, history=history, block=block))
+        assert got == plain_windows(rows, budget, history, block)
+
+
+def test_system_turn_near_the_budget(spark):
+    rows = [(1, 0, "system", "s" * 4000)] + [(1, i, "assistant", "a" * 40) for i in range(1, 9)]
+    for w in chat.format_conversations(frame(spark, rows)).collect():
+        tokens = sum(-(-len(p.split("</role>")[1]) // 4) + 4 for p in w.formatted.split("</turn>")[:-1])
+        assert tokens <= chat.BUDGET
+
+
+def test_hot_and_null_conversation_in_many_blocks(spark):
+    rows = [(None, i, ("user", "assistant")[i % 2], f"turn {i} " * 6) for i in range(400)]
+    rows += [(3, i, "assistant", "same") for i in (0, 0, 0, 1)] + [(None, 399, "assistant", "turn 399 " * 6)] * 30
+    windows = chat.format_conversations(frame(spark, rows), budget=64, history=16, block=256).cache()
+    got = {r.conv_id: (r.n_turns, r.turns, r.loss_text) for r in chat.read_back(windows).collect()}
+    assert got == wanted(rows)
+    assert windows.filter("conv_id is null").agg(F.max("window")).first()[0] >= 256 * 10
+    assert windows.agg(F.max(F.length("formatted"))).first()[0] < 2_000
+    windows.unpersist()
