@@ -155,7 +155,7 @@ def _hot_buckets(facts: DataFrame, n_sets: int) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, hot: np.ndarray, num: int, den: int, salts: int) -> DataFrame:
-    """(key, a, size): the first tokens of each set in one order for all sets, frequent buckets last,
+    """(key, a): the first tokens of each set in one order for all sets, frequent buckets last,
     enough of them that similar sets share one. The low bits of a key are 0 for a rare token and hold
     a salt for a frequent one."""
     packed = docs.sparkSession.sparkContext.broadcast(hot)
@@ -185,14 +185,13 @@ def _postings(docs: DataFrame, hot: np.ndarray, num: int, den: int, salts: int)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(a.view(np.int64)),
-                    pa.array(sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(key.view(np.int64))),
                 ],
-                names=["a", "size", "keys"],
+                names=["a", "keys"],
             )
 
-    found = docs.select("text").mapInArrow(scan, "a long, size int, keys array<long>")
-    return found.select(F.explode("keys").alias("key"), "a", "size")
+    found = docs.select("text").mapInArrow(scan, "a long, keys array<long>")
+    return found.select(F.explode("keys").alias("key"), "a")
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -204,9 +203,9 @@ def signature(tokens: np.ndarray) -> bytes:
 
 
 def _token_sets(docs: DataFrame, nodes: DataFrame, per_set: DataFrame) -> DataFrame:
-    """(a, tokens) of the given sets. The scan passes over rows whose text hash is not in a bitmap of
-    the wanted ones, so only few texts are cut into shingles again and none is shuffled."""
-    wanted = nodes.join(per_set, "a").select(F.col("one.text_hash").alias("h"))
+    """(a, tokens) of the given sets; repeated rows may repeat one. The scan passes over rows whose hash
+    of id and text is not in a bitmap of one row a set, so only few texts are cut into shingles again and none is shuffled."""
+    wanted = nodes.join(per_set, "a").select(F.xxhash64("one.id", "one.text_hash").alias("h"))
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmaps.build(wanted, "h"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +224,20 @@ def _token_sets(docs: DataFrame, nodes: DataFrame, per_set: DataFrame) -> DataFr
                 [pa.array(a[at].view(np.int64)), pa.array(data, pa.binary())], names=["a", "tokens"]
             )
 
-    found = docs.select("text_hash", "text").mapInArrow(scan, "a long, tokens binary")
-    return found.join(nodes, "a", "left_semi").dropDuplicates(["a"])
+    found = docs.select(F.xxhash64("id", "text_hash").alias("h"), "text").mapInArrow(scan, "a long, tokens binary")
+    return found.join(nodes, "a", "left_semi")
+
+
+def _passing(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows whose first column, a hash, passes a bitmap of fixed size over those in `column` of
+    `wanted`, so that few others take part in the joins that follow."""
+    bitmap = rows.sparkSession.sparkContext.broadcast(bitmaps.build(wanted, column))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bitmaps.passes(bitmap.value, batch.column(0).to_numpy())))
+
+    return rows.mapInArrow(scan, rows.schema)
 
 
 def _folded(sigs: list[bytes], bits: int) -> np.ndarray:
@@ -282,13 +293,15 @@ def _verify(
         order = [f"{c}_{side}" for c in columns for side in ("a", "b")]
         return frame.select("a", "b", *order)
 
-    near = cut(ends(pairs, sets, "size", "sig").mapInArrow(bound, "a long, b long"))
+    pairs = cut(pairs)
+    known = cut(_passing(sets, pairs.select("a").union(pairs.select("b")), "a"))
+    near = cut(ends(pairs, known, "size", "sig").mapInArrow(bound, "a long, b long"))
     nodes = cut(near.select("a").union(near.select("b")).distinct())
-    tokens = cut(_token_sets(docs, nodes, per_set))
+    tokens = cut(_token_sets(docs, nodes, per_set)).dropDuplicates(["a"])
     return cut(ends(near, tokens, "tokens").mapInArrow(exact, "a long, b long").distinct())
 
 
-def _live(postings: DataFrame, num: int, den: int) -> DataFrame:
+def _live(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
     """(bucket, a, size, reach, pivot) of the buckets that can hold a similar pair.
 
     A posted token that no other set posted counts against its set, which bounds the size of a partner
@@ -304,7 +317,7 @@ def _live(postings: DataFrame, num: int, den: int) -> DataFrame:
         postings.withColumn("first", F.min("a").over(same_key))
         .withColumn("last", F.max("a").over(same_key))
         .filter((F.col("first") != F.col("last")) | (F.col("key") % 2 != 0))
-        .select("key", "a", "size")
+        .select("key", "a")
         .distinct()
     )
     size, shares = F.col("size").cast("long"), F.col("shares")
@@ -312,11 +325,13 @@ def _live(postings: DataFrame, num: int, den: int) -> DataFrame:
     most = size - (size - needed + 1 - shares)
     reach = F.expr(f"(most * {num + den}) div {num}") - size
     each = (
-        shared.groupBy("a", "size")
+        shared.groupBy("a")
         .agg(F.count("*").alias("shares"))
+        .join(sizes, "a")
         .withColumn("most", most)
-        .select("a", reach.alias("reach"))
+        .select("a", "size", reach.alias("reach"))
     )
+    each = cut(each)
     rows = shared.join(each, "a").select(
         F.shiftright("key", SALT_BITS).alias("bucket"), "a", "size", "reach"
     )
@@ -384,29 +399,36 @@ def _tile_pairs(
         .join(_listed(labels.select(F.col("node").alias("a"), "component")), "a", "left")
         .withColumn("component", F.coalesce("component", "a"))
     )
-    open_buckets = (
-        named.groupBy("bucket", "component")
-        .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("h"))
-        .groupBy("bucket")
+    # one narrow exchange finds the buckets to compare; components are counted in those alone
+    chosen = (
+        named.groupBy("bucket")
         .agg(
-            F.sum("n").alias("n"),
-            F.bit_xor("h").alias("h"),
-            F.max(F.struct("n", "component")).alias("most"),
-            F.count("*").alias("parts"),
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("a")).alias("h"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
         )
-        .filter("parts > 1")
+        .filter("low < high")
         .groupBy("n", "h")
-        .agg(F.min(F.struct("bucket", "most")).alias("b"))
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket", "n")
+    )
+    compared = cut(named.join(_listed(chosen), "bucket"))
+    mains = (
+        compared.groupBy("bucket", "n", "component")
+        .agg(F.count("*").alias("m"))
+        .groupBy("bucket", "n")
+        .agg(F.max(F.struct("m", "component")).alias("most"))
         .select(
-            "b.bucket",
+            "bucket",
             (F.col("n") > SLICE).alias("large"),
             (F.col("n") > SIGNED).alias("signed"),
-            F.col("b.most.component").alias("main"),
-            F.ceil(F.col("b.most.n") / SLICE).cast("int").alias("main_slices"),
-            F.ceil((F.col("n") - F.col("b.most.n")) / SLICE).cast("int").alias("rest_slices"),
+            F.col("most.component").alias("main"),
+            F.ceil(F.col("most.m") / SLICE).cast("int").alias("main_slices"),
+            F.ceil((F.col("n") - F.col("most.m")) / SLICE).cast("int").alias("rest_slices"),
         )
     )
-    members = cut(named.join(_listed(open_buckets), "bucket"))
+    members = cut(compared.drop("n").join(_listed(mains), "bucket"))
     early = members.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("bucket")), 1, EARLY).alias("early"))
     is_main = F.col("component") == F.col("main")
     own = F.pmod(F.xxhash64("a"), F.when(is_main, F.col("main_slices")).otherwise(F.col("rest_slices"))).cast("int")
@@ -424,7 +446,8 @@ def _tile_pairs(
     band = F.when(F.col("large"), F.size(F.filter(ends, lambda e: e <= F.col("size").cast("long")))).otherwise(0)
     bases = F.when(F.col("large"), F.array(F.col("band"), F.col("band") - 1)).otherwise(F.array(F.lit(0)))
     marks = [f"e{i}" for i in range(EARLY)]
-    known = sets.join(early, "a").select(
+    early = cut(early)
+    known = _passing(sets, early, "a").join(early, "a").select(
         "a", "sig", *[F.get("early", F.lit(i)).alias(m) for i, m in enumerate(marks)]
     )
     keys = ["bucket", "base", "kind", "i", "j"]
@@ -435,7 +458,7 @@ def _tile_pairs(
         .select("*", "p.*", F.explode(bases).alias("base"))
         .select(*keys, "band", "own", F.col("component").alias("c"), is_main.alias("main"), "a", "size", "reach", "signed")
         .join(known, "a")
-        .withColumns({m: F.coalesce(m, "bucket") for m in marks})
+        .withColumns({m: F.least(m, "bucket") for m in marks})
         .withColumn("sig", F.when(F.col("signed"), F.col("sig")))
         .select(*keys, "band", "own", "c", "main", "a", "size", "reach", *marks, "sig")
     )
@@ -551,11 +574,16 @@ def jaccard_components(
     rows = facts.filter("size IS NOT NULL").select("id", "text_hash", "size", "a")
     full = rows.filter("size > 0")
     per_set = cut(
-        full.groupBy("a").agg(F.min("id").alias("least"), F.min(F.struct("id", "text_hash")).alias("one"))
+        full.groupBy("a").agg(
+            F.min("id").alias("least"),
+            F.min(F.struct("id", "text_hash")).alias("one"),
+            F.min("size").cast("int").alias("size"),
+        )
     )
     n_sets = per_set.count()
     salts = min((1 << SALT_BITS - 1) - 1, max(SALTS, n_sets // ROWS_PER_SALT))
-    live = _live(_postings(own, _hot_buckets(facts, n_sets), num, den, salts), num, den)
+    postings = _postings(own, _hot_buckets(facts, n_sets), num, den, salts)
+    live = _live(postings, per_set.select("a", "size"), num, den)
     sets = cut(
         facts.filter("sig IS NOT NULL")
         .select("a", F.col("size").cast("int").alias("size"), "sig")
