@@ -63,3 +63,21 @@ def test_bounds_spare_products():
     scores[np.arange(20), ids[::200]] = -np.inf
     assert np.array_equal(best, -np.sort(-scores, axis=1)[:, :5])
     assert full < 0.3 * scores.size
+
+
+def test_large_components_are_exact(spark):
+    rnd = random.Random(5)
+    rows = [(i, [float(np.float32(rnd.choice([1e4, 1e6, 2e6, 1.0]) * rnd.gauss(0, 1))) for _ in range(6)]) for i in range(300)]
+    base = [float(np.float32(2.0**22 + i)) for i in range(6)]
+    # scores of some 2^62 that differ by less than a double tells apart
+    rows += [(300 + i, [*base[:5], i / 256]) for i in range(60)]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows, block=64) == brute(rows)
+
+
+def test_products_beyond_doubles():
+    q = np.array([[2.0**40, 1.0, 3.0], [2.0**31, -(2.0**31), 1.0]])
+    c = np.array([[1.0, 2.0**40, 5.0], [2.0**31, 2.0**30, 7.0], [-(2.0**60), 0.0, 0.0], [2.0**60, 1.0, 1.0]])
+    exact = [[sum(int(x) * int(y) for x, y in zip(a, b)) for b in c] for a in q]
+    ends = np.iinfo(np.int64).max
+    assert vectors.products(q, c).tolist() == [[max(-ends, min(ends, v)) for v in row] for row in exact]
