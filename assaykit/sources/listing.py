@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import fnmatch
 import hashlib
+import itertools
+import os
 import posixpath
 from collections.abc import Callable, Iterator
 
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from assaykit.session import cut
 
 CHUNK = 8 << 20
+PIECE = 10_000
 MAX_DEPTH = 100
 LISTED = "folder string, path string, name string, size long, modified timestamp, is_folder boolean"
 
@@ -29,19 +32,35 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def _entries(folder: str) -> list[tuple]:
+def _infos(folder: str) -> Iterator[list[fs.FileInfo]]:
+    """The entries of a folder, PIECE at a time. A local folder is read as it goes; the other file systems
+    of Arrow hand over a folder at once."""
     system, path = opened(folder)
-    out = []
-    for info in system.get_file_info(fs.FileSelector(path, recursive=False)):
-        name = posixpath.basename(info.path.rstrip("/"))
-        if not name.startswith(("_", ".")):
-            is_folder = info.type == fs.FileType.Directory
-            out.append((folder, f"{folder.rstrip('/')}/{name}", name, info.size, info.mtime, is_folder))
-    return out
+    if isinstance(system, fs.LocalFileSystem):
+        with os.scandir(path) as found:
+            while names := [f"{path.rstrip('/')}/{e.name}" for e in itertools.islice(found, PIECE)]:
+                # broken links and what has gone meanwhile are no entries, as in a listing at once
+                yield [i for i in system.get_file_info(names) if i.type != fs.FileType.NotFound]
+    else:
+        infos = system.get_file_info(fs.FileSelector(path, recursive=False))
+        for low in range(0, len(infos), PIECE):
+            yield infos[low : low + PIECE]
+
+
+def _entries(folder: str) -> Iterator[list[tuple]]:
+    for infos in _infos(folder):
+        out = []
+        for info in infos:
+            name = posixpath.basename(info.path.rstrip("/"))
+            if not name.startswith(("_", ".")):
+                is_folder = info.type == fs.FileType.Directory
+                out.append((folder, f"{folder.rstrip('/')}/{name}", name, info.size, info.mtime, is_folder))
+        yield out
 
 
 def _list_folders(folders: DataFrame) -> DataFrame:
-    """The entries of each of the given folders, a folder's by the task that has it."""
+    """The entries of each of the given folders, a folder's by the task that has it, in batches of PIECE
+    entries: a task's memory does not grow with its folder."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -50,10 +69,10 @@ def _list_folders(folders: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for folder in batch.column(0).to_pylist():
-                rows = _entries(folder)
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                for rows in _entries(folder):
+                    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return folders.select("path").mapInArrow(scan, LISTED)
 

@@ -241,3 +241,26 @@ def test_dct_hash_of_frames(spark):
         bits = images.dct_bits(np.frombuffer(data, np.uint8).reshape(h, w).astype(float))
         want = int("".join("1" if b else "0" for b in bits), 2)
         assert found[path] == (want - (1 << 64) if want >> 63 else want)
+
+
+def test_a_large_folder_is_listed_in_pieces(tmp_path, monkeypatch):
+    import os
+
+    import pyarrow.fs as fs
+
+    monkeypatch.setattr(listing, "PIECE", 7)
+    for i in range(30):
+        (tmp_path / f"f{i}").write_bytes(b"x" * i)
+    (tmp_path / "inner").mkdir()
+    (tmp_path / "_hidden").write_text("x")
+    os.symlink(tmp_path / "f3", tmp_path / "link")
+    os.symlink(tmp_path / "nowhere", tmp_path / "broken")
+    pieces = list(listing._entries(str(tmp_path)))
+    assert max(map(len, pieces)) <= 7 and len(pieces) > 1
+    whole = fs.LocalFileSystem().get_file_info(fs.FileSelector(str(tmp_path), recursive=False))
+    want = [
+        (str(tmp_path), i.path, i.base_name, i.size, i.mtime, i.type == fs.FileType.Directory)
+        for i in whole
+        if i.base_name != "_hidden"
+    ]
+    assert sorted(map(str, sum(pieces, []))) == sorted(map(str, want))
