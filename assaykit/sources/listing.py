@@ -158,7 +158,8 @@ def write_each(rows: DataFrame, root: str, name_col: str = "name", content_col:
         made = set()
         for batch in batches:
             paths, sizes = [], []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            # a row at a time becomes an object of Python
+            for name, content in ((n.as_py(), c.as_py()) for n, c in zip(batch.column(0), batch.column(1))):
                 folder = posixpath.dirname(f"{base.rstrip('/')}/{name}")
                 if folder not in made:
                     system.create_dir(folder, recursive=True)

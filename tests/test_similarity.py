@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from assaykit.operators import similarity
 from assaykit.operators.components import connected_components
 from assaykit.operators.similarity import (
     lsh_layout,
@@ -140,3 +141,39 @@ def test_one_permutation_signatures_estimate_similarity(spark):
     guess = [sum(p == q for p, q in zip(sigs[2 * i], sigs[2 * i + 1])) / 32 for i in range(120)]
     errors = [g - s for g, s in zip(guess, sims)]
     assert abs(sum(errors) / len(errors)) < 0.03
+
+
+@pytest.mark.parametrize("bits,listed", [(1, 0), (6, 10**6)])
+def test_any_order_of_tokens_and_any_list_gives_the_same(spark, monkeypatch, bits, listed):
+    """Counts too coarse to tell tokens apart, batches of a few sets, and lists too long to be sent out."""
+    monkeypatch.setattr(similarity, "COUNT_BITS", bits)
+    monkeypatch.setattr(similarity, "BATCH", 40)
+    monkeypatch.setattr(similarity, "LISTED", listed)
+    docs = corpus(7)
+    # the same row twice, a copy under a larger id, and rows without id or text
+    rows = docs + [docs[0], docs[5], (1000, docs[5][1]), (None, "a b c d"), (1001, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicate_components(frame)
+    assert {r["node"]: r["component"] for r in got.collect()} == want_components(docs, 0.8)
+    assert got.count() == len(want_components(docs, 0.8))
+
+
+def test_texts_stay_in_the_scan(spark, tmp_path):
+    spark.createDataFrame(corpus(1), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    texts = similarity.distinct_texts(spark.read.parquet(str(tmp_path / "docs")), "doc_id", "text")
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    assert texts.count() == len({t for _, t in corpus(1)})
+
+
+def test_only_first_tokens_are_shuffled(spark):
+    """Every token goes into counts of fixed size; rows of tokens are those posted and shared."""
+    docs = [(i, " ".join(f"w{i}_{j}" for j in range(200))) for i in range(20)]
+    docs += [(100 + i, " ".join([f"v{j}" for j in range(200)] + [f"x{i}"])) for i in range(3)]
+    sets = similarity.distinct_sets(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    posted = similarity.prefix_postings(sets, 0.8, 10**6)
+    assert posted.columns == ["token", "node", "size"]
+    assert {r["node"] for r in posted.collect()} == {100, 101, 102}
+    assert posted.groupBy("node").count().agg({"count": "max"}).first()[0] <= 200 - 160 + 1
+    tokens = posted._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in tokens and "collect_list" not in tokens
