@@ -20,6 +20,10 @@ LEAST_CHUNK, MOST_CHUNK = 16, 64
 LEAST_BYTES = 80
 # How far before its first whole chunk a stretch is followed back; cuts there may be out of step.
 BACK = 80
+# Claims in one of 2^HOT_BITS buckets that a task finds in more than one of HOT_SHARE rows are counted apart.
+HOT_BITS = 22
+HOT_SHARE = 100
+HOT_LEAST = 8
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
@@ -109,6 +113,10 @@ def _claims(part: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.n
     return low, high
 
 
+def _bucket(digests: np.ndarray) -> np.ndarray:
+    return (digests >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+
+
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_BYTES
 ) -> DataFrame:
@@ -117,10 +125,11 @@ def repeated_spans(
     spaces, as rows are compared. `first` says that this row holds the stretch first, so that it stays;
     the others can go (`drop_repeats`).
 
-    Texts are cut into chunks by content. Digests held by two rows are noted in a bitmap of fixed size.
+    Texts are cut into chunks by content. Digests held by two rows are noted in a bitmap of bounded size.
     A second scan emits, where the bitmap passes, the digest of each two neighbouring chunks, and at the
     end of such a run the chunk with each whole word that follows or precedes it in the next chunk.
-    They are counted with partial sums, joined back with frequent ones split, and those that another
+    They meet by digest in one exchange; frequent ones are counted with partial sums and joined back with
+    splits instead. Those that another
     row holds are united where they overlap by a chunk. So a stretch needs one whole chunk to be found, and
     each two chunks of it stand together in another row; its ends are those of whole words. Where the
     bitmap fills up, more is emitted, and an end may lie a chunk short. A stretch without two cuts inside is missed; the tests
@@ -154,16 +163,19 @@ def repeated_spans(
             rows = row + np.searchsorted(bounds, starts[some], "right") - 1
             yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(digests)], names=["row", "digest"])
 
-    twice = (
+    twice = cut(
         docs.select(text_col)
         .mapInArrow(name, "row long, digest long")
         .groupBy("digest")
         .agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
         .filter("lo <> hi")
+        .select("digest")
     )
-    held = docs.sparkSession.sparkContext.broadcast(bitmaps.build(twice, "digest"))
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(bitmaps.build(twice, "digest", bitmaps.bits_for(twice.count())))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, rows = np.zeros(1 << HOT_BITS, np.int32), 0
         for row, batch, low, high, (raw, raw_off), part, kept, bounds, starts, ends in chunks(batches, 1):
             known = bitmaps.passes(held.value, span_hashes(part, starts, ends)) & (ends - starts >= LEAST_CHUNK)
             a, b = _claims(part, bounds, starts, ends, known)
@@ -172,45 +184,85 @@ def repeated_spans(
             a, b, where = a[order], b[order], where[order]
             points = np.concatenate([[0], np.cumsum(raw & 0xC0 != 0x80)])
             base = points[raw_off[where]]
-            values = (points[kept[a]] - base, points[kept[b - 1] + 1] - base, a - bounds[where], b - bounds[where])
+            start, stop = points[kept[a]] - base, points[kept[b - 1] + 1] - base
+            digests = span_hashes(part, a, b)
+            np.add.at(counts, _bucket(digests), 1)
+            rows += high - low
             count = np.bincount(where, minlength=high - low)
             cuts = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
-            flats = [pa.array(v.astype(np.int32)) for v in values] + [pa.array(span_hashes(part, a, b).view(np.int64))]
+            flats = (start << 32 | stop - start, (a - bounds[where]) << 16 | b - a, digests.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + high - low)),
                     batch.column(0)[low:high],
-                    *(pa.ListArray.from_arrays(cuts, flat) for flat in flats),
+                    *(pa.ListArray.from_arrays(cuts, pa.array(flat)) for flat in flats),
+                    pa.nulls(high - low, pa.list_(pa.int64())),
                 ],
-                names=["row", "id", *fields],
+                names=["row", "id", *fields, "hot"],
             ).filter(pa.array(count > 0))
+        hot = np.flatnonzero(counts >= max(HOT_LEAST, rows // HOT_SHARE))
+        if len(hot):
+            none = [pa.nulls(1, pa.int64()), pa.nulls(1, batch.column(0).type), *[pa.nulls(1, pa.list_(pa.int64()))] * 3]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([hot])], names=["row", "id", *fields, "hot"])
 
-    fields = ["start", "stop", "low", "high", "digest"]
+    # code points: start and length; bytes: low and length; each two numbers in one
+    fields = ["points", "place", "digest"]
     scanned = cut(
         docs.select(id_col, text_col).mapInArrow(
-            scan, f"row long, id {kind}, " + ", ".join(f"{f} array<{'long' if f == 'digest' else 'int'}>" for f in fields)
+            scan, f"row long, id {kind}, " + ", ".join(f"{f} array<long>" for f in [*fields, "hot"])
         )
     )
-    each = scanned.select("row", F.explode(F.arrays_zip(*fields)).alias("c")).select("row", "c.*")
-    shared = cut(
-        each.groupBy("digest")
-        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("n"))
+    buckets = scanned.filter("row IS NULL").select(F.explode("hot").alias("bucket")).distinct().toArrow()
+    hot = np.zeros(1 << HOT_BITS, bool)
+    hot[buckets.column("bucket").to_numpy()] = True
+    frequent = spark.sparkContext.broadcast(np.packbits(hot))
+
+    def claims(which: bool) -> DataFrame:
+        """(row, points, place, digest) of the claims in frequent buckets, or of the others."""
+
+        def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            marked = np.unpackbits(frequent.value).astype(bool)
+            for batch in batches:
+                rows = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
+                columns = [batch.column(i).flatten() for i in (1, 2, 3)]
+                keep = pa.array(marked[_bucket(columns[2].to_numpy().view(np.uint64))] == which)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), *columns], names=["row", *fields]).filter(keep)
+
+        rows = scanned.filter("row IS NOT NULL").select("row", *fields)
+        return rows.mapInArrow(flat, "row long, points long, place long, digest long")
+
+    first = (F.col("lo") == F.col("row")).alias("first")
+    same = Window.partitionBy("digest")
+    hits = (
+        claims(False)
+        .withColumn("lo", F.min("row").over(same))
+        .withColumn("hi", F.max("row").over(same))
         .filter("lo <> hi")
-        .select("digest", "lo", "n")
+        .select("row", "points", "place", first)
     )
-    hits = attach(each, shared, "digest", F.col("row"), size="n").select(
-        "row", "start", "stop", "low", "high", (F.col("lo") == F.col("row")).alias("first")
-    )
-    order = Window.partitionBy("row", "first").orderBy("low", "high")
-    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    if hot.any():
+        each = claims(True)
+        shared = cut(
+            each.groupBy("digest")
+            .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("n"))
+            .filter("lo <> hi")
+            .select("digest", "lo", "n")
+        )
+        often = attach(each, shared, "digest", F.col("row"), size="n")
+        hits = hits.union(often.select("row", "points", "place", first))
+    low, start = F.shiftright("place", 16), F.shiftright("points", 32)
+    high = low + F.col("place").bitwiseAND(F.lit((1 << 16) - 1))
+    stop = start + F.col("points").bitwiseAND(F.lit((1 << 32) - 1))
+    order = Window.partitionBy("row", "first").orderBy("place")
+    reach = F.max(high).over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = (
-        hits.withColumn("apart", F.coalesce(F.col("low") > reach - LEAST_CHUNK, F.lit(False)).cast("int"))
+        hits.withColumn("apart", F.coalesce(low > reach - LEAST_CHUNK, F.lit(False)).cast("int"))
         .withColumn("run", F.sum("apart").over(order))
         .groupBy("row", "first", "run")
         .agg(
-            F.min("start").cast("long").alias("start"),
-            (F.max("stop") - F.min("start")).cast("long").alias("length"),
-            (F.max("high") - F.min("low")).cast("long").alias("n_bytes"),
+            F.min(start).alias("start"),
+            (F.max(stop) - F.min(start)).alias("length"),
+            (F.max(high) - F.min(low)).alias("n_bytes"),
         )
         .filter(F.col("n_bytes") >= least)
     )

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from assaykit.llm import substrings
+from assaykit.llm import bitmaps, substrings
 from assaykit.llm.textbytes import buffers
 
 
@@ -118,3 +118,54 @@ def test_copies_are_cut_and_the_first_stays(spark):
     left = {r.doc_id: r.text for r in got if r.doc_id > 1}
     assert left[2] == other and left[3] == rows[3][1] and left[5] is None and left[6] == ""
     assert left[4].split()[0] == "before" and left[4].split()[-1] == "after" and len(left[4]) < 30
+
+
+def test_frequent_claims_are_counted_apart_with_the_same_result(spark, monkeypatch):
+    """Boilerplate in every row and passages in few, with all claims in one exchange, some apart, all apart."""
+    rnd = random.Random(6)
+    line, passages = prose(rnd, 40), [prose(rnd, 40) for _ in range(10)]
+    rows = [(i, f"{prose(rnd, 20)} {line} {prose(rnd, 9)} {passages[i % 10]} {prose(rnd, 9)}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id").cache()
+    found = {}
+    for least, share in ((10**6, 1), (25, 100), (1, 10**9)):
+        monkeypatch.setattr(substrings, "HOT_LEAST", least)
+        monkeypatch.setattr(substrings, "HOT_SHARE", share)
+        found[least] = sorted(map(tuple, substrings.repeated_spans(df).collect()))
+    assert len({r[0] for r in found[1]}) == 60
+    assert found[10**6] == found[25] == found[1]
+
+
+def test_claims_cross_one_exchange_with_their_digest(spark):
+    """Unless they are frequent; the first count of chunks is written before."""
+    rnd = random.Random(7)
+    passage = prose(rnd, 40)
+    rows = [(i, f"{prose(rnd, 20)} {passage} {prose(rnd, 9)}") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plan = substrings.repeated_spans(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(digest") == 1
+
+
+def test_few_others_pass_a_bitmap_of_many_digests():
+    """As 2.1 million digests, which 0.5 GB of texts holds twice, did: 3 in 100 other chunks then passed,
+    and each was looked up with all words around it."""
+    rnd = np.random.default_rng(8)
+    hashes, others = (rnd.integers(-(2**63), 2**63, n) for n in (1 << 21, 1 << 18))
+    bits = bitmaps.bits_for(len(hashes))
+    words, marks = hashes.view(np.uint64) >> np.uint64(64 - bits + 6), np.zeros(len(hashes), np.uint64)
+    for i in range(bitmaps.PROBES):
+        marks |= np.uint64(1) << (hashes.view(np.uint64) >> np.uint64(6 * i) & np.uint64(63))
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    np.bitwise_or.at(bitmap, words.astype(np.int64), marks)
+    assert bitmaps.passes(bitmap, hashes).all()
+    assert bitmaps.passes(bitmap, others).mean() < 0.005
+    assert bitmaps.bits_for(0) == bitmaps.BITS and bitmaps.bits_for(10**12) == bitmaps.MOST_BITS
+
+
+def test_bitmap_of_a_table_passes_its_hashes(spark):
+    rows = spark.range(-3000, 3000).selectExpr("IF(id % 7 = 0, NULL, xxhash64(id)) AS h")
+    own = np.array([r.h for r in rows.filter("h IS NOT NULL").collect()])
+    other = np.array([r.h for r in spark.range(10**6, 10**6 + 5000).selectExpr("xxhash64(id) AS h").collect()])
+    for bits in (bitmaps.BITS, bitmaps.BITS + 1):
+        bitmap = bitmaps.build(rows, "h", bits)
+        assert len(bitmap) == 1 << (bits - 6) and bitmaps.passes(bitmap, own).all()
+        assert not bitmaps.passes(bitmap, other).any()
