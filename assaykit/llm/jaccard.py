@@ -26,7 +26,6 @@ ROWS_PER_SALT = 1_000_000
 SLICE = 2048
 SIGNED = 64
 LISTED = 500_000
-EARLY = 4
 SEEN = 1_000_000
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -301,8 +300,9 @@ def _verify(
     return cut(ends(near, tokens, "tokens").mapInArrow(exact, "a long, b long").distinct())
 
 
-def _live(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """(bucket, a, size, reach, pivot) of the buckets that can hold a similar pair.
+def _live(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of the pairs that meet in buckets of their own and can be similar, and (bucket, a, size,
+    reach, pivot) of the wider buckets that can hold a similar pair.
 
     A posted token that no other set posted counts against its set, which bounds the size of a partner
     (`reach`). The partner may still hold the token beyond its own first ones, so of two sets the bound
@@ -311,28 +311,47 @@ def _live(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFram
     size `needed`: a bucket in which no member reaches that is done, and so is a member that neither
     reaches it nor is reached by the bucket's farthest. The member with the largest reach for its size
     is the pivot. So texts that share a passage and little else mostly meet nowhere.
+
+    Most buckets hold two sets. They are counted by pair, so one row stands for all of a pair; a token
+    that a set shares with others alone does not count for the pair, nor more than those of the best
+    partner for a wider bucket.
     """
     same_key = Window.partitionBy("key")
+    other = (F.col("a") != F.col("first")) & (F.col("a") != F.col("last"))
     shared = cut(
         postings.withColumn("first", F.min("a").over(same_key))
         .withColumn("last", F.max("a").over(same_key))
         .filter((F.col("first") != F.col("last")) | (F.col("key") % 2 != 0))
-        .select("key", "a")
+        .withColumn("wide", F.coalesce(F.max(other).over(same_key), F.lit(False)) | (F.col("key") % 2 != 0))
+        .select("key", "a", F.when(~F.col("wide"), F.col("last")).alias("b"))
+        .filter("b IS NULL OR a <> b")
         .distinct()
     )
-    size, shares = F.col("size").cast("long"), F.col("shares")
+    wide = shared.filter("b IS NULL").select("key", "a")
+    twos = cut(shared.filter("b IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("n")))
+    size, most = F.col("size").cast("long"), F.col("most")
     needed = F.expr(f"(cast(size as long) * {num} + {den - 1}) div {den}")
-    most = size - (size - needed + 1 - shares)
-    reach = F.expr(f"(most * {num + den}) div {num}") - size
-    each = (
-        shared.groupBy("a")
-        .agg(F.count("*").alias("shares"))
+    each = cut(
+        wide.groupBy("a")
+        .agg(F.count("*").alias("wide"), F.lit(0).cast("long").alias("n"))
+        .union(twos.select("a", F.lit(0), "n"))
+        .union(twos.select("b", F.lit(0), "n"))
+        .groupBy("a")
+        .agg(F.sum("wide").alias("wide"), F.max("n").alias("n"))
         .join(sizes, "a")
-        .withColumn("most", most)
-        .select("a", "size", reach.alias("reach"))
+        .withColumn("most", needed - 1 + F.col("wide"))
+        .select("a", "size", "most", F.expr(f"((most + n) * {num + den}) div {num}") - size)
+        .toDF("a", "size", "most", "reach")
     )
-    each = cut(each)
-    rows = shared.join(each, "a").select(
+    pairs = twos
+    for side in ("a", "b"):
+        pairs = pairs.join(each.select(F.col("a").alias(side), size.alias(f"size_{side}"), most.alias(f"most_{side}")), side)
+    reaches = [
+        F.expr(f"((most_{x} + n) * {num + den}) div {num} - size_{x}") >= F.col(f"size_{y}") for x, y in ("ab", "ba")
+    ]
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    pairs = cut(pairs.filter((small * den >= large * num) & (reaches[0] | reaches[1])).select("a", "b"))
+    rows = wide.join(each.drop("most"), "a").select(
         F.shiftright("key", SALT_BITS).alias("bucket"), "a", "size", "reach"
     )
     # the member with the largest share of common tokens is the likeliest origin of its neighbours
@@ -348,7 +367,8 @@ def _live(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFram
         .filter("pivot IS NOT NULL AND n > 1")
         .select("bucket", "pivot", "farthest")
     )
-    return cut(rows.join(pivots, "bucket").filter(reaches | (F.col("size") <= F.col("farthest"))).drop("farthest"))
+    live = cut(rows.join(pivots, "bucket").filter(reaches | (F.col("size") <= F.col("farthest"))).drop("farthest"))
+    return pairs, live
 
 
 def _star_pairs(live: DataFrame, num: int, den: int) -> DataFrame:
@@ -384,15 +404,16 @@ def _listed(df: DataFrame) -> DataFrame:
 def _tile_pairs(
     live: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int
 ) -> DataFrame:
-    """Pairs of different components that share a bucket and whose signatures allow the threshold.
+    """Pairs of different components that share as many buckets as similar sets of their sizes do.
 
     A bucket whose members are all in one component is done, and of open buckets with the same
-    members one is compared. A large bucket is cut into tiles: a size band and the next above, in which
+    members one is compared, for all of them. A bucket of up to SLICE members is one tile. A larger one
+    is cut into tiles: a size band and the next above, in which
     slices of the largest component each meet slices of the other members, and those meet each other,
     so a tile has two slices at most and members of the largest component are never paired among
-    themselves. A pair that is known to share an earlier bucket is left to that one. Signatures travel
-    with the members of buckets above SIGNED; pairs of smaller ones are bounded by sizes here and by
-    signatures once they are distinct.
+    themselves. A pair meets once in each bucket that it shares; its buckets are counted, and must make up
+    for the tokens that the first ones leave out. Signatures travel with the members of buckets above
+    SIGNED and bound a pair at once.
     """
     named = (
         live.select("bucket", "a", "size", "reach")
@@ -410,26 +431,23 @@ def _tile_pairs(
         )
         .filter("low < high")
         .groupBy("n", "h")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket", "n")
+        .agg(F.min("bucket").alias("bucket"), F.count("*").alias("weight"))
+        .select("bucket", "n", "weight")
     )
     compared = cut(named.join(_listed(chosen), "bucket"))
     mains = (
-        compared.groupBy("bucket", "n", "component")
+        compared.filter(F.col("n") > SLICE).groupBy("bucket", "n", "component")
         .agg(F.count("*").alias("m"))
         .groupBy("bucket", "n")
         .agg(F.max(F.struct("m", "component")).alias("most"))
         .select(
             "bucket",
-            (F.col("n") > SLICE).alias("large"),
-            (F.col("n") > SIGNED).alias("signed"),
             F.col("most.component").alias("main"),
             F.ceil(F.col("most.m") / SLICE).cast("int").alias("main_slices"),
             F.ceil((F.col("n") - F.col("most.m")) / SLICE).cast("int").alias("rest_slices"),
         )
     )
-    members = cut(compared.drop("n").join(_listed(mains), "bucket"))
-    early = members.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("bucket")), 1, EARLY).alias("early"))
+    members = cut(compared.filter(F.col("n") > SLICE).drop("n").join(_listed(mains), "bucket"))
     is_main = F.col("component") == F.col("main")
     own = F.pmod(F.xxhash64("a"), F.when(is_main, F.col("main_slices")).otherwise(F.col("rest_slices"))).cast("int")
 
@@ -443,34 +461,40 @@ def _tile_pairs(
         F.concat(against_main, among_rest)
     )
     ends = F.array(*[F.lit(e) for e in _bands(num, den)])
-    band = F.when(F.col("large"), F.size(F.filter(ends, lambda e: e <= F.col("size").cast("long")))).otherwise(0)
-    bases = F.when(F.col("large"), F.array(F.col("band"), F.col("band") - 1)).otherwise(F.array(F.lit(0)))
-    marks = [f"e{i}" for i in range(EARLY)]
-    early = cut(early)
-    known = _passing(sets, early, "a").join(early, "a").select(
-        "a", "sig", *[F.get("early", F.lit(i)).alias(m) for i, m in enumerate(marks)]
-    )
+    band = F.size(F.filter(ends, lambda e: e <= F.col("size").cast("long")))
+    bases = F.array(F.col("band"), F.col("band") - 1)
     keys = ["bucket", "base", "kind", "i", "j"]
+    columns = [*keys, "band", "own", "c", "main", "a", "size", "reach", "weight", "sig"]
+    known = cut(_passing(sets, compared.filter(F.col("n") > SIGNED), "a")).select("a", "sig")
     tiles = (
         members.withColumn("own", own)
         .withColumn("band", band)
         .select("*", F.explode(places).alias("p"))
         .select("*", "p.*", F.explode(bases).alias("base"))
-        .select(*keys, "band", "own", F.col("component").alias("c"), is_main.alias("main"), "a", "size", "reach", "signed")
+        .withColumn("c", F.col("component"))
+        .withColumn("main", is_main)
         .join(known, "a")
-        .withColumns({m: F.least(m, "bucket") for m in marks})
-        .withColumn("sig", F.when(F.col("signed"), F.col("sig")))
-        .select(*keys, "band", "own", "c", "main", "a", "size", "reach", *marks, "sig")
+        .select(*columns)
     )
-
-    def compare(table: dict[str, np.ndarray], sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    zero = F.lit(0)
+    whole = compared.filter(F.col("n") <= SLICE).select(
+        "bucket", zero.alias("base"), F.lit(2).alias("kind"), zero.alias("i"), zero.alias("j"), zero.alias("band"),
+        zero.alias("own"), F.col("component").alias("c"), F.lit(False).alias("main"), "a", "size", "reach", "weight", "n",
+    )
+    none = F.lit(None).cast("binary").alias("sig")
+    small = whole.filter(F.col("n") <= SIGNED).select(*columns[:-1], none)
+    medium = whole.filter(F.col("n") > SIGNED).join(known, "a").select(*columns)
+
+    def compare(table: dict[str, np.ndarray], sigs: list[bytes]) -> list[np.ndarray]:
         kind, i, j, base = (int(table[c][0]) for c in ("kind", "i", "j", "base"))
         if kind == 0:
             left, right = np.flatnonzero(table["main"]), np.flatnonzero(~table["main"])
-        else:
+        elif kind == 1:
             left, right = np.flatnonzero(table["own"] == i), np.flatnonzero(table["own"] == j)
+        else:
+            left = right = np.arange(len(sigs))
         if not len(left) or not len(right):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return [np.zeros(0, np.int64)] * 4
         signed = sigs[0] is not None
         rows = _folded(sigs, min(8 * len(s) for s in sigs)) if signed else None
         c, a, size, band, reach = (table[n].astype(np.int64) for n in ("c", "a", "size", "band", "reach"))
@@ -481,7 +505,7 @@ def _tile_pairs(
             ok = (c[x][:, None] != c[right][None]) & (
                 (band[x][:, None] == base) | (band[right][None] == base)
             )
-            if kind == 1 and i == j:
+            if kind and i == j:
                 ok &= a[x][:, None] < a[right][None]
             one, two = size[x][:, None], size[right][None]
             ok &= (np.minimum(one, two) * den >= np.maximum(one, two) * num) & ((two <= reach[x][:, None]) | (one <= reach[right][None]))
@@ -489,18 +513,15 @@ def _tile_pairs(
             chunk = max(1, (1 << 22) // rows.shape[1]) if signed else 1 << 20
             for at in range(0, len(p), chunk):
                 l, r = x[p[at : at + chunk]], right[q[at : at + chunk]]
-                before = np.zeros(len(l), bool)
-                for one in marks:
-                    for two in marks:
-                        before |= (table[one][l] == table[two][r]) & (table[one][l] < table["bucket"][0])
-                l, r = l[~before], r[~before]
                 if signed:
                     most = overlap_bound(rows[l], rows[r], size[l], size[r])
                     good = _similar(most, size[l], size[r], num, den)
                     l, r = l[good], r[good]
                 out.append((l, r))
         l, r = (np.concatenate([o[k] for o in out] or [np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
-        return np.minimum(a[l], a[r]), np.maximum(a[l], a[r])
+        both = -(-num * (size[l] + size[r]) // (num + den))
+        least = both - _needed(np.maximum(size[l], size[r]), num, den) + 1
+        return [np.minimum(a[l], a[r]), np.maximum(a[l], a[r]), least, np.full(len(l), int(table["weight"][0]))]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Tiles come one after another, sorted; the last of a batch may go on in the next."""
@@ -516,8 +537,8 @@ def _tile_pairs(
                 if high - low > 1:
                     found.append(compare({n: v[low:high] for n, v in columns.items()}, sigs[low:high]))
             none = [np.zeros(0, np.int64)]
-            ab = [np.concatenate([f[k] for f in found] or none) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays([pa.array(v) for v in ab], names=["a", "b"])
+            out = [np.concatenate([f[k] for f in found] or none) for k in range(4)]
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in out], names=names)
 
         def tile(batch: pa.RecordBatch, at: int) -> tuple:
             return tuple(batch.column(k)[at].as_py() for k in keys)
@@ -538,9 +559,16 @@ def _tile_pairs(
         if held:
             yield done(held)
 
-    empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
-    spread = tiles.repartition(*keys).sortWithinPartitions(*keys)
-    return spread.mapInArrow(scan, "a long, b long").distinct()
+    names = ["a", "b", "least", "weight"]
+    empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, names=names)
+    spread = small.union(medium).union(tiles).repartition(*keys).sortWithinPartitions(*keys)
+    return (
+        spread.mapInArrow(scan, ", ".join(f"{n} long" for n in names))
+        .groupBy("a", "b")
+        .agg(F.sum("weight").alias("weight"), F.max("least").alias("least"))
+        .filter("weight >= least")
+        .select("a", "b")
+    )
 
 
 def jaccard_components(
@@ -561,8 +589,9 @@ def jaccard_components(
 
     1. Equal sets collapse. Token buckets in more than about one set of 1,000 are noted in a bitmap of
        fixed size. 2. In one order for all sets, frequent buckets last, each set posts its first tokens;
-       similar sets share one. Only shared buckets stay. 3. Every member is checked against its bucket's
-       first set, which settles families of copies in linear work. 4. Buckets that still hold several
+       similar sets share one. Only shared buckets stay, those of two sets as one counted pair. 3. Every
+       member of the wider ones is checked against its bucket's first set, which settles families of
+       copies in linear work, and so is every pair. 4. Wider buckets that still hold several
        components are compared in size-banded tiles: bit counts of signatures bound the overlap from
        above. 5. What passes is intersected exactly. Nothing is capped or sampled. Shingles and sets are
        known by 64-bit hashes.
@@ -583,16 +612,15 @@ def jaccard_components(
     n_sets = per_set.count()
     salts = min((1 << SALT_BITS - 1) - 1, max(SALTS, n_sets // ROWS_PER_SALT))
     postings = _postings(own, _hot_buckets(facts, n_sets), num, den, salts)
-    live = _live(postings, per_set.select("a", "size"), num, den)
-    sets = cut(
-        facts.filter("sig IS NOT NULL")
-        .select("a", F.col("size").cast("int").alias("size"), "sig")
-        .join(live.select("a").distinct(), "a", "left_semi")
-        .dropDuplicates(["a"])
-    )
-    stars = _verify(_star_pairs(live, num, den), sets, own, per_set, num, den)
+    twos, live = _live(postings, per_set.select("a", "size"), num, den)
+    signed = facts.filter("sig IS NOT NULL").select("a", F.col("size").cast("int").alias("size"), "sig")
+    met = cut(twos.select("a").union(twos.select("b")).union(live.select("a")).distinct())
+    sets = cut(_passing(signed, met, "a").dropDuplicates(["a"]))
+    compared = cut(_star_pairs(live, num, den).union(twos).distinct())
+    stars = _verify(compared, sets, own, per_set, num, den)
     labels = connected_components(stars)
-    across = _verify(_tile_pairs(live, labels, sets, num, den), sets, own, per_set, num, den)
+    others = _tile_pairs(live, labels, sets, num, den).join(compared, ["a", "b"], "left_anti")
+    across = _verify(others, sets, own, per_set, num, den)
     merged = connected_components(
         labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(across)
     )

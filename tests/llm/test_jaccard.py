@@ -142,3 +142,36 @@ def test_sets_are_exact():
     data, off = buffers(pa.array(texts))
     _, sizes = jaccard.shingle_sets(data, off)
     assert sizes.tolist() == [len(shingles(t)) for t in texts]
+
+
+def test_buckets_of_two_are_one_pair_and_tiles_count_shared_buckets(spark):
+    """Texts that share a few shingles with many others, none enough: before, each such meeting was a row in
+    all later steps, and every pair of a tile was held against whole signatures."""
+    rnd = random.Random(9)
+    word = lambda: f"{rnd.getrandbits(40):x}"
+    lines = [[word() for _ in range(9)] for _ in range(30)]
+    texts = [[w for _ in range(12) for w in [*rnd.choice(lines), *(word() for _ in range(5))]] for _ in range(60)]
+    two = [word() for _ in range(80)]
+    texts += [two, [*two[:-2], word()], [*two[:20], *(word() for _ in range(60))]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "xxhash64(text) AS text_hash", "text")
+    facts = jaccard._facts(docs).cache()
+    sets = facts.filter("sig IS NOT NULL").selectExpr("a", "cast(size AS int) AS size", "sig").dropDuplicates(["a"])
+    postings = jaccard._postings(docs, jaccard._hot_buckets(facts, 10**9), 75, 100, 16).cache()
+    twos, live = jaccard._live(postings, sets.select("a", "size"), 75, 100)
+    name = {r.a: r.id for r in facts.filter("size IS NOT NULL").collect()}
+    assert {frozenset((name[r.a], name[r.b])) for r in twos.collect()} >= {frozenset((60, 61))}
+    buckets = {}
+    for r in live.collect():
+        buckets.setdefault(r.bucket, set()).add(r.a)
+    assert min(map(len, buckets.values())) > 2
+    labels = spark.createDataFrame([], "node long, component long")
+    posted, found = {}, {(r.a, r.b) for r in jaccard._tile_pairs(live, labels, sets, 75, 100).collect()}
+    for r in postings.distinct().collect():
+        posted.setdefault(r.a, set()).add(r.key >> jaccard.SALT_BITS)
+    size = {r.a: r.size for r in sets.collect()}
+    for a, b in found:
+        both = -(-75 * (size[a] + size[b]) // 175)
+        assert len(posted[a] & posted[b]) >= both - (3 * max(size[a], size[b]) + 3) // 4 + 1
+    assert len(found) < 60 * 59 // 8
+    assert run(spark, rows) == brute(rows)
