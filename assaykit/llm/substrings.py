@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from assaykit.llm import bitmaps
 from assaykit.llm.columns import unused
 from assaykit.llm.textbytes import LOWER, buffers, mix, pieces, ragged, span_hashes
-from assaykit.operators.skew import attach
+from assaykit.operators.skew import BROADCAST_KEYS, attach
 from assaykit.session import cut
 
 LEAST_CHUNK, MOST_CHUNK = 16, 64
@@ -24,6 +24,8 @@ BACK = 80
 HOT_BITS = 22
 HOT_SHARE = 100
 HOT_LEAST = 8
+# A place and a length in one number: the length is in its lower half.
+LENGTH = (1 << 32) - 1
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
@@ -113,6 +115,25 @@ def _claims(part: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.n
     return low, high
 
 
+def _united(
+    row: np.ndarray, first: np.ndarray, points: np.ndarray, place: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches with those of the same row and `first` united that overlap by LEAST_CHUNK bytes."""
+    order = np.lexsort((place, first, row))
+    row, first, points, place = row[order], first[order], points[order], place[order]
+    other = np.ones(len(row), bool)
+    other[1:] = (row[1:] != row[:-1]) | (first[1:] != first[:-1])
+    low, start = place >> 32, points >> 32
+    high, stop = low + (place & LENGTH), start + (points & LENGTH)
+    reach = np.maximum.accumulate(np.cumsum(other) << 32 | high) & LENGTH
+    begins = other.copy()
+    begins[1:] |= low[1:] > reach[:-1] - LEAST_CHUNK
+    at = np.flatnonzero(begins)
+    low, start = low[at], start[at]
+    high, stop = (np.maximum.reduceat(x, at) if len(at) else x for x in (high, stop))
+    return row[at], first[at], start << 32 | stop - start, low << 32 | high - low
+
+
 def _bucket(digests: np.ndarray) -> np.ndarray:
     return (digests >> np.uint64(64 - HOT_BITS)).astype(np.int64)
 
@@ -128,8 +149,9 @@ def repeated_spans(
     Texts are cut into chunks by content. Digests held by two rows are noted in a bitmap of bounded size.
     A second scan emits, where the bitmap passes, the digest of each two neighbouring chunks, and at the
     end of such a run the chunk with each whole word that follows or precedes it in the next chunk.
-    They meet by digest in one exchange; frequent ones are counted with partial sums and joined back with
-    splits instead. Those that another
+    They meet by digest in one exchange; frequent ones are bundled by digest in each batch instead and counted
+    with partial sums. If few digests of them are shared, those are broadcast and their claims united where
+    they lie, else each bundle is joined once with its count. Those that another
     row holds are united where they overlap by a chunk. So a stretch needs one whole chunk to be found, and
     each two chunks of it stand together in another row; its ends are those of whole words. Where the
     bitmap fills up, more is emitted, and an end may lie a chunk short. A stretch without two cuts inside is missed; the tests
@@ -190,7 +212,7 @@ def repeated_spans(
             rows += high - low
             count = np.bincount(where, minlength=high - low)
             cuts = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
-            flats = (start << 32 | stop - start, (a - bounds[where]) << 16 | b - a, digests.view(np.int64))
+            flats = (start << 32 | stop - start, (a - bounds[where]) << 32 | b - a, digests.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + high - low)),
@@ -217,42 +239,74 @@ def repeated_spans(
     hot[buckets.column("bucket").to_numpy()] = True
     frequent = spark.sparkContext.broadcast(np.packbits(hot))
 
-    def claims(which: bool) -> DataFrame:
-        """(row, points, place, digest) of the claims in frequent buckets, or of the others."""
-
-        def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            marked = np.unpackbits(frequent.value).astype(bool)
-            for batch in batches:
-                rows = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
-                columns = [batch.column(i).flatten() for i in (1, 2, 3)]
-                keep = pa.array(marked[_bucket(columns[2].to_numpy().view(np.uint64))] == which)
-                yield pa.RecordBatch.from_arrays([pa.array(rows), *columns], names=["row", *fields]).filter(keep)
-
-        rows = scanned.filter("row IS NOT NULL").select("row", *fields)
-        return rows.mapInArrow(flat, "row long, points long, place long, digest long")
+    def claims(batches: Iterator[pa.RecordBatch], which: bool) -> Iterator[list[np.ndarray]]:
+        """Row, points, place and digest of a batch's claims in frequent buckets, or of the others."""
+        marked = np.unpackbits(frequent.value).astype(bool)
+        for batch in batches:
+            rows = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
+            columns = [rows, *(batch.column(i).flatten().to_numpy() for i in (1, 2, 3))]
+            keep = marked[_bucket(columns[3].view(np.uint64))] == which
+            yield [column[keep] for column in columns]
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in claims(batches, False):
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in found], names=["row", *fields])
+
+    def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each frequent digest of a batch, with all its claims there."""
+        for found in claims(batches, True):
+            order = np.argsort(found[3], kind="stable")
+            digests, begins = np.unique(found[3][order], return_index=True)
+            cuts = pa.array(np.append(begins, len(order)).astype(np.int32))
+            lists = (pa.ListArray.from_arrays(cuts, pa.array(column[order])) for column in found[:3])
+            yield pa.RecordBatch.from_arrays([*lists, pa.array(digests)], names=["row", *fields])
 
     first = (F.col("lo") == F.col("row")).alias("first")
     same = Window.partitionBy("digest")
+    told = scanned.filter("row IS NOT NULL").select("row", *fields)
     hits = (
-        claims(False)
+        told.mapInArrow(single, "row long, points long, place long, digest long")
         .withColumn("lo", F.min("row").over(same))
         .withColumn("hi", F.max("row").over(same))
         .filter("lo <> hi")
         .select("row", "points", "place", first)
     )
     if hot.any():
-        each = claims(True)
+        each = told.mapInArrow(bundled, "row array<long>, points array<long>, place array<long>, digest long")
         shared = cut(
             each.groupBy("digest")
-            .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("n"))
+            .agg(
+                F.min(F.array_min("row")).alias("lo"),
+                F.max(F.array_max("row")).alias("hi"),
+                F.sum(F.size("row")).alias("n"),
+            )
             .filter("lo <> hi")
             .select("digest", "lo", "n")
         )
-        often = attach(each, shared, "digest", F.col("row"), size="n")
-        hits = hits.union(often.select("row", "points", "place", first))
-    low, start = F.shiftright("place", 16), F.shiftright("points", 32)
-    high = low + F.col("place").bitwiseAND(F.lit((1 << 16) - 1))
-    stop = start + F.col("points").bitwiseAND(F.lit((1 << 32) - 1))
+        if shared.count() <= BROADCAST_KEYS:
+            facts = shared.select("digest", "lo").orderBy("digest").toArrow()
+            facts = spark.sparkContext.broadcast([facts.column(name).to_numpy() for name in ("digest", "lo")])
+
+            def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                """The frequent claims that another row holds, united in their rows as all are below."""
+                digests, lows = facts.value
+                for row, points, place, digest in claims(batches, True):
+                    at = np.searchsorted(digests, digest)
+                    held = np.append(digests, 0)[at] == digest
+                    held &= at < len(digests)
+                    lo = lows[at[held]]
+                    row, begins, points, place = _united(row[held], row[held] == lo, points[held], place[held])
+                    flats = [pa.array(column) for column in (row, points, place, begins)]
+                    yield pa.RecordBatch.from_arrays(flats, names=["row", "points", "place", "first"])
+
+            often = told.mapInArrow(united, "row long, points long, place long, first boolean")
+        else:
+            often = attach(each, shared, "digest", F.col("row")[0], size="n")
+            often = often.select("lo", F.inline(F.arrays_zip("row", "points", "place")))
+            often = often.select("row", "points", "place", first)
+        hits = hits.union(often)
+    low, start = F.shiftright("place", 32), F.shiftright("points", 32)
+    high, stop = (x + F.col(c).bitwiseAND(F.lit(LENGTH)) for x, c in ((low, "place"), (start, "points")))
     order = Window.partitionBy("row", "first").orderBy("place")
     reach = F.max(high).over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = (

@@ -169,3 +169,48 @@ def test_bitmap_of_a_table_passes_its_hashes(spark):
         bitmap = bitmaps.build(rows, "h", bits)
         assert len(bitmap) == 1 << (bits - 6) and bitmaps.passes(bitmap, own).all()
         assert not bitmaps.passes(bitmap, other).any()
+
+
+def test_frequent_claims_are_united_before_they_are_dealt_out(spark, monkeypatch):
+    """Each was a row of a join before. Few shared digests are looked up in place, many joined once a batch; a
+    copy of 80 KB is one stretch in both."""
+    rnd = random.Random(9)
+    line, long = prose(rnd, 60), prose(rnd, 15000)
+    rows = [(i, f"{prose(rnd, 9)} {line} {prose(rnd, 9)}") for i in range(300)] + [(300, long), (301, f"é {long}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id").cache()
+    joined, own, found, few = [], substrings.attach, {}, substrings.BROADCAST_KEYS
+
+    def attach(rows, facts, *args, **kwargs):
+        most = rows.groupBy("digest").count().agg({"count": "max"}).first()[0]
+        joined.append((most, facts.agg({"n": "max"}).first()[0]))
+        return own(rows, facts, *args, **kwargs)
+
+    monkeypatch.setattr(substrings, "attach", attach)
+    for least, share, most in ((10**6, 1, few), (1, 10**9, few), (1, 10**9, 0)):
+        monkeypatch.setattr(substrings, "HOT_LEAST", least)
+        monkeypatch.setattr(substrings, "HOT_SHARE", share)
+        monkeypatch.setattr(substrings, "BROADCAST_KEYS", most)
+        found[least, most] = sorted(map(tuple, substrings.repeated_spans(df).collect()))
+    assert len(joined) == 1 and joined[0][0] <= 4 and joined[0][1] == 300
+    assert found[10**6, few] == found[1, few] == found[1, 0]
+    assert [r[2] for r in found[1, few] if r[0] in (300, 301)] == [len(long)] * 2
+    assert {r[0] for r in found[1, few]} == set(range(302))
+
+
+def test_united_stretches_equal_a_loop():
+    rnd = np.random.default_rng(10)
+    for n in (0, 1, 50, 2000):
+        row, first = rnd.integers(0, 1 + n // 20, n), rnd.random(n) < 0.5
+        low, size = rnd.integers(0, 400, n), rnd.integers(16, 60, n)
+        packed = low << 32 | size
+        slow, at = [], None
+        for r, f, a, b in sorted(zip(row.tolist(), first.tolist(), low.tolist(), (low + size).tolist())):
+            if at == (r, f) and a <= slow[-1][3] - substrings.LEAST_CHUNK:
+                slow[-1][3] = max(slow[-1][3], b)
+            else:
+                slow.append([r, f, a, b])
+            at = (r, f)
+        row, first, points, place = substrings._united(row, first, packed, packed)
+        assert (points == place).all()
+        low = place >> 32
+        assert [list(x) for x in zip(row.tolist(), first.tolist(), low.tolist(), (low + (place & substrings.LENGTH)).tolist())] == slow
